@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from dimkeeper.functions.columns import align_names, cast_like, resolve_names, without_key
 from dimkeeper.operators.merge import AmbiguousMatchError, fit
 from dimkeeper.plans.batch import profile_batch
-from dimkeeper.plans.lookup import matched_keys
 
 VERSION = "version"
 OP = "op"
@@ -74,13 +73,13 @@ class ChangeLog:
         ``where`` is a condition on key columns. It is applied to the log's rows, before
         the latest one per key is chosen, and so reaches the scans.
         """
-        if version is not None and version < self.base:
-            raise ValueError(f"version {version} lies before the base {self.base} of this log")
-        base, log = self._base_rows(), self.log.where(F.col(VERSION) > self.base)
-        if where is not None:
-            base, log = base.where(where), log.where(where)
+        if version is not None:
+            self._check(version)
+        rows = self._rows() if where is None else self._rows().where(where)
+        base = rows.where(F.col(VERSION) == self.base).select(*self.columns)
         if version == self.base:
             return base
+        log = rows.where(F.col(VERSION) > self.base)
         if version is not None:
             log = log.where(F.col(VERSION) <= version)
         touched = self._latest(log)
@@ -107,22 +106,22 @@ class ChangeLog:
     # Writing: both return the rows to append --------------------------------------------
 
     def merge(self, updates: DataFrame, version: int) -> DataFrame:
-        """The rows of ``version``: an upsert of ``updates`` on the current state.
+        """The rows of ``version``: an upsert of ``updates`` on the latest state.
 
         Only touched rows are recorded, marked as insert or update. Append them to the
         stored log, or see the outcome with :meth:`with_changes`.
         """
-        state = self.current()
-        _, updates = fit(state, updates, self.key, evolve=False)
+        _, updates = fit(self.log.select(*self.columns), updates, self.key, evolve=False)
         profile = profile_batch(updates.select(*self.key), self.key, self.limit)
         if profile.null_keys:
             raise ValueError(f"{profile.null_keys} update rows have no {self.key}")
         if profile.repeated_keys:
             raise AmbiguousMatchError(f"{profile.repeated_keys} keys occur in several update rows")
-        known = matched_keys(state, updates, self.key, profile).withColumn("_known", F.lit(True))
-        joined = updates.join(known, self.key, "left")
+        rows = self._rows().join(profile.keys(updates, self.key), self.key, "left_semi")
+        known = self._latest(rows).where(F.col(OP) != DELETE)
+        known = known.select(*self.key, F.lit(True).alias("_known"))
         op = F.when(F.col("_known"), F.lit(UPDATE)).otherwise(F.lit(INSERT))
-        return joined.select(
+        return updates.join(known, self.key, "left").select(
             F.lit(version).cast("long").alias(VERSION), op.alias(OP), *self.columns
         )
 
@@ -131,19 +130,21 @@ class ChangeLog:
 
         Only keys touched after ``to_version`` can differ, so only they are compared.
         """
-        since = self.log.where(F.col(VERSION) > to_version)
-        keys = since.select(*self.key).distinct()
+        self._check(to_version)
+        now = self._latest(self._rows().where(F.col(VERSION) > to_version))
+        keys = now.select(*self.key)
         profile = profile_batch(keys, self.key, self.limit)
+        rows = self._rows().where(F.col(VERSION) <= to_version)
+        before = self._latest(rows.join(profile.keys(keys, self.key), self.key, "left_semi"))
+
         content = F.struct(*self.columns)
-        now = self._latest(since).select(
+        both = now.select(
             *self.key, content.alias("_now"), (F.col(OP) != DELETE).alias("_live")
+        ).join(
+            before.where(F.col(OP) != DELETE).select(*self.key, content.alias("_before")),
+            self.key,
+            "left",
         )
-        before = (
-            self.as_of(to_version)
-            .join(profile.keys(keys, self.key), self.key, "left_semi")
-            .select(*self.key, content.alias("_before"))
-        )
-        both = now.join(before, self.key, "left")
         op = (
             F.when(F.col("_before").isNull(), F.when(F.col("_live"), F.lit(DELETE)))
             .when(~F.col("_live"), F.lit(INSERT))
@@ -166,10 +167,16 @@ class ChangeLog:
 
     # Parts -------------------------------------------------------------------------------
 
-    def _base_rows(self) -> DataFrame:
-        if self.base_state is not None:
-            return self.base_state.select(*self.columns)
-        return self.log.where(F.col(VERSION) == self.base).select(*self.columns)
+    def _check(self, version: int) -> None:
+        if version < self.base:
+            raise ValueError(f"version {version} lies before the base {self.base} of this log")
+
+    def _rows(self) -> DataFrame:
+        """The base as rows of its version, and all changes since."""
+        if self.base_state is None:
+            return self.log.where(F.col(VERSION) >= self.base)
+        state = _tagged(self.base_state.select(*self.columns), self.base, INSERT)
+        return state.unionByName(self.log.where(F.col(VERSION) > self.base))
 
     def _latest(self, log: DataFrame) -> DataFrame:
         """The last row of each key, combined on the map side before the shuffle."""

@@ -20,8 +20,21 @@ CUSTOMER_HISTORY = History("c_custkey")
 COLUMNS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 
 
+# The columns of the given tables. Naming them saves a look into the files.
+SCHEMAS = {
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
+    "c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+    "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+    "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def _last_orders(spark: SparkSession, folder: str) -> DataFrame:
@@ -46,39 +59,48 @@ def _suppliers(spark: SparkSession, folder: str, segment: str) -> DataFrame:
     )
 
 
-def updates(spark: SparkSession, folder: str, with_date: bool = False) -> DataFrame:
-    """The first batch, written once because every merge reads its batch several times."""
+def _customers_with_last_order(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "customer").join(_last_orders(spark, folder), "c_custkey")
+
+
+def _first_batch(customers: DataFrame, suppliers: DataFrame) -> DataFrame:
     urgent = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")
-    known = (
-        table(spark, folder, "customer")
-        .join(_last_orders(spark, folder).where("o_orderstatus = 'O'"), "c_custkey")
-        .select(
-            "c_custkey",
-            "c_name",
-            "c_nationkey",
-            F.col("o_totalprice").alias("c_acctbal"),
-            F.when(urgent, "PRIORITY").otherwise(F.col("c_mktsegment")).alias("c_mktsegment"),
-            F.to_date("o_orderdate").alias("c_lastorder"),
-        )
+    known = customers.where("o_orderstatus = 'O'").select(
+        "c_custkey",
+        "c_name",
+        "c_nationkey",
+        F.col("o_totalprice").alias("c_acctbal"),
+        F.when(urgent, "PRIORITY").otherwise(F.col("c_mktsegment")).alias("c_mktsegment"),
+        F.to_date("o_orderdate").alias("c_lastorder"),
     )
-    batch = known.unionByName(_suppliers(spark, folder, "SUPPLIER"), allowMissingColumns=True)
-    return stage(batch if with_date else batch.drop("c_lastorder"), "updates")
+    return known.unionByName(suppliers, allowMissingColumns=True)
 
 
-def second_updates(spark: SparkSession, folder: str) -> DataFrame:
-    """A later batch: customers whose last order is finished, and the suppliers once more."""
-    known = (
-        table(spark, folder, "customer")
-        .join(_last_orders(spark, folder).where("o_orderstatus = 'F'"), "c_custkey")
-        .select(
-            "c_custkey",
-            "c_name",
-            "c_nationkey",
-            F.col("o_totalprice").alias("c_acctbal"),
-            F.lit("FINISHED").alias("c_mktsegment"),
-        )
+def _second_batch(customers: DataFrame, suppliers: DataFrame) -> DataFrame:
+    known = customers.where("o_orderstatus = 'F'").select(
+        "c_custkey",
+        "c_name",
+        "c_nationkey",
+        F.col("o_totalprice").alias("c_acctbal"),
+        F.lit("FINISHED").alias("c_mktsegment"),
     )
-    return stage(known.unionByName(_suppliers(spark, folder, "PARTNER")), "updates")
+    return known.unionByName(suppliers)
+
+
+def updates(spark: SparkSession, folder: str, with_date: bool = False) -> DataFrame:
+    """The first batch, written once because every merge reads its batch several times."""
+    customers = _customers_with_last_order(spark, folder)
+    batch = _first_batch(customers, _suppliers(spark, folder, "SUPPLIER"))
+    return stage(batch if with_date else batch.drop("c_lastorder"), "updates")
+
+
+def both_updates(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """The first batch and a later one: customers whose last order is finished, suppliers again."""
+    customers = stage(_customers_with_last_order(spark, folder), "updates")
+    return [
+        _first_batch(customers, _suppliers(spark, folder, "SUPPLIER")).drop("c_lastorder"),
+        _second_batch(customers, _suppliers(spark, folder, "PARTNER")),
+    ]
 
 
 def history(spark: SparkSession, folder: str) -> DataFrame:
@@ -103,8 +125,8 @@ def history(spark: SparkSession, folder: str) -> DataFrame:
 def change_log(spark: SparkSession, folder: str, versions: int = 2) -> ChangeLog:
     """A type 4 log: all customers as version 0, then up to two batches."""
     log = ChangeLog.start(table(spark, folder, "customer"), "c_custkey")
-    for version, batch in enumerate([updates, second_updates][:versions], start=1):
-        log = log.with_changes(stage(log.merge(batch(spark, folder), version), "changes"))
+    for version, batch in enumerate(both_updates(spark, folder)[:versions], start=1):
+        log = log.with_changes(stage(log.merge(batch, version), "changes"))
     return log
 
 

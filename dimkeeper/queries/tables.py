@@ -169,7 +169,7 @@ def publish_state(spark: SparkSession, folder: str) -> DataFrame:
     place = fresh_path(spark, "published")
     name = "dimkeeper_published"
     inputs.table(spark, folder, "customer").createOrReplaceTempView(name)
-    for batch in (inputs.updates, inputs.second_updates):
-        state = type1.upsert(read_table(spark, name), batch(spark, folder), "c_custkey")
+    for batch in inputs.both_updates(spark, folder):
+        state = type1.upsert(read_table(spark, name), batch, "c_custkey")
         publish(state, name, place, temporary=True)
     return read_table(spark, name)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from dimkeeper.operators import ChangeLog
 from dimkeeper.queries import inputs
 from dimkeeper.queries.registry import query
-from dimkeeper.session import fresh_path
+from dimkeeper.session import fresh_path, stage
 from dimkeeper.sources import append_version, read_log
 
 _STATE1 = inputs.with_sql(inputs.UPDATES_SQL, inputs.UPSERT_SQL)
@@ -53,7 +53,8 @@ def v_union_versions(spark: SparkSession, folder: str) -> DataFrame:
 @query("SELECT * FROM customer")
 def v_restore(spark: SparkSession, folder: str) -> DataFrame:
     log = inputs.change_log(spark, folder)
-    return log.with_changes(log.restore(to_version=0, version=3)).current()
+    rollback = stage(log.restore(to_version=0, version=3), "changes")
+    return log.with_changes(rollback).current()
 
 
 @query(
