@@ -24,6 +24,7 @@ from dimkeeper.operators.merge import AmbiguousMatchError
 from dimkeeper.plans.batch import BatchProfile, profile_batch
 from dimkeeper.plans.lookup import without_match
 from dimkeeper.plans.numbering import number_rows
+from dimkeeper.session import stage
 
 ACTIVE = "active"
 ALL = "all"
@@ -111,11 +112,12 @@ class History:
         if profile.repeated_keys:
             raise AmbiguousMatchError(f"{profile.repeated_keys} keys occur in several update rows")
         if skip_unchanged:
-            updates = self._changed_only(history, updates, profile)
+            # Written once: the comparison would otherwise run for each use below.
+            updates = stage(self._changed_only(history, updates, profile), "changed")
         effective_date = effective_date or today(history)
 
         opened = self.assign_ids(history, self._opened(history, updates, effective_date))
-        closed = self._closed(history, opened, key, effective_date, expire, profile)
+        closed = self._closed(history, updates, key, effective_date, expire, profile)
         return closed.select(*history.columns).unionByName(opened)
 
     def assign_ids(self, history: DataFrame, rows: DataFrame) -> DataFrame:
@@ -177,7 +179,7 @@ class History:
     def _closed(
         self,
         history: DataFrame,
-        opened: DataFrame,
+        updates: DataFrame,
         key: list[str],
         effective_date: datetime.date,
         expire: str,
@@ -185,7 +187,7 @@ class History:
     ) -> DataFrame:
         """All old rows, those hit by the batch with their end date set."""
         end_type = history.schema[resolve_names(history, [self.end])[0]].dataType
-        hits = profile.keys(opened, key).withColumn("_hit", F.lit(True))
+        hits = profile.keys(updates, key).withColumn("_hit", F.lit(True))
         hit = F.col("_hit") if expire == ALL else F.col("_hit") & self.is_active()
         end = F.when(hit, F.lit(effective_date).cast(end_type)).otherwise(F.col(self.end))
         if profile.keys_fit:
