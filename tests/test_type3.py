@@ -1,0 +1,115 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from dimkeeper.operators import AmbiguousMatchError, type3
+from dimkeeper.sources import rows
+
+SCHEMA = "employee_id BIGINT, name STRING, address_country STRING"
+BATCH = "employee_id INT, name STRING, address_country STRING"
+TABLE = [(9, "a", "Chile"), (10, "b", "Chile"), (11, "c", "Peru"), (12, "d", "Peru"), (13, "e", None)]
+COUNTRY = "address_country"
+
+
+def result(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+@pytest.mark.parametrize("limit", [None, -1])
+def test_scenario(spark, limit):
+    """Three people move, one is new; all others have no previous country."""
+    batch = [(9, "a", "Kenya"), (10, "b", "Ghana"), (11, "c", "Mali"), (501, "z", "Mali")]
+    got = type3.apply(
+        rows(spark, TABLE, SCHEMA), rows(spark, batch, BATCH), "employee_id", COUNTRY, limit=limit
+    )
+    assert got.columns == ["employee_id", "name", COUNTRY, f"previous_{COUNTRY}"]
+    assert result(got) == [
+        (10, "b", "Ghana", "Chile"),
+        (11, "c", "Mali", "Peru"),
+        (12, "d", "Peru", None),
+        (13, "e", None, None),
+        (501, "z", "Mali", None),
+        (9, "a", "Kenya", "Chile"),
+    ]
+
+
+@pytest.mark.parametrize("limit", [None, -1])
+def test_only_the_tracked_column_counts(spark, limit):
+    """Row 9 differs in its name only and is dropped; row 13 goes from null to a value."""
+    table = rows(spark, TABLE, SCHEMA)
+    batch = rows(spark, [(9, "renamed", "Chile"), (13, "e", "Mali"), (12, "d", None)], BATCH)
+    assert type3.change_rows(table, batch, "employee_id", COUNTRY, limit=limit).count() == 0
+    safe = type3.change_rows(table, batch, "employee_id", COUNTRY, null_safe=True, limit=limit)
+    assert result(safe) == [(12, "d", None, "Peru"), (13, "e", "Mali", None)]
+    merged = type3.apply(table, batch, "employee_id", COUNTRY, null_safe=True, limit=limit)
+    assert {r[0]: tuple(r[1:]) for r in merged.collect()}[12] == ("d", None, "Peru")
+
+
+def test_next_change_overwrites_the_earlier_value(spark):
+    table = rows(spark, TABLE, SCHEMA)
+    once = type3.apply(table, rows(spark, [(9, "a", "Kenya")], BATCH), "employee_id", COUNTRY)
+    twice = type3.apply(once, rows(spark, [(9, "a", "Mali")], BATCH), "employee_id", COUNTRY)
+    assert twice.columns == once.columns
+    assert {r[0]: r[3] for r in twice.collect()} == {9: "Kenya", 10: None, 11: None, 12: None, 13: None}
+
+
+def test_a_second_column_keeps_the_first_one_s_value(spark):
+    table = rows(spark, TABLE, SCHEMA)
+    once = type3.apply(table, rows(spark, [(9, "a", "Kenya")], BATCH), "employee_id", COUNTRY)
+    batch = rows(spark, [(9, "A", "Kenya"), (7, "new", "Mali")], BATCH)
+    got = type3.apply(once, batch, "employee_id", "NAME")
+    found = {r.employee_id: r for r in got.collect()}
+    assert (found[9].name, found[9].previous_name) == ("A", "a")
+    assert found[9][f"previous_{COUNTRY}"] == "Chile"
+    assert found[7][f"previous_{COUNTRY}"] is None
+
+
+@pytest.mark.parametrize("limit", [None, -1])
+def test_new_rows(spark, limit):
+    batch = rows(spark, [(9, "a", "Kenya"), (77, "x", "Mali"), (None, "n", "Fiji")], BATCH)
+    got = type3.new_rows(rows(spark, TABLE, SCHEMA), batch, "employee_id", limit)
+    assert result(got) == [(77, "x", "Mali"), (None, "n", "Fiji")]
+
+
+@pytest.mark.parametrize("limit", [None, -1])
+def test_repeated_updates(spark, limit):
+    """Equal rows count once, and a repeated row that is no change does not conflict."""
+    table = rows(spark, TABLE, SCHEMA)
+    batch = [(9, "a", "Kenya"), (9, "a", "Kenya"), (9, "a", "Chile"), (70, "n", "Fiji"), (70, "n", "Fiji")]
+    got = type3.apply(table, rows(spark, batch, BATCH), "employee_id", COUNTRY, limit=limit)
+    found = result(got)
+    assert (9, "a", "Kenya", "Chile") in found
+    assert found.count((70, "n", "Fiji", None)) == 1
+    assert len(found) == 6
+    with pytest.raises(AmbiguousMatchError):
+        two = rows(spark, [(9, "a", "Kenya"), (9, "a", "Mali")], BATCH)
+        type3.apply(table, two, "employee_id", COUNTRY, limit=limit)
+
+
+@pytest.mark.parametrize("limit", [None, -1])
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_apply_equals_change_rows_merged(spark, limit, null_safe):
+    r = random.Random(3)
+    value = lambda: r.choice(["A", "B", None])
+    table = [(k, value(), value()) for k in range(40)] + [(None, "t", "A")]
+    batch = [(k, value(), value()) for k in r.sample(range(60), 30)] + [(None, "u", "B")]
+    found = type3.apply(
+        rows(spark, table, SCHEMA), rows(spark, batch, BATCH), "employee_id", COUNTRY, null_safe, limit
+    )
+    old = {t[0]: t for t in table if t[0] is not None}
+    new = {b[0]: b for b in batch if b[0] is not None}
+
+    def changed(t, b):
+        if null_safe:
+            return t[2] != b[2]
+        return None not in (t[2], b[2]) and t[2] != b[2]
+
+    want = [(None, "t", "A", None), (None, "u", "B", None)]
+    for k in old.keys() | new.keys():
+        if k in old and k in new and changed(old[k], new[k]):
+            want.append((*new[k], old[k][2]))
+        else:
+            want.append((*old.get(k, new.get(k)), None))
+    assert result(found) == sorted(want, key=str)
