@@ -186,9 +186,9 @@ def _updated(
         partners = partners.dropDuplicates(on)
     partners = partners.withColumn("_hit", F.lit(True))
     if profile.rows_fit:
-        joined = target.alias("t").join(F.broadcast(partners).alias("u"), _equal(on), "left")
+        joined = target.alias("t").join(F.broadcast(partners).alias("u"), equal_keys(on), "left")
         return joined.select(*_changed(target, updates, on, matched, matched_when))
-    joined = with_key(target, on).alias("t").join(partners.alias("u"), _equal(on), "left")
+    joined = with_key(target, on).alias("t").join(partners.alias("u"), equal_keys(on), "left")
     changed = joined.select(*_changed(target, updates, on, matched, matched_when))
     keyless = without_key(target, on)
     return changed if keyless is None else changed.unionByName(keyless)
@@ -204,7 +204,7 @@ def _full_outer(
 ) -> DataFrame:
     left = with_key(target, on).withColumn("_here", F.lit(True)).alias("t")
     right = with_key(updates, on).withColumn("_hit", F.lit(True)).alias("u")
-    joined = left.join(right, _equal(on), "full" if not_matched == ALL else "left")
+    joined = left.join(right, equal_keys(on), "full" if not_matched == ALL else "left")
     known = F.col("t._here")
     changed = _changed(target, updates, on, matched, matched_when)
     result = joined.select(
@@ -256,7 +256,8 @@ def _as_inserts(fresh: DataFrame, target: DataFrame) -> DataFrame:
     )
 
 
-def _equal(on: list[str]) -> Column:
+def equal_keys(on: list[str]) -> Column:
+    """Equality of all keys between the aliases ``t`` and ``u``."""
     condition = F.col(f"t.{on[0]}") == F.col(f"u.{on[0]}")
     for c in on[1:]:
         condition &= F.col(f"t.{c}") == F.col(f"u.{c}")

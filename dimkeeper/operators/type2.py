@@ -45,10 +45,14 @@ class History:
         self.start = start
         self.end = end
 
+    def spelled_as(self, history: DataFrame) -> History:
+        """The same roles with the names as the table spells them."""
+        key = resolve_names(history, self.key)
+        return History(key, *resolve_names(history, [self.surrogate, self.start, self.end]))
+
     def attributes(self, history: DataFrame) -> list[str]:
         """Every column that is neither id nor one of the two dates; the key is included."""
-        given = {c.lower() for c in (self.surrogate, self.start, self.end)}
-        return [c for c in history.columns if c.lower() not in given]
+        return [c for c in history.columns if c not in (self.surrogate, self.start, self.end)]
 
     # Reading -----------------------------------------------------------------------------
 
@@ -79,11 +83,11 @@ class History:
         limit: int | None = None,
     ) -> DataFrame:
         """The updates as new open rows without id, and all rows the table has for their keys."""
-        updates = self._fit(history, updates)
-        key = resolve_names(history, self.key)
-        profile = profile_batch(updates.select(*key), key, limit)
-        known = history.join(profile.keys(updates, key), key, "left_semi")
-        opened = self._opened(history, updates, effective_date or today(history))
+        roles = self.spelled_as(history)
+        updates = roles._fit(history, updates)
+        profile = profile_batch(updates.select(*roles.key), roles.key, limit)
+        known = history.join(profile.keys(updates, roles.key), roles.key, "left_semi")
+        opened = roles._opened(history, updates, effective_date or today(history))
         return opened.unionByName(known).select(*history.columns)
 
     def apply(
@@ -106,41 +110,41 @@ class History:
         """
         if expire not in (ACTIVE, ALL):
             raise ValueError(f"expire is 'active' or 'all', not {expire!r}")
-        updates = self._fit(history, updates)
-        key = resolve_names(history, self.key)
-        profile = profile_batch(updates, key, limit)
+        roles = self.spelled_as(history)
+        updates = roles._fit(history, updates)
+        profile = profile_batch(updates, roles.key, limit)
         if profile.repeated_keys:
             raise AmbiguousMatchError(f"{profile.repeated_keys} keys occur in several update rows")
         if skip_unchanged:
             # Written once: the comparison would otherwise run for each use below.
-            updates = stage(self._changed_only(history, updates, profile), "changed")
+            updates = stage(roles._changed_only(history, updates, profile), "changed")
         effective_date = effective_date or today(history)
 
-        opened = self.assign_ids(history, self._opened(history, updates, effective_date))
-        closed = self._closed(history, updates, key, effective_date, expire, profile)
+        opened = roles.assign_ids(history, roles._opened(history, updates, effective_date))
+        closed = roles._closed(history, updates, effective_date, expire, profile)
         return closed.select(*history.columns).unionByName(opened)
 
     def assign_ids(self, history: DataFrame, rows: DataFrame) -> DataFrame:
         """Give ``rows`` the ids after the largest one of ``history``, in key order."""
-        free = history.agg((F.coalesce(F.max(self.surrogate), F.lit(-1)) + 1).cast("long").alias("free"))
-        key = resolve_names(rows, self.key)
-        rest = [c for c in rows.columns if c not in key and c != self.surrogate]
-        order = [F.col(c).asc_nulls_last() for c in key + _sortable(rows, rest)]
+        largest = F.coalesce(F.max(self.surrogate), F.lit(-1)).cast("long")
+        free = history.agg((largest + 1).alias("free"))
+        order = [F.col(c).asc_nulls_last() for c in self._order(rows)]
         numbered = number_rows(rows, order, self.surrogate, free)
         return cast_like(numbered, history).select(*rows.columns)
 
     def renumber(self, history: DataFrame) -> DataFrame:
         """Ids from 0 without gaps: by the old id, rows without one last and in key order."""
-        key = resolve_names(history, self.key)
-        rest = [c for c in history.columns if c not in key and c != self.surrogate]
-        order = [self.surrogate] + key + _sortable(history, rest)
-        numbered = number_rows(
-            history, [F.col(c).asc_nulls_last() for c in order], self.surrogate
-        )
-        return numbered.select(*history.columns)
+        roles = self.spelled_as(history)
+        order = [F.col(c).asc_nulls_last() for c in [roles.surrogate, *roles._order(history)]]
+        return number_rows(history, order, roles.surrogate).select(*history.columns)
 
     # Parts -------------------------------------------------------------------------------
 
+    def _order(self, rows: DataFrame) -> list[str]:
+        """The business key, then every other column that can be sorted by."""
+        rest = [f.name for f in rows.schema if "map<" not in f.dataType.simpleString()]
+        return self.key + [c for c in rest if c not in (*self.key, self.surrogate)]
+
     def _fit(self, history: DataFrame, updates: DataFrame) -> DataFrame:
         """Attributes of the batch under the table's names and types; an id in it is ignored."""
         updates = align_names(updates, history)
@@ -151,28 +155,25 @@ class History:
     def _opened(
         self, history: DataFrame, updates: DataFrame, effective_date: datetime.date
     ) -> DataFrame:
-        types = {f.name.lower(): f.dataType for f in history.schema}
+        types = {f.name: f.dataType for f in history.schema}
         return updates.select(
-            typed_null(types[self.surrogate.lower()]).alias(self.surrogate),
+            typed_null(types[self.surrogate]).alias(self.surrogate),
             *updates.columns,
-            F.lit(effective_date).cast(types[self.start.lower()]).alias(self.start),
-            typed_null(types[self.end.lower()]).alias(self.end),
+            F.lit(effective_date).cast(types[self.start]).alias(self.start),
+            typed_null(types[self.end]).alias(self.end),
         )
 
     def _changed_only(
         self, history: DataFrame, updates: DataFrame, profile: BatchProfile
     ) -> DataFrame:
         """Drop updates that equal the open row of their key, nulls counting as equal."""
-        key = resolve_names(history, self.key)
-        attributes = [c for c in updates.columns if c not in key]
-        if not attributes:
-            return without_match(updates, self.active(history), key, profile)
+        attributes = [c for c in updates.columns if c not in self.key]
         # Structs compare field by field with null equal to null.
         content = F.struct(*attributes).alias("_content")
-        current = self.active(history).select(*key, content)
+        current = self.active(history).select(*self.key, content)
         wide = replace(profile, key_bytes=profile.row_bytes)
         changed = without_match(
-            updates.select("*", content), current, key + ["_content"], wide
+            updates.select("*", content), current, [*self.key, "_content"], wide
         )
         return changed.select(*updates.columns)
 
@@ -180,13 +181,12 @@ class History:
         self,
         history: DataFrame,
         updates: DataFrame,
-        key: list[str],
         effective_date: datetime.date,
         expire: str,
         profile: BatchProfile,
     ) -> DataFrame:
         """All old rows, those hit by the batch with their end date set."""
-        end_type = history.schema[resolve_names(history, [self.end])[0]].dataType
+        key, end_type = self.key, history.schema[self.end].dataType
         hits = profile.keys(updates, key).withColumn("_hit", F.lit(True))
         hit = F.col("_hit") if expire == ALL else F.col("_hit") & self.is_active()
         end = F.when(hit, F.lit(effective_date).cast(end_type)).otherwise(F.col(self.end))
@@ -203,8 +203,3 @@ class History:
 def today(df: DataFrame) -> datetime.date:
     """The current date in the session's time zone, fixed once for a whole merge."""
     return df.sparkSession.range(1).select(F.current_date()).first()[0]
-
-
-def _sortable(df: DataFrame, names: Sequence[str]) -> list[str]:
-    """Columns that have an order; maps have none."""
-    return [n for n in names if "map<" not in df.schema[n].dataType.simpleString()]

@@ -7,8 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimkeeper.functions.columns import align_names, cast_like, resolve_names, typed_null
-from dimkeeper.operators.merge import merge
+from dimkeeper.functions.columns import (
+    align_names,
+    cast_like,
+    resolve_names,
+    typed_null,
+    with_key,
+)
+from dimkeeper.operators.merge import equal_keys, merge
 from dimkeeper.plans.batch import BatchProfile, profile_batch
 from dimkeeper.plans.lookup import without_match
 
@@ -41,18 +47,16 @@ def change_rows(
     Equal rows are returned once.
     """
     key, column, updates = _fit(target, updates, key, column)
-    profile = profile_batch(updates, key, limit)
-    before = F.col(f"t.{column}")
-    changed = updates.alias("u").join(
-        _partners(target, updates, key, column, profile).alias("t"),
-        _condition(key, column, null_safe),
-        "inner",
+    profile = profile_batch(updates.select(*key), key, limit)
+    # Changed and new rows exclude each other, so one outer join finds both.
+    partners = _partners(target, updates, key, column, profile)
+    joined = updates.alias("u").join(partners.alias("t"), equal_keys(key), "left")
+    known = F.col("t._known")
+    return (
+        joined.where(known.isNull() | _differs(column, null_safe))
+        .select("u.*", F.col(f"t.{column}").alias(previous_name(column)))
+        .distinct()
     )
-    changed = changed.select("u.*", before.alias(previous_name(column)))
-    fresh = without_match(updates, target, key, profile).select(
-        *updates.columns, typed_null(target.schema[column].dataType).alias(previous_name(column))
-    )
-    return changed.unionByName(fresh).distinct()
 
 
 def apply(
@@ -106,18 +110,11 @@ def _differs(column: str, null_safe: bool) -> Column:
     return ~old.eqNullSafe(new) if null_safe else old != new
 
 
-def _condition(key: list[str], column: str, null_safe: bool) -> Column:
-    condition = _differs(column, null_safe)
-    for c in key:
-        condition = (F.col(f"t.{c}") == F.col(f"u.{c}")) & condition
-    return condition
-
-
 def _partners(
     target: DataFrame, updates: DataFrame, key: list[str], column: str, profile: BatchProfile
 ) -> DataFrame:
     """Key and tracked value of the table; only rows the batch can hit if the batch is small."""
-    partners = target.select(*key, column)
+    partners = with_key(target, key).select(*key, column, F.lit(True).alias("_known"))
     if profile.keys_fit:
         partners = partners.join(profile.keys(updates, key), key, "left_semi")
     return partners

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from dimkeeper.functions.columns import align_names, cast_like, resolve_names, without_key
 from dimkeeper.operators.merge import AmbiguousMatchError, fit
-from dimkeeper.plans.batch import profile_batch
+from dimkeeper.plans.batch import BatchProfile, profile_batch
 
 VERSION = "version"
 OP = "op"
@@ -117,7 +117,7 @@ class ChangeLog:
             raise ValueError(f"{profile.null_keys} update rows have no {self.key}")
         if profile.repeated_keys:
             raise AmbiguousMatchError(f"{profile.repeated_keys} keys occur in several update rows")
-        rows = self._rows().join(profile.keys(updates, self.key), self.key, "left_semi")
+        rows = self._of_keys(self._rows(), updates, profile)
         known = self._latest(rows).where(F.col(OP) != DELETE)
         known = known.select(*self.key, F.lit(True).alias("_known"))
         op = F.when(F.col("_known"), F.lit(UPDATE)).otherwise(F.lit(INSERT))
@@ -135,7 +135,7 @@ class ChangeLog:
         keys = now.select(*self.key)
         profile = profile_batch(keys, self.key, self.limit)
         rows = self._rows().where(F.col(VERSION) <= to_version)
-        before = self._latest(rows.join(profile.keys(keys, self.key), self.key, "left_semi"))
+        before = self._latest(self._of_keys(rows, keys, profile))
 
         content = F.struct(*self.columns)
         both = now.select(
@@ -178,6 +178,14 @@ class ChangeLog:
         state = _tagged(self.base_state.select(*self.columns), self.base, INSERT)
         return state.unionByName(self.log.where(F.col(VERSION) > self.base))
 
+    def _of_keys(self, rows: DataFrame, keys: DataFrame, profile: BatchProfile) -> DataFrame:
+        """The log's rows for the keys of another frame."""
+        found = rows.join(profile.keys(keys, self.key), self.key, "left_semi")
+        # The rows may be a union of base and changes. Spark 4.1 lets an aggregate rely on the
+        # partitions of joins below a union, which adaptive execution may still change, so
+        # the rows found are distributed anew.
+        return found if profile.keys_fit else found.repartition(*self.key)
+
     def _latest(self, log: DataFrame) -> DataFrame:
         """The last row of each key, combined on the map side before the shuffle."""
         row = F.struct(OP, *[c for c in self.columns if c not in self.key])
