@@ -5,13 +5,14 @@ from dimkeeper.sources.inline import rows, values
 from dimkeeper.sources.json import load_json
 from dimkeeper.sources.publish import publish
 from dimkeeper.sources.setup import top_keys, type1_table, type2_table, type3_table
-from dimkeeper.sources.tables import create_database, create_table, drop_table, read_table
+from dimkeeper.sources.tables import create_database, create_table, drop_table, drop_view, read_table
 
 __all__ = [
     "append_version",
     "create_database",
     "create_table",
     "drop_table",
+    "drop_view",
     "load_json",
     "publish",
     "read_log",
