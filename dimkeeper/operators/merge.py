@@ -71,8 +71,11 @@ def merge(
     on = [on] if isinstance(on, str) else list(on)
     on = resolve_names(target, on)
     target, updates = fit(target, updates, on, evolve, partial=matched != ALL and not_matched != ALL)
+    whole = matched == ALL and matched_when is None and set(target.columns) <= set(updates.columns)
+    replaces = whole and not_matched == ALL and not full_outer
     if profile is None:
-        profile = profile_batch(updates, on, limit)
+        joins_rows = matched is not None and not replaces
+        profile = profile_batch(updates, on, limit, rows=joins_rows)
     if matched is not None and profile.repeated_keys:
         _refuse_ambiguous(target, updates, on, profile)
 
@@ -80,12 +83,10 @@ def merge(
         kept = target
     elif full_outer:
         return _full_outer(target, updates, on, matched, not_matched, matched_when)
-    elif matched == ALL and matched_when is None and set(target.columns) <= set(updates.columns):
-        if not_matched == ALL:
-            # Update all, insert all: whatever the batch names is replaced by the batch.
-            kept = _unmatched_rows(target, updates, on, profile)
-            return kept.select(*target.columns).unionByName(updates)
-        kept = _updated(target, updates, on, matched, None, profile)
+    elif replaces:
+        # Update all, insert all: whatever the batch names is replaced by the batch.
+        kept = _unmatched_rows(target, updates, on, profile)
+        return kept.select(*target.columns).unionByName(updates)
     else:
         kept = _updated(target, updates, on, matched, matched_when, profile)
 
@@ -102,7 +103,7 @@ def ambiguous_keys(
     on = [on] if isinstance(on, str) else list(on)
     on = resolve_names(target, on)
     updates = cast_like(align_names(updates, target), target)
-    return _ambiguous(target, updates, on, profile_batch(updates.select(*on), on, limit))
+    return _ambiguous(target, updates, on, profile_batch(updates, on, limit))
 
 
 def fit(

@@ -85,7 +85,7 @@ class History:
         """The updates as new open rows without id, and all rows the table has for their keys."""
         roles = self.spelled_as(history)
         updates = roles._fit(history, updates)
-        profile = profile_batch(updates.select(*roles.key), roles.key, limit)
+        profile = profile_batch(updates, roles.key, limit, repeats=False)
         known = history.join(profile.keys(updates, roles.key), roles.key, "left_semi")
         opened = roles._opened(history, updates, effective_date or today(history))
         return opened.unionByName(known).select(*history.columns)
@@ -112,7 +112,7 @@ class History:
             raise ValueError(f"expire is 'active' or 'all', not {expire!r}")
         roles = self.spelled_as(history)
         updates = roles._fit(history, updates)
-        profile = profile_batch(updates, roles.key, limit)
+        profile = profile_batch(updates, roles.key, limit, rows=skip_unchanged)
         if profile.repeated_keys:
             raise AmbiguousMatchError(f"{profile.repeated_keys} keys occur in several update rows")
         if skip_unchanged:

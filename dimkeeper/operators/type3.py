@@ -29,7 +29,7 @@ def new_rows(
     """Updates whose key the table does not have."""
     key = resolve_names(target, [key] if isinstance(key, str) else key)
     updates = cast_like(align_names(updates, target), target)
-    return without_match(updates, target, key, profile_batch(updates.select(*key), key, limit))
+    return without_match(updates, target, key, profile_batch(updates, key, limit))
 
 
 def change_rows(
@@ -47,7 +47,7 @@ def change_rows(
     Equal rows are returned once.
     """
     key, column, updates = _fit(target, updates, key, column)
-    profile = profile_batch(updates.select(*key), key, limit)
+    profile = profile_batch(updates, key, limit, repeats=False)
     # Changed and new rows exclude each other, so one outer join finds both.
     partners = _partners(target, updates, key, column, profile)
     joined = updates.alias("u").join(partners.alias("t"), equal_keys(key), "left")
@@ -78,7 +78,7 @@ def apply(
     previous = known.get(previous_name(column).lower(), previous_name(column))
     updates = updates.select(*[c for c in updates.columns if c != previous])
     wide = updates.withColumn(previous, typed_null(kind))
-    profile = profile_batch(wide, key, limit)
+    profile = profile_batch(wide, key, limit, rows=True)
     if profile.repeated_keys:
         # Some of the repeated rows may be no change at all, so they are sorted out first.
         rows = change_rows(target, updates, key, column, null_safe, limit)

@@ -84,7 +84,8 @@ class ChangeLog:
             log = log.where(F.col(VERSION) <= version)
         touched = self._latest(log)
         keys = touched.select(*self.key)
-        profile = profile_batch(keys, self.key, self.limit)
+        # Rows of the log, not keys, are counted: an upper bound without a shuffle.
+        profile = profile_batch(log, self.key, self.limit, repeats=False)
         untouched = base.join(profile.keys(keys, self.key), self.key, "left_anti")
         living = touched.where(F.col(OP) != DELETE)
         return untouched.select(*self.columns).unionByName(living.select(*self.columns))
@@ -112,7 +113,7 @@ class ChangeLog:
         stored log, or see the outcome with :meth:`with_changes`.
         """
         _, updates = fit(self.log.select(*self.columns), updates, self.key, evolve=False)
-        profile = profile_batch(updates.select(*self.key), self.key, self.limit)
+        profile = profile_batch(updates, self.key, self.limit)
         if profile.null_keys:
             raise ValueError(f"{profile.null_keys} update rows have no {self.key}")
         if profile.repeated_keys:
@@ -131,9 +132,10 @@ class ChangeLog:
         Only keys touched after ``to_version`` can differ, so only they are compared.
         """
         self._check(to_version)
-        now = self._latest(self._rows().where(F.col(VERSION) > to_version))
+        since = self._rows().where(F.col(VERSION) > to_version)
+        now = self._latest(since)
         keys = now.select(*self.key)
-        profile = profile_batch(keys, self.key, self.limit)
+        profile = profile_batch(since, self.key, self.limit, repeats=False)
         rows = self._rows().where(F.col(VERSION) <= to_version)
         before = self._latest(self._of_keys(rows, keys, profile))
 

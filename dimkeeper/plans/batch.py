@@ -11,17 +11,18 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimkeeper.functions.columns import has_key, with_key
+from dimkeeper.functions.columns import with_key
 from dimkeeper.session import stage
 
-# Room for the row header and the hash table entry of one broadcast row.
+# Room in bytes for the header and hash table entry of one broadcast row, and for one value
+# of it apart from a text's own length. Both are more than Spark uses.
 ROW_OVERHEAD = 48
+VALUE_SIZE = 24
 
 _UNITS = {"": 1, "b": 1, "k": 2**10, "kb": 2**10, "m": 2**20, "mb": 2**20, "g": 2**30, "gb": 2**30}
 
@@ -33,13 +34,18 @@ def broadcast_limit(spark: SparkSession) -> int:
     return int(number) * _UNITS[unit.lower()]
 
 
-def _width(field: T.StructField) -> Column:
-    """Bytes one value takes in a row, or at least as many."""
-    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-        return F.coalesce(F.octet_length(F.col(field.name)), F.lit(0)) + 16
-    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-        return F.coalesce(F.octet_length(F.to_json(F.struct(field.name))), F.lit(0)) * 8 + 16
-    return F.lit(24)
+def _fixed_and_varying(fields: Sequence[T.StructField]) -> tuple[int, str]:
+    """Bytes every row takes, and an SQL expression for what a row takes on top."""
+    fixed, varying = ROW_OVERHEAD, []
+    for field in fields:
+        name = f"`{field.name.replace('`', '``')}`"
+        fixed += VALUE_SIZE
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            varying.append(f"coalesce(octet_length({name}), 0)")
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            # The text form of a nested value, times what its shortest part may take in a row.
+            varying.append(f"{VALUE_SIZE} * coalesce(octet_length(to_json(struct({name}))), 0)")
+    return fixed, " + ".join(varying)
 
 
 @dataclass(frozen=True)
@@ -50,7 +56,7 @@ class BatchProfile:
     null_keys: int
     repeated_keys: int
     key_bytes: int
-    row_bytes: int
+    row_bytes: int | None
     limit: int
 
     @property
@@ -59,7 +65,7 @@ class BatchProfile:
 
     @property
     def rows_fit(self) -> bool:
-        return self.row_bytes <= self.limit
+        return self.row_bytes is not None and self.row_bytes <= self.limit
 
     def keys(self, df: DataFrame, on: Sequence[str]) -> DataFrame:
         """The distinct non-null keys of the measured frame, marked for broadcast if they fit."""
@@ -73,30 +79,45 @@ class BatchProfile:
         return stage(keys, "keys") if self.repeated_keys else keys
 
 
-def profile_batch(updates: DataFrame, on: Sequence[str], limit: int | None = None) -> BatchProfile:
-    """Measure ``updates`` in one job. ``limit`` defaults to the session's broadcast limit."""
-
-    def size(names: Sequence[str]) -> Column:
-        widths = [_width(updates.schema[n]) for n in names]
-        return reduce(lambda a, b: a + b, widths, F.lit(ROW_OVERHEAD)).cast("long")
-
-    measured = (
-        updates.select(*on, size(on).alias("_key_bytes"), size(updates.columns).alias("_row_bytes"))
-        .groupBy(*on)
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.sum("_key_bytes").alias("_key_bytes"),
-            F.sum("_row_bytes").alias("_row_bytes"),
-        )
-        .agg(
-            F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
-            F.coalesce(F.sum(F.when(~has_key(on), F.col("_n"))), F.lit(0)).alias("null_keys"),
-            F.count_if(has_key(on) & (F.col("_n") > 1)).alias("repeated_keys"),
-            F.coalesce(F.sum("_key_bytes"), F.lit(0)).alias("key_bytes"),
-            F.coalesce(F.sum("_row_bytes"), F.lit(0)).alias("row_bytes"),
+def profile_batch(
+    updates: DataFrame,
+    on: Sequence[str],
+    limit: int | None = None,
+    rows: bool = False,
+    repeats: bool = True,
+) -> BatchProfile:
+    """Measure ``updates`` in one job that reads the key columns only.
+
+    ``rows`` measures whole rows too, for joins that would broadcast them; otherwise
+    ``row_bytes`` is None. Without ``repeats`` keys are not compared and count as unique,
+    which spares the shuffle by key. ``limit`` defaults to the session's broadcast limit.
+    """
+    key_size, key_text = _fixed_and_varying([updates.schema[c] for c in on])
+    row_size, row_text = _fixed_and_varying(updates.schema.fields if rows else [])
+    no_key = "(" + " OR ".join(f"`{c}` IS NULL" for c in on) + ")"
+
+    measured = updates.selectExpr(
+        *[f"`{c}`" for c in on],
+        "1L AS _n",
+        f"CAST({key_text or 0} AS BIGINT) AS _key_text",
+        f"CAST({row_text or 0} AS BIGINT) AS _row_text",
+    )
+    if repeats:
+        measured = measured.groupBy(*on).agg(
+            *[F.expr(f"sum({c}) AS {c}") for c in ("_n", "_key_text", "_row_text")]
         )
-        .first()
+    found = measured.selectExpr(
+        "coalesce(sum(_n), 0) AS rows",
+        f"coalesce(sum(_n) FILTER (WHERE {no_key}), 0) AS null_keys",
+        f"count_if(_n > 1 AND NOT {no_key}) AS repeated_keys",
+        "coalesce(sum(_key_text), 0) AS key_text",
+        "coalesce(sum(_row_text), 0) AS row_text",
+    ).first()
+    return BatchProfile(
+        rows=found["rows"],
+        null_keys=found["null_keys"],
+        repeated_keys=found["repeated_keys"],
+        key_bytes=found["rows"] * key_size + found["key_text"],
+        row_bytes=found["rows"] * row_size + found["row_text"] if rows else None,
+        limit=broadcast_limit(updates.sparkSession) if limit is None else limit,
     )
-    if limit is None:
-        limit = broadcast_limit(updates.sparkSession)
-    return BatchProfile(**measured.asDict(), limit=limit)

@@ -61,15 +61,18 @@ def test_profile(spark):
     rows = spark.createDataFrame(
         [(1, "a"), (1, "b"), (2, "ccc"), (None, "d"), (None, None)], "k BIGINT, v STRING"
     )
-    p = profile_batch(rows, ["k"], limit=500)
+    p = profile_batch(rows, ["k"], limit=500, rows=True)
     assert (p.rows, p.null_keys, p.repeated_keys) == (5, 2, 1)
     assert p.key_bytes == 5 * (48 + 24)
-    assert p.row_bytes == 5 * (48 + 24 + 16) + 6
+    assert p.row_bytes == 5 * (48 + 24 + 24) + 6
     assert p.keys_fit and p.rows_fit
     assert not profile_batch(rows, ["k"], limit=10).keys_fit
     assert sorted(r.k for r in p.keys(rows, ["k"]).collect()) == [1, 2]
     nested = rows.select("k", F.array("v").alias("a"))
-    assert profile_batch(nested, ["k"]).row_bytes > p.key_bytes
+    assert profile_batch(nested, ["k"], rows=True).row_bytes > p.row_bytes
+    unread = profile_batch(rows, ["k"], repeats=False)
+    assert unread.row_bytes is None and not unread.rows_fit
+    assert (unread.rows, unread.null_keys, unread.repeated_keys) == (5, 2, 0)
     empty = profile_batch(rows.where("false"), ["k"])
     assert (empty.rows, empty.key_bytes, empty.repeated_keys) == (0, 0, 0)
 
