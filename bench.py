@@ -2,7 +2,8 @@
 
 BENCH_SF_DIR   folder with the tables (default /root/testdata/sf0.1)
 BENCH_CPUS     cores of the local session (default: all)
-BENCH_RUNS     timed runs per query after one warm-up (default 5); the median counts
+BENCH_RUNS     timed rounds over all queries after one warm-up round (default 3); the median
+               of each query counts
 BENCH_QUERIES  names to run, separated by commas (default: the list below)
 
 ``python bench.py --plain`` times Spark SQL running each query's comparison statement
@@ -17,6 +18,8 @@ import statistics
 import sys
 import time
 
+from pyspark.errors import ParseException
+
 from dimkeeper.queries import ORACLES, QUERIES
 from dimkeeper.queries.inputs import SCHEMAS, table
 from dimkeeper.session import local_session
@@ -50,7 +53,7 @@ def run(make) -> float:
 
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
-    runs = int(os.environ.get("BENCH_RUNS", "5"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",")
     cpus = os.environ.get("BENCH_CPUS", "*")
     spark = local_session(cpus)
@@ -60,19 +63,21 @@ def main() -> None:
         for name in SCHEMAS:
             table(spark, folder, name).createOrReplaceTempView(name)
 
-    seconds = {}
-    for name in names:
-        if plain:
-            make = lambda: spark.sql(ORACLES[name])
-        else:
-            make = lambda: QUERIES[name](spark, folder)
-        try:
-            run(make)
-            seconds[name] = round(statistics.median(run(make) for _ in range(runs)), 3)
-        except Exception as error:
-            if not plain:
-                raise
-            print(f"{name}: not plain Spark SQL ({type(error).__name__})", file=sys.stderr)
+    times: dict[str, list[float]] = {name: [] for name in names}
+    for _ in range(runs + 1):
+        for name in list(times):
+            if plain:
+                make = lambda: spark.sql(ORACLES[name])
+            else:
+                make = lambda: QUERIES[name](spark, folder)
+            try:
+                times[name].append(run(make))
+            except ParseException:
+                if not plain:
+                    raise
+                print(f"{name}: not plain Spark SQL", file=sys.stderr)
+                del times[name]
+    seconds = {name: round(statistics.median(spent[1:]), 3) for name, spent in times.items()}
     spark.stop()
     print(
         json.dumps(

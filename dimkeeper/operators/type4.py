@@ -102,7 +102,7 @@ class ChangeLog:
 
     def history(self) -> DataFrame:
         """How many rows each version inserted, updated and deleted."""
-        return self.log.groupBy(VERSION, OP).agg(F.count(F.lit(1)).alias("rows"))
+        return self.log.groupBy(VERSION, OP).agg(F.count(F.lit(1)).alias("n_rows"))
 
     # Writing: both return the rows to append --------------------------------------------
 

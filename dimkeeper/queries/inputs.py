@@ -40,12 +40,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def _last_orders(spark: SparkSession, folder: str) -> DataFrame:
     # The last order is combined on the map side, so a customer with most of the orders
     # does not gather in one task.
-    order = F.struct("o_orderstatus", "o_orderpriority", "o_totalprice", "o_orderdate")
+    order = F.struct("o_orderdate", "o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
     return (
         table(spark, folder, "orders")
         .groupBy(F.col("o_custkey").alias("c_custkey"))
-        .agg(F.max_by(order, F.struct("o_orderdate", "o_orderkey")).alias("o"))
-        .select("c_custkey", "o.*")
+        .agg(F.max(order).alias("o"))
+        .select("c_custkey", "o.o_orderdate", "o.o_orderstatus", "o.o_orderpriority", "o.o_totalprice")
     )
 
 
@@ -130,6 +130,35 @@ def change_log(spark: SparkSession, folder: str, versions: int = 2) -> ChangeLog
     return log
 
 
+def order_log(spark: SparkSession, folder: str) -> ChangeLog:
+    """A type 4 log with a version per year of orders, up to version 7.
+
+    A customer's last order of a year changes balance and segment; one that is finished and
+    of low priority removes the customer until a later order.
+    """
+    customer = table(spark, folder, "customer")
+    order = F.struct("o_orderdate", "o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
+    yearly = (
+        table(spark, folder, "orders")
+        .groupBy(
+            F.col("o_custkey").alias("c_custkey"),
+            (F.year("o_orderdate") - 1994).cast("long").alias("version"),
+        )
+        .agg(F.max(order).alias("o"))
+    )
+    leaves = (F.col("o.o_orderstatus") == "F") & (F.col("o.o_orderpriority") == "5-LOW")
+    changes = yearly.join(customer, "c_custkey").select(
+        "version",
+        F.when(leaves, "D").otherwise("U").alias("op"),
+        "c_custkey",
+        "c_name",
+        "c_nationkey",
+        F.col("o.o_totalprice").alias("c_acctbal"),
+        F.col("o.o_orderpriority").alias("c_mktsegment"),
+    )
+    return ChangeLog.start(customer, "c_custkey").with_changes(stage(changes, "changes"))
+
+
 def base(spark: SparkSession, folder: str) -> DataFrame:
     """Customers under keys that count from 1, with dates, as the setup queries expect them."""
     return table(spark, folder, "customer").select(
@@ -215,5 +244,32 @@ log AS (
   FROM upd2 u)"""
 
 
+ORDER_LOG_SQL = """
+order_log AS (
+  SELECT CAST(0 AS BIGINT) AS version, 'I' AS op, c_custkey, c_name, c_nationkey, c_acctbal,
+         c_mktsegment
+  FROM customer
+  UNION ALL
+  SELECT version,
+         CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '5-LOW' THEN 'D' ELSE 'U' END,
+         c_custkey, c_name, c_nationkey, o_totalprice, o_orderpriority
+  FROM (SELECT dated.*, row_number() OVER (PARTITION BY o_custkey, version
+                                           ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+        FROM (SELECT orders.*, CAST(year(o_orderdate) - 1994 AS BIGINT) AS version FROM orders)
+          dated) ranked
+  JOIN customer ON c_custkey = o_custkey
+  WHERE rn = 1)"""
+
+
+def state_sql(name: str, version: int) -> str:
+    """The state of ``order_log`` at a version, as a common table expression."""
+    return f"""
+{name} AS (
+  SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment
+  FROM (SELECT order_log.*, row_number() OVER (PARTITION BY c_custkey ORDER BY version DESC) AS rn
+        FROM order_log WHERE version <= {version}) ranked
+  WHERE rn = 1 AND op <> 'D')"""
+
+
 def with_sql(*parts: str) -> str:
     return "WITH " + ",".join(parts) + "\n"

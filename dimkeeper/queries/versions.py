@@ -6,15 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from dimkeeper.operators import ChangeLog
 from dimkeeper.queries import inputs
+from dimkeeper.queries.inputs import ORDER_LOG_SQL, state_sql
 from dimkeeper.queries.registry import query
 from dimkeeper.session import fresh_path, stage
 from dimkeeper.sources import append_version, read_log
 
 _STATE1 = inputs.with_sql(inputs.UPDATES_SQL, inputs.UPSERT_SQL)
-_STATE2 = inputs.with_sql(
-    inputs.UPDATES_SQL, inputs.UPSERT_SQL, inputs.SECOND_UPDATES_SQL, inputs.SECOND_UPSERT_SQL
-)
-_LOG = inputs.with_sql(
+_MERGED_LOG = inputs.with_sql(
     inputs.UPDATES_SQL, inputs.UPSERT_SQL, inputs.SECOND_UPDATES_SQL, inputs.LOG_SQL
 )
 
@@ -24,78 +22,88 @@ def scd4_merge(spark: SparkSession, folder: str) -> DataFrame:
     return inputs.change_log(spark, folder, versions=1).current()
 
 
-@query(_LOG + "SELECT * FROM log")
+@query(_MERGED_LOG + "SELECT * FROM log")
 def v_change_log(spark: SparkSession, folder: str) -> DataFrame:
     return inputs.change_log(spark, folder).log
 
 
 @query(_STATE1 + "SELECT * FROM state1")
+def v_log_table(spark: SparkSession, folder: str) -> DataFrame:
+    """An older state read from a stored log, one folder per version."""
+    made = inputs.change_log(spark, folder)
+    path = fresh_path(spark, "log")
+    append_version(made.log, path)
+    return ChangeLog(read_log(spark, path, made.log), "c_custkey").as_of(1)
+
+
+@query(inputs.with_sql(ORDER_LOG_SQL, state_sql("state", 4)) + "SELECT * FROM state")
 def v_as_of(spark: SparkSession, folder: str) -> DataFrame:
-    return inputs.change_log(spark, folder).as_of(1)
+    return inputs.order_log(spark, folder).as_of(4)
 
 
-@query(_STATE2 + "SELECT * FROM state2")
+@query(inputs.with_sql(ORDER_LOG_SQL, state_sql("state", 7)) + "SELECT * FROM state")
 def v_current(spark: SparkSession, folder: str) -> DataFrame:
-    return inputs.change_log(spark, folder).current()
+    return inputs.order_log(spark, folder).current()
 
 
 @query(
-    _STATE1
+    inputs.with_sql(ORDER_LOG_SQL, state_sql("early", 1), state_sql("late", 5))
     + """
-SELECT CAST(0 AS BIGINT) AS version, * FROM customer
+SELECT CAST(1 AS BIGINT) AS version, early.* FROM early
 UNION ALL
-SELECT CAST(1 AS BIGINT) AS version, * FROM state1"""
+SELECT CAST(5 AS BIGINT) AS version, late.* FROM late"""
 )
 def v_union_versions(spark: SparkSession, folder: str) -> DataFrame:
-    return inputs.change_log(spark, folder).union_versions([0, 1])
+    return inputs.order_log(spark, folder).union_versions([1, 5])
 
 
-@query("SELECT * FROM customer")
+@query(inputs.with_sql(ORDER_LOG_SQL, state_sql("state", 2)) + "SELECT * FROM state")
 def v_restore(spark: SparkSession, folder: str) -> DataFrame:
-    log = inputs.change_log(spark, folder)
-    rollback = stage(log.restore(to_version=0, version=3), "changes")
+    """The current state after a rollback to version 2 has been appended as version 8."""
+    log = inputs.order_log(spark, folder)
+    rollback = stage(log.restore(to_version=2, version=8), "changes")
     return log.with_changes(rollback).current()
 
 
 @query(
-    _LOG
+    inputs.with_sql(
+        ORDER_LOG_SQL,
+        state_sql("before", 2),
+        """
+latest AS (
+  SELECT * FROM (
+    SELECT order_log.*, row_number() OVER (PARTITION BY c_custkey ORDER BY version DESC) AS rn
+    FROM order_log WHERE version > 2) ranked
+  WHERE rn = 1)""",
+    )
     + """
-SELECT CAST(3 AS BIGINT) AS version,
-       CASE WHEN c.c_custkey IS NULL THEN 'D' ELSE 'U' END AS op,
-       s.c_custkey,
-       CASE WHEN c.c_custkey IS NULL THEN s.c_name ELSE c.c_name END AS c_name,
-       CASE WHEN c.c_custkey IS NULL THEN s.c_nationkey ELSE c.c_nationkey END AS c_nationkey,
-       CASE WHEN c.c_custkey IS NULL THEN s.c_acctbal ELSE c.c_acctbal END AS c_acctbal,
-       CASE WHEN c.c_custkey IS NULL THEN s.c_mktsegment ELSE c.c_mktsegment END AS c_mktsegment
-FROM (SELECT * FROM log WHERE version > 0
-      QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY version DESC) = 1) s
-LEFT JOIN customer c ON c.c_custkey = s.c_custkey
-WHERE c.c_custkey IS NULL OR (c.c_name, c.c_nationkey, c.c_acctbal, c.c_mktsegment)
-  IS DISTINCT FROM (s.c_name, s.c_nationkey, s.c_acctbal, s.c_mktsegment)"""
+SELECT CAST(8 AS BIGINT) AS version, 'D' AS op, l.c_custkey, l.c_name, l.c_nationkey, l.c_acctbal,
+       l.c_mktsegment
+FROM latest l LEFT JOIN before b ON b.c_custkey = l.c_custkey
+WHERE l.op <> 'D' AND b.c_custkey IS NULL
+UNION ALL
+SELECT CAST(8 AS BIGINT), CASE WHEN l.op = 'D' THEN 'I' ELSE 'U' END, b.c_custkey, b.c_name,
+       b.c_nationkey, b.c_acctbal, b.c_mktsegment
+FROM latest l JOIN before b ON b.c_custkey = l.c_custkey
+WHERE l.op = 'D' OR l.c_name IS DISTINCT FROM b.c_name
+   OR l.c_nationkey IS DISTINCT FROM b.c_nationkey OR l.c_acctbal IS DISTINCT FROM b.c_acctbal
+   OR l.c_mktsegment IS DISTINCT FROM b.c_mktsegment"""
 )
 def v_restore_changes(spark: SparkSession, folder: str) -> DataFrame:
     """The rows a rollback appends."""
-    return inputs.change_log(spark, folder).restore(to_version=0, version=3)
+    return inputs.order_log(spark, folder).restore(to_version=2, version=8)
 
 
-@query(_LOG + 'SELECT version, op, count(*) AS "rows" FROM log GROUP BY version, op')
+@query(
+    inputs.with_sql(ORDER_LOG_SQL)
+    + "SELECT version, op, count(*) AS n_rows FROM order_log GROUP BY version, op"
+)
 def v_history(spark: SparkSession, folder: str) -> DataFrame:
-    return inputs.change_log(spark, folder).history()
+    return inputs.order_log(spark, folder).history()
 
 
-@query(_STATE1 + "SELECT * FROM state1")
-def v_log_table(spark: SparkSession, folder: str) -> DataFrame:
-    """An older state read from a stored log, one folder per version."""
-    made = inputs.change_log(spark, folder)
-    path = fresh_path(spark, "log")
-    append_version(made.log, path)
-    return ChangeLog(read_log(spark, path, made.log), "c_custkey").as_of(1)
-
-
-@query(_STATE2 + "SELECT * FROM state2")
+@query(inputs.with_sql(ORDER_LOG_SQL, state_sql("state", 7)) + "SELECT * FROM state")
 def v_compact(spark: SparkSession, folder: str) -> DataFrame:
-    """The latest state read from a stored copy of version 1 and what came after."""
-    made = inputs.change_log(spark, folder)
-    path = fresh_path(spark, "compact")
-    made.as_of(1).write.parquet(path)
-    return made.compact(1, spark.read.parquet(path)).current()
+    """The latest state read from a stored copy of version 3 and what came after."""
+    log = inputs.order_log(spark, folder)
+    return log.compact(3, stage(log.as_of(3), "compact")).current()

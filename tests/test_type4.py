@@ -45,7 +45,7 @@ def test_scenario(spark, limit):
     assert state(log.current()) == state(log.as_of(0))
     assert state(log.as_of(1))[2] == ("longer", "m2@x")
     assert log.latest_version() == 2
-    history = {(r.version, r.op): r.rows for r in log.history().collect()}
+    history = {(r.version, r.op): r.n_rows for r in log.history().collect()}
     assert history == {(0, "I"): 5, (1, "U"): 2, (2, "U"): 2}
 
 
@@ -122,7 +122,7 @@ def test_stored_log_reads_only_the_versions_needed(spark, tmp_path):
     assert state(read.as_of(0)) == state(log.current())
     plan = read.as_of(0)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(version" in plan
-    assert {(r.version, r.op): r.rows for r in read.history().collect()} == {
+    assert {(r.version, r.op): r.n_rows for r in read.history().collect()} == {
         (0, "I"): 5,
         (1, "U"): 1,
         (1, "I"): 1,
