@@ -2,7 +2,7 @@
 
 BENCH_SF_DIR   folder with the tables (default /root/testdata/sf0.1)
 BENCH_CPUS     cores of the local session (default: all)
-BENCH_RUNS     timed rounds over all queries after one warm-up round (default 3); the median
+BENCH_RUNS     timed rounds over all queries after two warm-up rounds (default 3); the median
                of each query counts
 BENCH_QUERIES  names to run, separated by commas (default: the list below)
 
@@ -24,6 +24,7 @@ from dimkeeper.queries import ORACLES, QUERIES
 from dimkeeper.queries.inputs import SCHEMAS, table
 from dimkeeper.session import local_session
 
+WARM_UPS = 2
 HEADLINE = [
     "scd1_upsert",
     "merge_full_outer",
@@ -64,7 +65,7 @@ def main() -> None:
             table(spark, folder, name).createOrReplaceTempView(name)
 
     times: dict[str, list[float]] = {name: [] for name in names}
-    for _ in range(runs + 1):
+    for _ in range(WARM_UPS + runs):
         for name in list(times):
             if plain:
                 make = lambda: spark.sql(ORACLES[name])
@@ -77,7 +78,7 @@ def main() -> None:
                     raise
                 print(f"{name}: not plain Spark SQL", file=sys.stderr)
                 del times[name]
-    seconds = {name: round(statistics.median(spent[1:]), 3) for name, spent in times.items()}
+    seconds = {name: round(statistics.median(spent[WARM_UPS:]), 3) for name, spent in times.items()}
     spark.stop()
     print(
         json.dumps(

@@ -103,7 +103,7 @@ def ambiguous_keys(
     on = [on] if isinstance(on, str) else list(on)
     on = resolve_names(target, on)
     updates = cast_like(align_names(updates, target), target)
-    return _ambiguous(target, updates, on, profile_batch(updates, on, limit))
+    return _ambiguous(target, updates, on, profile_batch(updates, on, limit, repeats=False))
 
 
 def fit(
