@@ -2,15 +2,16 @@
 
 A merge can only join two bytes if their pair stands inside some token of the vocabulary. A
 pair that stands in none is therefore a certain cut: whatever is left of it is encoded
-independently of whatever is right of it. Texts are cut at such pairs, each different
-fragment is encoded once by the tokenizers library, and the fragments' ids are joined.
+independently of whatever is right of it. Texts are cut at such pairs, the tokenizers library
+encodes the fragments, and their ids are joined. A worker remembers fragments by a 64-bit hash.
 
 The library splits a text by a pattern before it merges, and that pattern looks at
 neighbours. So of the certain cuts only those are used that the pattern cannot notice:
 before white space after anything that is no white space (the pattern always ends a piece
-there), and between two ASCII letters (one run of letters stays one run of letters on either
-side; the letter pairs inside 're, 've and 'll occur in tokens). Special tokens in a text
-are found first, as the library does. A text with white space outside ASCII is encoded whole.
+there), between ASCII letters, digits and other signs where one kind follows another (so does
+it end there, except after an apostrophe), and between two ASCII letters (one run of letters
+stays one run of letters on either side; the pairs inside 're, 've and 'll occur in tokens). A text that holds a special
+token, white space outside ASCII or an information separator is encoded whole.
 """
 
 from __future__ import annotations
@@ -28,8 +29,10 @@ from pyspark.sql import types as T
 
 from dimkeeper.llm import text as tx
 
-#: Fragments kept per Python worker; beyond it the worker starts anew. A speed matter only.
-CACHE_ENTRIES = 300_000
+#: Known fragments per Python worker: 2**SLOT_BITS places, and ids of at most ARENA_IDS. Fixed
+#: memory, whatever the input; a fragment that lost its place is encoded again.
+SLOT_BITS = 22
+ARENA_IDS = 1 << 23
 #: Beginnings of the white space that has more than one byte in UTF-8.
 WIDE_SPACES = [b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80"]
 _WIDE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -69,46 +72,99 @@ class Coder:
         for token in self.tokens:
             b = np.frombuffer(token, np.uint8)
             inside[b[:-1], b[1:]] = True
-        letter = np.zeros(256, bool)
-        letter[65:91] = letter[97:123] = True
-        usable = (~tx.SPACES[:, None] & tx.SPACES[None, :]) | (letter[:, None] & letter[None, :])
+        kind = np.zeros(256, np.uint8)  # of visible ASCII: letters 1, digits 2, others 3
+        kind[33:127] = 3
+        kind[48:58] = 2
+        kind[65:91] = kind[97:123] = 1
+        usable = ~tx.SPACES[:, None] & tx.SPACES[None, :]
+        usable |= (kind[:, None] == 1) & (kind[None, :] == 1)
+        changes = (kind[:, None] > 0) & (kind[None, :] > 0) & (kind[:, None] != kind[None, :])
+        changes[ord("'")] = False
+        usable |= changes
         self.cuts = (usable & ~inside).ravel()
-        self.special = re.compile("|".join(map(re.escape, special))) if special else None
-        self.known: dict[bytes, bytes] = {}
-
-    def fragments(self, data: bytes) -> list[bytes]:
-        """The text in parts that the library encodes independently of each other."""
-        if self.special and any(self.special.finditer(data.decode())):
-            out, at, whole = [], 0, data.decode()
-            for found in self.special.finditer(whole):
-                out += self._cut(whole[at : found.start()].encode()) + [found[0].encode()]
-                at = found.end()
-            return out + self._cut(whole[at:].encode())
-        return self._cut(data)
-
-    def _cut(self, data: bytes) -> list[bytes]:
-        if _CONTROLS.search(data) or any(w in data for w in WIDE_SPACES) and _WIDE.search(data.decode()):
-            return [data]
-        b = np.frombuffer(data, np.uint8)
-        if len(b) < 2:
-            return [data] if data else []
-        pair = b[:-1].astype(np.uint16) << 8 | b[1:]
-        at = [0, *(np.flatnonzero(self.cuts[pair]) + 1).tolist(), len(data)]
-        return [data[i:j] for i, j in zip(at, at[1:])]  # noqa: B905
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        parts = [self.fragments(t) for t in texts]
-        if len(self.known) > CACHE_ENTRIES:
-            self.known = {}
-        new = [f for f in set().union(*parts) if f not in self.known]
-        codes = self.library.encode_batch_fast([f.decode() for f in new], add_special_tokens=False)
-        self.known.update((f, np.array(c.ids, "<u4").tobytes()) for f, c in zip(new, codes, strict=True))
-        find = self.known.__getitem__
-        return [b"".join(map(find, p)) for p in parts]
-
-    def decode(self, ids: np.ndarray) -> str:
-        return b"".join(map(self.tokens.__getitem__, ids.tolist())).decode("utf-8", "replace")
+        self.special = [t.encode() for t in special]
+        self.token_bytes = np.frombuffer(b"".join(self.tokens), np.uint8)
+        self.token_ends = np.cumsum([len(t) for t in self.tokens])
+        self.forget()
+
+    def forget(self) -> None:
+        """Start with no known fragment."""
+        self.keys = np.zeros(1 << SLOT_BITS, np.uint64)
+        self.begins = np.zeros(1 << SLOT_BITS, np.int32)
+        self.counts = np.full(1 << SLOT_BITS, -1, np.int32)
+        self.arena = np.zeros(ARENA_IDS, np.uint32)
+        self.filled = 0
+
+    def _whole_rows(self, data: bytes, offsets: np.ndarray) -> list[int]:
+        """Rows that are not cut: special tokens, wide or unusual white space."""
+        odd = self.special + WIDE_SPACES
+        if not (_CONTROLS.search(data) or any(w in data for w in odd)):
+            return []
+        found = []
+        for row in range(len(offsets) - 1):
+            text = data[offsets[row] : offsets[row + 1]]
+            if (
+                any(w in text for w in self.special)
+                or _CONTROLS.search(text)
+                or any(w in text for w in WIDE_SPACES)
+                and _WIDE.search(text.decode())
+            ):
+                found.append(row)
+        return found
+
+    def cut(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Where fragments begin, over all rows; no fragment crosses a row."""
+        if not len(data):
+            return np.zeros(0, np.int64)
+        begins = np.zeros(len(data), bool)
+        begins[1:] = self.cuts[data[:-1].astype(np.uint16) << 8 | data[1:]]
+        for row in self._whole_rows(data.tobytes(), offsets):
+            begins[offsets[row] : offsets[row + 1]] = False
+        begins[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
+        return np.flatnonzero(begins)
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the rows one after the other, and how many each row has."""
+        starts = self.cut(data, offsets)
+        if not len(starts):
+            return np.zeros(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
+        ends = np.append(starts[1:], len(data))
+        h = tx.span_hashes(data, starts, ends)
+        slot = (h >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        begin, count = self.begins[slot].astype(np.int64), self.counts[slot].astype(np.int64)
+        new = np.flatnonzero((self.keys[slot] != h) | (count < 0))
+        arena = self.arena
+        if len(new):
+            hashes, first = np.unique(h[new], return_index=True)
+            at = new[first]
+            raw = data.tobytes()
+            texts = [raw[i:j].decode() for i, j in zip(starts[at], ends[at], strict=True)]
+            codes = [c.ids for c in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+            sizes = np.fromiter(map(len, codes), np.int64, len(codes))
+            fresh = np.fromiter((i for c in codes for i in c), np.uint32, int(sizes.sum()))
+            if self.filled + len(fresh) > ARENA_IDS:
+                # Ids of earlier fragments are still needed for this slice.
+                arena = np.concatenate([self.arena[: self.filled], fresh])
+                put = self.filled + np.cumsum(sizes) - sizes
+                self.forget()
+            else:
+                put = self.filled + np.cumsum(sizes) - sizes
+                arena[self.filled : self.filled + len(fresh)] = fresh
+                self.filled += len(fresh)
+                self.keys[slot[at]], self.begins[slot[at]], self.counts[slot[at]] = hashes, put, sizes
+            place = np.searchsorted(hashes, h[new])
+            begin[new], count[new] = put[place], sizes[place]
+        ends_out = np.cumsum(count)
+        ids = arena[np.repeat(begin - ends_out + count, count) + np.arange(ends_out[-1])]
+        ends_out = np.concatenate([[0], ends_out])
+        return ids, np.diff(ends_out[np.searchsorted(starts, offsets)])
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        """The bytes of some ids, one after the other."""
+        sizes = np.diff(self.token_ends, prepend=0)[ids]
+        ends = np.cumsum(sizes)
+        n = int(ends[-1]) if len(ids) else 0
+        return self.token_bytes[np.repeat(self.token_ends[ids] - ends, sizes) + np.arange(n)].tobytes()
 
 
 _coders: dict[str, Coder] = {}
@@ -121,8 +177,13 @@ def coder(path: str) -> Coder:
     return _coders[path]
 
 
-def row_bytes(column: pa.Array) -> list[bytes]:
-    return column.cast(pa.binary()).fill_null(b"").to_pylist()
+def parts(ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """One binary value per row with its ids."""
+    ends = np.concatenate([[0], np.cumsum(counts)]) * 4
+    ids = np.ascontiguousarray(ids, "<u4")
+    return pa.Array.from_buffers(
+        pa.binary(), len(counts), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(ids)]
+    )
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -139,10 +200,8 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = coder(path)
         for part in tx.slices(batches, text):
-            out = code.encode(row_bytes(part.column(text)))
-            yield pa.RecordBatch.from_arrays(
-                [*(part.column(c) for c in kept), pa.array(out, pa.binary())], [*kept, ids]
-            )
+            out, counts = code.encode(*tx.utf8(part.column(text)))
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), parts(out, counts)], [*kept, ids])
 
     return docs.select(*[F.col(f"`{c}`") for c in [*kept, text]]).mapInArrow(run, schema)
 
@@ -157,7 +216,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "text")
         code = coder(path)
         for part in tx.slices(batches, ids):
             out = [
-                None if b is None else code.decode(np.frombuffer(b, "<u4"))
+                None if b is None else code.decode(np.frombuffer(b, "<u4")).decode("utf-8", "replace")
                 for b in part.column(ids).to_pylist()
             ]
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.string())], schema.names)

@@ -157,19 +157,20 @@ def _ordered_ids(docs: DataFrame, path: str, end: int) -> DataFrame:
         def flush() -> pa.RecordBatch:
             raw = b"".join(ids)
             row = [part, segment, before, size, np.array(names, "<i8").tobytes(), bytes(nulls)]
-            row += [np.array(counts, "<i8").tobytes(), np.frombuffer(raw, "<u4").astype("<u4").tobytes()]
+            row += [np.array(counts, "<i8").tobytes(), raw]
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 4]
             arrays = [pa.array([v], k) for v, k in zip(row, kinds, strict=True)]
             return pa.RecordBatch.from_arrays(arrays, schema.names)
 
         for rows in tx.slices(batches):
             part = rows.column("part")[0].as_py()
-            coded = code.encode(bpe.row_bytes(rows.column("text")))
-            for name, b in zip(rows.column("doc_id").to_pylist(), coded, strict=True):
-                ids.append(b + stop)
+            coded, n = code.encode(*tx.utf8(rows.column("text")))
+            coded, ends = coded.astype("<u4").tobytes(), np.cumsum(n).tolist()
+            for name, b, e in zip(rows.column("doc_id").to_pylist(), [0, *ends], ends):  # noqa: B905
+                ids += [coded[4 * b : 4 * e], stop]
                 names.append(name or 0)
                 nulls.append(name is None)
-                counts.append(len(b) // 4 + 1)
+                counts.append(e - b + 1)
                 size += counts[-1]
                 if size >= SEGMENT_IDS:
                     yield flush()

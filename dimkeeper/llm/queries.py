@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dimkeeper.llm import bpe, huffman, wumanber
+from dimkeeper.llm import bpe, huffman, jaccard, vafile, wumanber
 
 QUERIES = {}
 ORACLES = {}
@@ -42,3 +42,14 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wumanber.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query
+def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings").selectExpr("vec_id AS id", "embedding AS vec")
+    return vafile.top_k(vectors, vectors.where("id % 20 = 0"), 20)
+
+
+@query
+def op4_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.groups(read(spark, sf_dir, "documents"))
