@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dimkeeper.llm import bpe, huffman, jaccard, vafile, wumanber
+from dimkeeper.llm import bpe, gam, huffman, jaccard, language, vafile, wumanber
 
 QUERIES = {}
 ORACLES = {}
@@ -53,3 +53,13 @@ def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.groups(read(spark, sf_dir, "documents"))
+
+
+@query
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gam.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.report(read(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
