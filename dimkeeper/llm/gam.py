@@ -189,7 +189,7 @@ def fit(x: np.ndarray, y: np.ndarray) -> Model:
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", modulus: int = 4, held_out: int = 2) -> Model:
     """Fit on a bounded sample of labelled documents outside the held-out fold."""
-    chosen = sample(labels, label, SAMPLE, fold(modulus) != held_out)
+    chosen = sample(labels, label, {0: SAMPLE, 1: SAMPLE}, fold(modulus) != held_out)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in tx.slices(batches):

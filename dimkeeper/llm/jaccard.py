@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from dimkeeper.llm import text as tx
 from dimkeeper.llm.components import components
+from dimkeeper.llm.frequency import frequency_tables, levels_passed
 from dimkeeper.session import stage
 
 SHINGLE = 5
@@ -38,9 +39,6 @@ PERCENT = 75
 COUNTED = 0.35
 #: Counted shingles are told apart by whether they occur more often than this.
 LEVELS = (1, 6, 40)
-#: Places in the table of counted shingles, which has one bit per level and place. Its size is
-#: the same whatever the input; the fuller it is, the worse the order, which costs time only.
-TABLE_BITS = 26
 #: Classes and shingles in one cell of a block.
 CELL_SETS = 1024
 CELL_SHINGLES = 1_500_000
@@ -117,24 +115,9 @@ def _profiles(docs: DataFrame) -> DataFrame:
     return _keyed(docs).mapInArrow(run, schema)
 
 
-def _levels(counted: DataFrame) -> list[np.ndarray]:
-    """Per level the places of more frequent shingles; at most 2**20 rows reach the driver."""
-    df = counted.groupBy("hash").agg(F.sum("df").alias("df")).where(F.col("df") > LEVELS[0])
-    place = F.col("hash").bitwiseAND(F.lit((1 << TABLE_BITS) - 1))
-    bit = F.expr("shiftleft(1L, CAST(hash & 63 AS INT))")
-    bits = [F.bit_or(F.when(F.col("df") > x, bit).otherwise(F.lit(0))).alias(f"l{x}") for x in LEVELS]
-    rows = df.groupBy(F.shiftright(place, 6).alias("word")).agg(*bits).toArrow()
-    tables = np.zeros((len(LEVELS), 1 << (TABLE_BITS - 6)), np.int64)
-    for table, x in zip(tables, LEVELS, strict=True):
-        table[rows["word"].to_numpy()] = rows[f"l{x}"].to_numpy()
-    return [t.view(U64) for t in tables]
-
-
 def turns(value: np.ndarray, tables: list[np.ndarray]) -> np.ndarray:
     """The order in which shingles are dealt out: unique ones first, frequent ones last."""
-    place = value & U64((1 << TABLE_BITS) - 1)
-    word, bit = (place >> U64(6)).astype(np.int64), place & U64(63)
-    above = sum((t[word] >> bit) & U64(1) for t in tables).astype(np.int64)
+    above = levels_passed(value, tables)
     # Those not counted come before the most frequent.
     return np.where(value < U64(int(COUNTED * 2**64)), np.array([0, 1, 2, 4])[above], 3)
 
@@ -335,7 +318,7 @@ def grouped(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     everything = stage(_profiles(docs), "profiles")
     profiles = everything.where("n IS NOT NULL").drop("hash", "df")
-    tables = _levels(everything.where("hash IS NOT NULL").select("hash", "df"))
+    tables = frequency_tables(everything.where("hash IS NOT NULL").select("hash", "df"), LEVELS)
 
     texts = _keyed(docs)
     edges = _candidates(texts, tables)

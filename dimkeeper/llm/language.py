@@ -28,7 +28,7 @@ ITERATIONS = 3
 LONGEST = 40
 #: Share of a language's probability left for characters and pieces it has not shown.
 UNSEEN = 1e-3
-SLOT_BITS = 19
+SLOT_BITS = 20
 
 #: Bytes that make words: ASCII letters and all bytes of other characters.
 OTHERS = np.ones(256, bool)

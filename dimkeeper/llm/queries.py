@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dimkeeper.llm import bpe, gam, huffman, jaccard, language, vafile, wumanber
+from dimkeeper.llm import backoff, bpe, gam, huffman, jaccard, language, spans, toxicity, vafile, wumanber
 
 QUERIES = {}
 ORACLES = {}
@@ -63,3 +63,18 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.report(read(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query
+def op5_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.report(read(spark, sf_dir, "documents"))
+
+
+@query
+def op7_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff.scores(read(spark, sf_dir, "documents"))

@@ -27,9 +27,9 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 _VALUES = np.random.default_rng(20240229).integers(0, 2**64, 256, dtype=U64)
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 2**64)
-_powers = {b: np.ones(1, U64) for b in (_BASE, _INVERSE)}
+BASE = 0x9E3779B97F4A7C15
+INVERSE = pow(BASE, -1, 2**64)
+_powers = {b: np.ones(1, U64) for b in (BASE, INVERSE)}
 
 
 def struct(fields: str) -> T.StructType:
@@ -72,7 +72,7 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def _power(base: int, n: int) -> np.ndarray:
+def power(base: int, n: int) -> np.ndarray:
     known = _powers[base]
     if len(known) < n:
         steps = np.full(max(n, SLICE_BYTES + 1), U64(base))
@@ -99,6 +99,6 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     """A 64-bit hash of the bytes of each span, by one running polynomial over all bytes."""
     n = len(data)
     total = np.zeros(n + 1, U64)
-    np.cumsum(_VALUES[data] * _power(_BASE, n), out=total[1:])
-    h = (total[ends] - total[starts]) * _power(_INVERSE, n + 1)[starts]
+    np.cumsum(_VALUES[data] * power(BASE, n), out=total[1:])
+    h = (total[ends] - total[starts]) * power(INVERSE, n + 1)[starts]
     return mix(h ^ (ends - starts).astype(U64))
