@@ -289,20 +289,22 @@ def _tile_links(tiles: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, tx.struct("u long, v long"))
 
 
-def _sets(docs: DataFrame) -> DataFrame:
-    """The shingles of each row as 64-bit hashes, in place of its text."""
-    kept = [c for c in docs.columns if c != "text"]
-    schema = tx.T.StructType([*(docs.schema[c] for c in kept), *tx.struct("shingles binary")])
+def _sets(docs: DataFrame, table: list[np.ndarray]) -> DataFrame:
+    """The shingles, as 64-bit hashes, of texts whose hash may be in the table."""
+    schema = tx.struct("doc_id long, text_hash long, shingles binary")
+    shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in tx.slices(batches):
+            hashes = part.column("text_hash").to_numpy(zero_copy_only=False).view(U64)
+            part = part.take(pa.array(np.flatnonzero(levels_passed(hashes, shared.value))))
             value, begins = shingle_sets(*tx.utf8(part.column("text")))
             sets = [value[i:j].tobytes() for i, j in zip(begins, begins[1:])]  # noqa: B905
             yield pa.RecordBatch.from_arrays(
-                [*(part.column(c) for c in kept), pa.array(sets, pa.binary())], schema.names
+                [part.column("doc_id"), part.column("text_hash"), pa.array(sets, pa.binary())], schema.names
             )
 
-    return docs.select(*kept, "text").mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)
 
 
 def grouped(docs: DataFrame) -> DataFrame:
@@ -334,8 +336,11 @@ def grouped(docs: DataFrame) -> DataFrame:
     cells = F.greatest(F.ceil(F.col("sets") / CELL_SETS), F.ceil(F.col("shingles") / CELL_SHINGLES))
     chosen = chosen.join(weight.select("block", cells.cast("int").alias("cells")), "block")
     chosen = chosen.withColumn("cell", F.pmod(F.xxhash64("class"), F.col("cells")).cast("int"))
-    same = (texts.doc_id.eqNullSafe(chosen.doc_id)) & (texts.text_hash == chosen.text_hash)
-    sets = _sets(texts.join(chosen, same).select("class", "block", "cells", "cell", texts.text))
+    # A table of fixed size leaves out most other texts before anything is shuffled.
+    wanted = chosen.select(F.col("text_hash").alias("hash"), F.lit(1).cast("long").alias("df"))
+    sets = _sets(texts, frequency_tables(wanted, [0]))
+    same = (sets.doc_id.eqNullSafe(chosen.doc_id)) & (sets.text_hash == chosen.text_hash)
+    sets = sets.join(chosen, same).select("class", "block", "cells", "cell", "shingles")
     pairs = F.transform(
         F.sequence(F.lit(0), F.col("cells") - 1),
         lambda c: F.struct(F.least(c, "cell").alias("i"), F.greatest(c, "cell").alias("j")),
