@@ -29,6 +29,45 @@ def query(function):
     return function
 
 
+ORACLES["op2_exact_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+ORACLES["op10_decontamination"] = r"""
+WITH w AS (
+  SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark),
+l AS (
+  SELECT side, id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM w),
+b AS (
+  SELECT id, least(13, len(words)) AS size, words, unnest(range(1, greatest(len(words) - 12, 1) + 1)) AS pos
+  FROM l WHERE side = 'b' AND len(words) > 0),
+bw AS (SELECT DISTINCT id AS item, size, array_to_string(words[pos:pos + size - 1], ' ') AS gram FROM b),
+d AS (SELECT id, words, unnest(range(1, len(words) + 1)) AS pos FROM l WHERE side = 'd'),
+dw AS (
+  SELECT id, pos, size, array_to_string(words[pos:pos + size - 1], ' ') AS gram
+  FROM d, (SELECT DISTINCT size FROM bw) WHERE pos + size - 1 <= len(words)),
+hit AS (SELECT dw.id, dw.pos, bw.item, bw.size FROM dw JOIN bw ON dw.gram = bw.gram AND dw.size = bw.size),
+n AS (SELECT id, count(DISTINCT p) AS n_hit FROM (SELECT id, unnest(range(pos, pos + size)) AS p FROM hit) GROUP BY id),
+i AS (
+  SELECT id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT id, item::VARCHAR AS item FROM hit WHERE item IS NOT NULL) GROUP BY id)
+SELECT l.id AS doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+  coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM l LEFT JOIN n USING (id) LEFT JOIN i USING (id) WHERE side = 'd'
+"""
+
+
 @query
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.digests(read(spark, sf_dir, "documents"), vocabulary(BYTE_BPE))

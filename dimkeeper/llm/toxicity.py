@@ -256,10 +256,13 @@ def calibrate(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def fit(texts: list[bytes], labels: np.ndarray) -> Network:
-    """Train on windows of labelled texts. Without both labels the score is 0.5 for all."""
+    """Train on windows of labelled texts.
+
+    Without labels, or if all are 0, all texts score near 0; if all are 1, near 1.
+    """
     if len(set(labels.tolist())) < 2:
         net = Network.fresh(np.zeros(0, np.uint64))
-        net.calibration = np.zeros(4)
+        net.calibration = np.array([5.0 if labels.any() else -5.0, 0, 0, 0])
         return net
     low = tx.LOWER[np.frombuffer(b"".join(texts), np.uint8)]
     offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])

@@ -99,14 +99,15 @@ class Best:
         spread = np.abs(queries) @ width.T.astype(kind)
         if reach >= 2**52:
             spread += kind(reach * 1e-12)
-        upper = products + spread
+        # Scores saturate at 64 bits, so their bounds do too.
+        upper = np.clip(products + spread, -(2.0**64), 2.0**64)
         own = np.flatnonzero(np.isin(names, self.ids))
         hidden = [(self.row_of[n], c) for n, c in zip(names[own].tolist(), own.tolist(), strict=True)]
         for q, c in hidden:
             upper[q, c] = -np.inf
         floor = np.array([2.0 * s[-1] if len(s) == self.k else -np.inf for s in self.scores])
         if np.isinf(floor).any() and len(names) >= self.k + len(hidden):
-            lower = products - spread
+            lower = np.clip(products - spread, -(2.0**64), 2.0**64)
             for q, c in hidden:
                 lower[q, c] = -np.inf
             at = len(names) - self.k
