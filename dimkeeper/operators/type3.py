@@ -13,10 +13,12 @@ from dimkeeper.functions.columns import (
     resolve_names,
     typed_null,
     with_key,
+    without_key,
 )
 from dimkeeper.operators.merge import equal_keys, merge
 from dimkeeper.plans.batch import BatchProfile, profile_batch
 from dimkeeper.plans.lookup import without_match
+from dimkeeper.session import stage
 
 
 def previous_name(column: str) -> str:
@@ -44,19 +46,27 @@ def change_rows(
 
     Rows that leave ``column`` as it is are dropped even where other columns differ: that
     defines type 3 here. A null on either side is no change unless ``null_safe`` is set.
-    Equal rows are returned once.
+    Equal rows of the batch count once. An update without a key is new. An update whose key the
+    table has several times is returned for each of those rows that it changes.
     """
     key, column, updates = _fit(target, updates, key, column)
+    previous = previous_name(column)
+    # Distinct before the join: behind it, it would keep Spark from splitting a hot key.
+    updates = updates.distinct()
+    # Rows without a key have no partner, and in a shuffle would all meet in one task.
+    keyless = without_key(updates, key)
+    updates = with_key(updates, key)
     profile = profile_batch(updates, key, limit, repeats=False)
     # Changed and new rows exclude each other, so one outer join finds both.
     partners = _partners(target, updates, key, column, profile)
     joined = updates.alias("u").join(partners.alias("t"), equal_keys(key), "left")
     known = F.col("t._known")
-    return (
-        joined.where(known.isNull() | _differs(column, null_safe))
-        .select("u.*", F.col(f"t.{column}").alias(previous_name(column)))
-        .distinct()
+    found = joined.where(known.isNull() | _differs(column, null_safe)).select(
+        "u.*", F.col(f"t.`{column}`").alias(previous)
     )
+    if keyless is None:
+        return found
+    return found.unionByName(keyless.withColumn(previous, typed_null(target.schema[column].dataType)))
 
 
 def apply(
@@ -70,31 +80,17 @@ def apply(
     """The table after the batch, with ``previous_<column>`` added if it is not there yet.
 
     A changed row takes the values of the batch and keeps the one earlier value. All other
-    rows stay, with a null or whatever earlier value they had.
+    rows stay, with a null or whatever earlier value they had. Whether rows of the batch are in
+    each other's way is decided among those that change something: two of them on one key of the
+    table raise an error, and so does one on a key that the table has several times.
     """
-    key, column, updates = _fit(target, updates, key, column)
-    kind = target.schema[column].dataType
+    key = resolve_names(target, [key] if isinstance(key, str) else key)
+    # Written, because the merge measures its batch before it joins it.
+    rows = stage(change_rows(target, updates, key, column, null_safe, limit), "changes")
     known = {c.lower(): c for c in target.columns}
-    previous = known.get(previous_name(column).lower(), previous_name(column))
-    updates = updates.select(*[c for c in updates.columns if c != previous])
-    wide = updates.withColumn(previous, typed_null(kind))
-    profile = profile_batch(wide, key, limit, rows=True)
-    if profile.repeated_keys:
-        # Some of the repeated rows may be no change at all, so they are sorted out first.
-        rows = change_rows(target, updates, key, column, null_safe, limit)
-        return merge(target, rows, key, evolve=True, limit=limit)
-    # One row per key: the test for a change can be part of the merge itself.
-    values = {c: F.col(f"u.{c}") for c in updates.columns if c not in key}
-    values[previous] = F.col(f"t.{column}")
-    return merge(
-        target,
-        wide,
-        key,
-        matched=values,
-        matched_when=_differs(column, null_safe),
-        evolve=True,
-        profile=profile,
-    )
+    previous = previous_name(resolve_names(target, [column])[0])
+    rows = rows.withColumnRenamed(previous, known.get(previous.lower(), previous))
+    return merge(target, rows, key, evolve=True, limit=limit)
 
 
 def _fit(
@@ -102,11 +98,14 @@ def _fit(
 ) -> tuple[list[str], str, DataFrame]:
     key = resolve_names(target, [key] if isinstance(key, str) else key)
     (column,) = resolve_names(target, [column])
-    return key, column, cast_like(align_names(updates, target), target)
+    updates = cast_like(align_names(updates, target), target)
+    # The earlier value comes from the table, never from the batch.
+    previous = previous_name(column).lower()
+    return key, column, updates.select(*[F.col(f"`{c}`") for c in updates.columns if c.lower() != previous])
 
 
 def _differs(column: str, null_safe: bool) -> Column:
-    old, new = F.col(f"t.{column}"), F.col(f"u.{column}")
+    old, new = F.col(f"t.`{column}`"), F.col(f"u.`{column}`")
     return ~old.eqNullSafe(new) if null_safe else old != new
 
 

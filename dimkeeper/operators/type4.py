@@ -12,12 +12,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from dimkeeper.functions.columns import align_names, cast_like, resolve_names, without_key
+from dimkeeper.functions.columns import align_names, cast_like, resolve_names
 from dimkeeper.operators.merge import AmbiguousMatchError, fit
 from dimkeeper.plans.batch import BatchProfile, profile_batch
+from dimkeeper.session import stage
 
 VERSION = "version"
 OP = "op"
@@ -46,35 +49,55 @@ class ChangeLog:
         self.base = base
         self.base_state = base_state
         self.limit = limit
+        self._newest: int | None = None
+        self._at_least = base
 
     @classmethod
     def start(cls, state: DataFrame, key: str | Sequence[str], limit: int | None = None) -> ChangeLog:
         """A log whose version 0 is ``state``. Every row needs a key, and no key may repeat."""
         key = resolve_names(state, [key] if isinstance(key, str) else key)
-        keyless = without_key(state, key)
-        if keyless is not None and keyless.limit(1).count():
+        profile = profile_batch(state, key, limit)
+        if profile.null_keys:
             raise ValueError(f"a row without {key} cannot be followed through versions")
-        return cls(_tagged(state, 0, INSERT), key, limit=limit)
+        if profile.repeated_keys:
+            raise AmbiguousMatchError(f"{profile.repeated_keys} keys occur in several rows")
+        log = cls(_tagged(state, 0, INSERT), key, limit=limit)
+        log._newest = 0
+        return log
 
-    def with_changes(self, changes: DataFrame) -> ChangeLog:
-        """The log with further rows, such as the result of :meth:`merge` or :meth:`restore`."""
-        return ChangeLog(
-            self.log.unionByName(changes), self.key, self.base, self.base_state, self.limit
+    def with_changes(self, changes: DataFrame, version: int | None = None) -> ChangeLog:
+        """The log with further rows, such as the result of :meth:`merge` or :meth:`restore`.
+
+        The rows are written to the shared folder first. So a chain of merges reads finished
+        tables, whatever their size, and no merge is computed again by the next one. ``version``
+        names the version of changes that may have no row, so that it counts as existing.
+        """
+        written = stage(changes.select(*self.log.columns), "changes")
+        log = ChangeLog(
+            self.log.unionByName(written), self.key, self.base, self.base_state, self.limit
         )
+        log._at_least = max(self._newest or 0, self._at_least, version or 0)
+        return log
 
     # Reading -----------------------------------------------------------------------------
 
     def latest_version(self) -> int:
-        return self.log.agg(F.max(VERSION)).first()[0]
+        if self._newest is None:
+            newest = self.log.agg(F.max(VERSION)).first()[0]
+            self._newest = max(self._at_least, self._at_least if newest is None else newest)
+        return self._newest
 
     def as_of(self, version: int | None = None, where: Column | None = None) -> DataFrame:
         """The state at ``version``, by default the latest one.
 
-        ``where`` is a condition on key columns. It is applied to the log's rows, before
-        the latest one per key is chosen, and so reaches the scans.
+        A version that does not exist is refused. ``where`` is a condition on the state's rows.
+        If it needs key columns only, it is applied to the log's rows too, before the latest one
+        per key is chosen, and so reaches the scans.
         """
         if version is not None:
             self._check(version)
+        if where is not None and not self._needs_keys_only(where):
+            return self.as_of(version).where(where)
         rows = self._rows() if where is None else self._rows().where(where)
         base = rows.where(F.col(VERSION) == self.base).select(*self.columns)
         if version == self.base:
@@ -106,12 +129,14 @@ class ChangeLog:
 
     # Writing: both return the rows to append --------------------------------------------
 
-    def merge(self, updates: DataFrame, version: int) -> DataFrame:
+    def merge(self, updates: DataFrame, version: int | None = None) -> DataFrame:
         """The rows of ``version``: an upsert of ``updates`` on the latest state.
 
+        ``version`` is by default the next one and must be later than all there are.
         Only touched rows are recorded, marked as insert or update. Append them to the
         stored log, or see the outcome with :meth:`with_changes`.
         """
+        version = self._next(version)
         _, updates = fit(self.log.select(*self.columns), updates, self.key, evolve=False)
         profile = profile_batch(updates, self.key, self.limit)
         if profile.null_keys:
@@ -126,12 +151,14 @@ class ChangeLog:
             F.lit(version).cast("long").alias(VERSION), op.alias(OP), *self.columns
         )
 
-    def restore(self, to_version: int, version: int) -> DataFrame:
+    def restore(self, to_version: int, version: int | None = None) -> DataFrame:
         """The rows of ``version`` that bring the state back to ``to_version``; nothing is lost.
 
+        ``version`` is by default the next one and must be later than all there are.
         Only keys touched after ``to_version`` can differ, so only they are compared.
         """
         self._check(to_version)
+        version = self._next(version)
         since = self._rows().where(F.col(VERSION) > to_version)
         now = self._latest(since)
         keys = now.select(*self.key)
@@ -172,6 +199,24 @@ class ChangeLog:
     def _check(self, version: int) -> None:
         if version < self.base:
             raise ValueError(f"version {version} lies before the base {self.base} of this log")
+        if version > self.latest_version():
+            raise ValueError(f"version {version} does not exist, the latest is {self.latest_version()}")
+
+    def _next(self, version: int | None) -> int:
+        if version is None:
+            return self.latest_version() + 1
+        if version <= self.latest_version():
+            raise ValueError(f"version {version} is not later than {self.latest_version()}")
+        return version
+
+    def _needs_keys_only(self, where: Column) -> bool:
+        """Whether the condition can be resolved on a frame that has the key columns alone."""
+        keys = T.StructType([self.log.schema[c] for c in self.key])
+        try:
+            self.log.sparkSession.createDataFrame([], keys).where(where).schema  # noqa: B018
+        except AnalysisException:
+            return False
+        return True
 
     def _rows(self) -> DataFrame:
         """The base as rows of its version, and all changes since."""
@@ -182,11 +227,7 @@ class ChangeLog:
 
     def _of_keys(self, rows: DataFrame, keys: DataFrame, profile: BatchProfile) -> DataFrame:
         """The log's rows for the keys of another frame."""
-        found = rows.join(profile.keys(keys, self.key), self.key, "left_semi")
-        # The rows may be a union of base and changes. Spark 4.1 lets an aggregate rely on the
-        # partitions of joins below a union, which adaptive execution may still change, so
-        # the rows found are distributed anew.
-        return found if profile.keys_fit else found.repartition(*self.key)
+        return rows.join(profile.keys(keys, self.key), self.key, "left_semi")
 
     def _latest(self, log: DataFrame) -> DataFrame:
         """The last row of each key, combined on the map side before the shuffle."""

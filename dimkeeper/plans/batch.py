@@ -25,6 +25,7 @@ ROW_OVERHEAD = 48
 VALUE_SIZE = 24
 
 _UNITS = {"": 1, "b": 1, "k": 2**10, "kb": 2**10, "m": 2**20, "mb": 2**20, "g": 2**30, "gb": 2**30}
+_UNITS |= {"t": 2**40, "tb": 2**40, "p": 2**50, "pb": 2**50}
 
 
 def broadcast_limit(spark: SparkSession) -> int:

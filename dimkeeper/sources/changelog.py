@@ -3,12 +3,24 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from dimkeeper.operators.type4 import VERSION
 
 
-def append_version(changes: DataFrame, path: str) -> None:
-    """Add the rows of a version to the log. Writing a version again replaces that version only."""
+def append_version(changes: DataFrame, path: str, replace: bool = False) -> None:
+    """Add the rows of one version to the log.
+
+    A version that is there already is refused, since later states build on it; ``replace``
+    writes it again, such as after a failed write. Other versions stay untouched either way.
+    """
+    spark = changes.sparkSession
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not replace and folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        there = spark.read.parquet(path).select(F.col(VERSION).cast("long").alias(VERSION)).distinct()
+        again = changes.select(VERSION).distinct().join(there, VERSION, "left_semi").agg(F.min(VERSION)).first()[0]
+        if again is not None:
+            raise ValueError(f"version {again} is already in the log")
     (
         changes.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

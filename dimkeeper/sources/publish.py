@@ -13,6 +13,10 @@ import uuid
 from pyspark.sql import DataFrame
 
 
+def _quoted(name: str) -> str:
+    return f"`{name.replace('`', '``')}`"
+
+
 def publish(
     df: DataFrame,
     name: str,
@@ -33,7 +37,27 @@ def publish(
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     if temporary:
-        spark.read.schema(df.schema).parquet(path).createOrReplaceTempView(name)
+        stored = spark.read.schema(df.schema).parquet(path)
+        stored.select(*[_quoted(c) for c in df.columns]).createOrReplaceTempView(name)
     else:
-        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{path}`")
+        # Partition columns would come last, with types guessed from the folders' names.
+        columns = ", ".join(
+            f"CAST({_quoted(f.name)} AS {f.dataType.simpleString()}) AS {_quoted(f.name)}" for f in df.schema
+        )
+        partitions = {c.lower() for c in partition_by or []}
+        kept = ", ".join(
+            f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in df.schema if f.name.lower() not in partitions
+        )
+        if partitions:
+            parted = ", ".join(f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in df.schema if f.name.lower() in partitions)
+            source = f"{name}_{uuid.uuid4().hex}"
+            named = ", ".join(_quoted(c) for c in partition_by)
+            spark.sql(
+                f"CREATE TABLE {source} ({kept}{', ' if kept else ''}{parted}) USING parquet "
+                f"PARTITIONED BY ({named}) LOCATION '{path}'"
+            )
+            spark.sql(f"ALTER TABLE {source} RECOVER PARTITIONS")
+        else:
+            source = f"parquet.`{path}`"
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {source}")
     return spark.table(name)

@@ -59,9 +59,9 @@ def test_versions_do_not_change_and_can_be_restored(spark, first, second, third,
     log = ChangeLog.start(frame(spark, first), "k", limit)
     states = [first]
     for version, batch in enumerate((second, third), start=1):
-        log = log.with_changes(stage(log.merge(frame(spark, batch), version)))
+        log = log.with_changes(log.merge(frame(spark, batch), version))
         states.append({**states[-1], **batch})
-    log = log.with_changes(stage(log.restore(1, 3)))
+    log = log.with_changes(log.restore(1, 3), version=3)
     states.append(states[1])
     for version, want in enumerate(states):
         assert dict(map(tuple, log.as_of(version).collect())) == want

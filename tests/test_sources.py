@@ -146,3 +146,13 @@ def test_publish_by_partition(spark, tmp_path):
     )
     assert [r.k for r in made.where("is_active").collect()] == [1]
     assert made.where("is_active").drop("is_active").columns == table.columns
+
+
+@pytest.mark.parametrize("temporary", [True, False])
+def test_published_partitions_keep_types_and_order(spark, tmp_path, temporary):
+    data = sources.rows(spark, [("01", 1, None), ("1", 2, "a"), (None, 3, "b")], "p STRING, k INT, v STRING")
+    name = f"parted_{temporary}".lower()
+    out = sources.publish(data, name, str(tmp_path / "t"), temporary=temporary, partition_by=["p"])
+    assert out.columns == data.columns
+    assert out.dtypes == data.dtypes
+    assert {tuple(r) for r in out.collect()} == {("01", 1, None), ("1", 2, "a"), (None, 3, "b")}

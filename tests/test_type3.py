@@ -113,3 +113,26 @@ def test_apply_equals_change_rows_merged(spark, limit, null_safe):
         else:
             want.append((*old.get(k, new.get(k)), None))
     assert result(found) == sorted(want, key=str)
+
+
+@pytest.mark.parametrize("limit", [None, -1])
+@pytest.mark.parametrize("other", [[], [(900, "A"), (900, "B")], [(900, "A"), (900, "A")]])
+def test_other_keys_do_not_change_a_result(spark, limit, other):
+    """Rows without a key, equal rows and repeated keys of the table, with and without others."""
+    table = spark.createDataFrame([(0, "x"), (7, "y")], "k BIGINT, v STRING")
+    batch = [(None, "n"), (None, "n"), (7, "z"), *other]
+    out = type3.apply(table, spark.createDataFrame(batch, "k BIGINT, v STRING"), "k", "v", limit=limit)
+    rows = [tuple(r) for r in out.collect() if r["k"] != 900]
+    assert sorted(rows, key=str) == sorted([(0, "x", None), (7, "z", "y"), (None, "n", None)], key=str)
+    twice = table.unionByName(table.where("k = 0"))
+    hit = spark.createDataFrame([(0, "w"), *other], "k BIGINT, v STRING")
+    with pytest.raises(AmbiguousMatchError):
+        type3.apply(twice, hit, "k", "v", limit=limit).collect()
+
+
+def test_earlier_value_never_comes_from_the_batch(spark):
+    table = spark.createDataFrame([(1, "old", "older")], "k BIGINT, v STRING, previous_v STRING")
+    batch = spark.createDataFrame([(1, "new", "wrong")], "k BIGINT, v STRING, previous_v STRING")
+    changes = type3.change_rows(table, batch, "k", "v")
+    assert changes.columns == ["k", "v", "previous_v"]
+    assert [tuple(r) for r in changes.collect()] == [(1, "new", "old")]

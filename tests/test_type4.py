@@ -19,7 +19,7 @@ def start(spark, limit=None):
 
 def stored(log, changes):
     """The log with the changes appended as a finished table, as a stored log would hold them."""
-    return log.with_changes(stage(changes))
+    return log.with_changes(changes)
 
 
 def state(df):
@@ -100,7 +100,52 @@ def test_random_versions(spark, limit):
     assert {(row.op, row.k) for row in based.merge(batch, 5).collect()} == want
 
 
+@pytest.mark.parametrize("threshold", ["-1", "10485760"])
+def test_chain_of_merges_at_any_broadcast_limit(spark, threshold):
+    """Three merges appended one after the other, then a rollback, without writing in between."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        base = spark.range(3000).selectExpr("id AS k", "'old' AS name", "'e' AS email")
+        log = ChangeLog.start(base, "k")
+        for n in (1, 2, 3):
+            batch = spark.range(n * 500, n * 500 + 1500).selectExpr("id AS k", f"'v{n}' AS name", "'e' AS email")
+            log = log.with_changes(log.merge(batch))
+        assert log.latest_version() == 3
+        names = {r["name"]: r["count"] for r in log.current().groupBy("name").count().collect()}
+        assert names == {"old": 500, "v1": 500, "v2": 500, "v3": 1500}
+        assert state(log.as_of(2))[1200] == ("v2", "e")
+        log = log.with_changes(log.restore(to_version=1))
+        assert state(log.current()) == state(log.as_of(1))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_versions_that_cannot_be_are_refused(spark):
+    log = start(spark)
+    log = log.with_changes(log.merge(rows(spark, [(1, "x", "y")], SCHEMA)))
+    for call in (lambda: log.as_of(2), lambda: log.restore(9)):
+        with pytest.raises(ValueError, match="does not exist"):
+            call()
+    for version in (0, 1):
+        with pytest.raises(ValueError, match="not later"):
+            log.merge(rows(spark, [(1, "a", "b")], SCHEMA), version)
+        with pytest.raises(ValueError, match="not later"):
+            log.restore(0, version)
+
+
+def test_condition_on_any_column(spark):
+    log = start(spark)
+    log = log.with_changes(log.merge(rows(spark, [(1, "changed", "y")], SCHEMA)))
+    assert log.as_of(1, where=F.col("name") == "n1").count() == 0
+    assert log.as_of(0, where=F.col("name") == "n1").count() == 1
+    both = log.union_versions([0, 1], where=(F.col("name") == "changed") | (F.col("k") == 2))
+    assert sorted((r["version"], r["k"]) for r in both.collect()) == [(0, 2), (1, 1), (1, 2)]
+
+
 def test_bad_keys_are_refused(spark):
+    with pytest.raises(AmbiguousMatchError):
+        ChangeLog.start(rows(spark, [(1, "a", "b"), (1, "c", "d")], SCHEMA), "k")
     with pytest.raises(ValueError, match="without"):
         ChangeLog.start(rows(spark, [(None, "a", "b")], SCHEMA), "k")
     log = start(spark)
@@ -116,7 +161,9 @@ def test_stored_log_reads_only_the_versions_needed(spark, tmp_path):
     append_version(log.log, path)
     changes = log.merge(rows(spark, [(1, "x", "y"), (70, "n", "e")], SCHEMA), 1)
     append_version(changes, path)
-    append_version(changes, path)  # a repeated write replaces the version
+    with pytest.raises(ValueError, match="already in the log"):
+        append_version(changes, path)
+    append_version(changes, path, replace=True)
     read = ChangeLog(read_log(spark, path, log.log), "k")
     assert state(read.current()) == state(log.with_changes(changes).current())
     assert state(read.as_of(0)) == state(log.current())
