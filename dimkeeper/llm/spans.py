@@ -112,7 +112,10 @@ def repeated(docs: DataFrame) -> DataFrame:
     likely = stage(_likely(docs, tables), "spans")
     place = F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "text_hash", "first")
     firsts = likely.groupBy("hash").agg(F.min(place).alias("kept"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    later = likely.join(firsts.select("hash", "kept"), "hash").where(~place.eqNullSafe(F.col("kept")))
+    # Written, so that the join gets both sides straight from an exchange and can split a span
+    # that very many documents share.
+    firsts = stage(firsts.select("hash", "kept"), "firsts")
+    later = likely.join(firsts, "hash").where(~place.eqNullSafe(F.col("kept")))
     return later.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("first", "beyond")).alias("spans"))
 
 
