@@ -352,7 +352,8 @@ def grouped(docs: DataFrame) -> DataFrame:
     linked = stage(linked, "linked")
     with_root = profiles.join(linked, "class", "left").withColumn("root", F.coalesce("root", "class"))
     with_root = stage(with_root, "roots")
-    least = with_root.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
+    # Written, so that the join below can split a group with very many documents.
+    least = stage(with_root.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("least")), "least")
     out = with_root.where("n > 0").join(least, "root").unionByName(
         with_root.where("n = 0").withColumn("least", F.col("doc_id"))
     )
