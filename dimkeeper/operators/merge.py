@@ -1,8 +1,8 @@
-"""Merge a batch of updates into a table, as one lazy DataFrame.
+"""Merge a batch of updates into a table.
 
 Plain parquet has no MERGE. The new state of the table is computed from joins chosen by
 the measured size of the batch and is returned; writing it is the caller's decision
-(:mod:`dimkeeper.sources.publish`).
+(:mod:`dimkeeper.sources.publish`). Measuring runs one job, looking up repeated keys three more.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from dimkeeper.functions.columns import (
 )
 from dimkeeper.plans.batch import BatchProfile, profile_batch
 from dimkeeper.plans.lookup import matched_keys, without_match
+from dimkeeper.session import stage
 
 ALL = "all"
 
@@ -74,10 +75,10 @@ def merge(
     whole = matched == ALL and matched_when is None and set(target.columns) <= set(updates.columns)
     replaces = whole and not_matched == ALL and not full_outer
     if profile is None:
-        joins_rows = matched is not None and not replaces
+        joins_rows = matched is not None and not replaces and not full_outer
         profile = profile_batch(updates, on, limit, rows=joins_rows)
     if matched is not None and profile.repeated_keys:
-        _refuse_ambiguous(target, updates, on, profile)
+        _refuse_ambiguous(target, updates, on, profile.limit)
 
     if matched is None:
         kept = target
@@ -103,7 +104,7 @@ def ambiguous_keys(
     on = [on] if isinstance(on, str) else list(on)
     on = resolve_names(target, on)
     updates = cast_like(align_names(updates, target), target)
-    return _ambiguous(target, updates, on, profile_batch(updates, on, limit, repeats=False))
+    return _ambiguous(target, updates, on, limit)
 
 
 def fit(
@@ -133,22 +134,23 @@ def fit(
 
 
 def _ambiguous(
-    target: DataFrame, updates: DataFrame, on: list[str], profile: BatchProfile
+    target: DataFrame, updates: DataFrame, on: list[str], limit: int | None
 ) -> DataFrame:
+    """Only repeated keys are looked up, so their number decides how the table is searched."""
     repeated = (
         with_key(updates, on)
         .groupBy(*on)
         .agg(F.count(F.lit(1)).alias("matches"))
         .where(F.col("matches") > 1)
     )
+    repeated = stage(repeated, "repeated")
+    profile = profile_batch(repeated, on, limit, repeats=False)
     return repeated.join(matched_keys(target, repeated, on, profile), on, "left_semi")
 
 
-def _refuse_ambiguous(
-    target: DataFrame, updates: DataFrame, on: list[str], profile: BatchProfile
-) -> None:
+def _refuse_ambiguous(target: DataFrame, updates: DataFrame, on: list[str], limit: int) -> None:
     found = (
-        _ambiguous(target, updates, on, profile)
+        _ambiguous(target, updates, on, limit)
         .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*on)).alias("example"))
         .first()
     )
@@ -185,6 +187,9 @@ def _updated(
     if profile.repeated_keys:
         # The ambiguity check has passed, so repeated keys hit nothing and any row stands for them.
         partners = partners.dropDuplicates(on)
+        if not profile.rows_fit:
+            # Straight from a file, so that Spark can split a hot key of the table.
+            partners = stage(partners, "partners")
     partners = partners.withColumn("_hit", F.lit(True))
     if profile.rows_fit:
         joined = target.alias("t").join(F.broadcast(partners).alias("u"), equal_keys(on), "left")

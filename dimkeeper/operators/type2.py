@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Sequence
-from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,10 +18,11 @@ from dimkeeper.functions.columns import (
     has_key,
     resolve_names,
     typed_null,
+    with_key,
+    without_key,
 )
-from dimkeeper.operators.merge import AmbiguousMatchError
+from dimkeeper.operators.merge import AmbiguousMatchError, equal_keys
 from dimkeeper.plans.batch import BatchProfile, profile_batch
-from dimkeeper.plans.lookup import without_match
 from dimkeeper.plans.numbering import number_rows
 from dimkeeper.session import stage
 
@@ -167,15 +167,25 @@ class History:
         self, history: DataFrame, updates: DataFrame, profile: BatchProfile
     ) -> DataFrame:
         """Drop updates that equal the open row of their key, nulls counting as equal."""
+        maps = [f.name for f in updates.schema if "map<" in f.dataType.simpleString()]
+        if maps:
+            raise ValueError(f"maps cannot be compared, skip_unchanged does not work with {maps}")
         attributes = [c for c in updates.columns if c not in self.key]
-        # Structs compare field by field with null equal to null.
-        content = F.struct(*attributes).alias("_content")
-        current = self.active(history).select(*self.key, content)
-        wide = replace(profile, key_bytes=profile.row_bytes)
-        changed = without_match(
-            updates.select("*", content), current, [*self.key, "_content"], wide
-        )
-        return changed.select(*updates.columns)
+        current = with_key(self.active(history), self.key).select(*updates.columns).alias("t")
+        same = equal_keys(self.key)
+        for c in attributes:
+            same &= F.col(f"t.{c}").eqNullSafe(F.col(f"u.{c}"))
+        keyed = with_key(updates, self.key)
+        if profile.rows_fit:
+            # The table stays in place; the few keys found there travel back.
+            equal = current.join(F.broadcast(keyed.alias("u")), same, "left_semi").select(*self.key)
+            changed = keyed.join(equal, self.key, "left_anti")
+        else:
+            changed = keyed.alias("u").join(current, same, "left_anti")
+        changed = changed.select(*updates.columns)
+        # Rows without a key would all meet in one task; they equal nothing.
+        keyless = without_key(updates, self.key)
+        return changed if keyless is None else changed.unionByName(keyless)
 
     def _closed(
         self,

@@ -10,7 +10,6 @@ aggregated or shuffled while the changes are few.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
@@ -106,10 +105,12 @@ class ChangeLog:
         if version is not None:
             log = log.where(F.col(VERSION) <= version)
         touched = self._latest(log)
-        keys = touched.select(*self.key)
-        # Rows of the log, not keys, are counted: an upper bound without a shuffle.
-        profile = profile_batch(log, self.key, self.limit, repeats=False)
-        untouched = base.join(profile.keys(keys, self.key), self.key, "left_anti")
+        if where is None:
+            # Written once, as its keys and its rows are both needed and its keys are counted. Under
+            # a condition on keys it is computed in place, from what the filtered scans return.
+            touched = stage(touched, "touched")
+        profile = profile_batch(touched, self.key, self.limit, repeats=False)
+        untouched = base.join(profile.keys(touched, self.key), self.key, "left_anti")
         living = touched.where(F.col(OP) != DELETE)
         return untouched.select(*self.columns).unionByName(living.select(*self.columns))
 
@@ -117,11 +118,43 @@ class ChangeLog:
         return self.as_of()
 
     def union_versions(self, versions: Sequence[int], where: Column | None = None) -> DataFrame:
-        """Several states side by side, each row tagged with its version."""
-        states = [
-            self.as_of(v, where).select(F.lit(v).cast("long").alias(VERSION), "*") for v in versions
-        ]
-        return reduce(DataFrame.unionByName, states)
+        """Several states side by side, each row tagged with its version.
+
+        The base and the log are read once, however many versions are asked for. ``where`` is a
+        condition on the states' rows, as in :meth:`as_of`.
+        """
+        versions = list(versions)
+        if not versions:
+            raise ValueError("no version is given")
+        for v in versions:
+            self._check(v)
+        pushed = where is not None and self._needs_keys_only(where)
+        rows = self._rows().where(where) if pushed else self._rows()
+        log = rows.where((F.col(VERSION) > self.base) & (F.col(VERSION) <= max(versions)))
+        # Per key the latest row at each version, null where the key is not touched by then.
+        row = F.struct(OP, *[c for c in self.columns if c not in self.key])
+        seen = [F.col(VERSION) <= v for v in versions]
+        latest = [F.max_by(F.when(s, row), F.when(s, F.col(VERSION))) for s in seen]
+        touched = stage(log.groupBy(*self.key).agg(F.array(*latest).alias("_rows")), "touched")
+        tags = F.array(*[F.lit(v).cast("long") for v in versions])
+
+        living = touched.select(*self.key, F.explode(F.arrays_zip(tags.alias(VERSION), "_rows")).alias("_at"))
+        living = living.where(F.col(f"_at._rows.{OP}") != DELETE)
+        living = living.select(F.col(f"_at.{VERSION}").alias(VERSION), *self.key, "_at._rows.*")
+        # Per key the versions that still have the base's row.
+        kept = F.transform("_rows", lambda r: r.isNull()).alias("_kept")
+        kept = touched.select(*self.key, kept)
+        profile = profile_batch(kept, self.key, self.limit, rows=True, repeats=False)
+        kept = F.broadcast(kept) if profile.rows_fit else kept
+        base = rows.where(F.col(VERSION) == self.base).select(*self.columns)
+        places = F.transform(
+            tags, lambda v, i: F.when(F.col("_kept").isNull() | F.get("_kept", i), v)
+        )
+        untouched = base.join(kept, self.key, "left").select(
+            F.explode(F.array_compact(places)).alias(VERSION), *self.columns
+        )
+        states = untouched.unionByName(living.select(VERSION, *self.columns))
+        return states if where is None or pushed else states.where(where)
 
     def history(self) -> DataFrame:
         """How many rows each version inserted, updated and deleted."""
@@ -160,11 +193,10 @@ class ChangeLog:
         self._check(to_version)
         version = self._next(version)
         since = self._rows().where(F.col(VERSION) > to_version)
-        now = self._latest(since)
-        keys = now.select(*self.key)
-        profile = profile_batch(since, self.key, self.limit, repeats=False)
+        now = stage(self._latest(since), "touched")
+        profile = profile_batch(now, self.key, self.limit, repeats=False)
         rows = self._rows().where(F.col(VERSION) <= to_version)
-        before = self._latest(self._of_keys(rows, keys, profile))
+        before = self._latest(self._of_keys(rows, now, profile))
 
         content = F.struct(*self.columns)
         both = now.select(

@@ -97,6 +97,17 @@ def scd2_renumber(spark: SparkSession, folder: str) -> DataFrame:
     return CUSTOMER_HISTORY.renumber(_with_open_rows(spark, folder))
 
 
+@query(
+    inputs.with_sql(inputs.HISTORY_SQL)
+    + f"""
+SELECT CAST(row_number() OVER (ORDER BY id) - 1 AS BIGINT) AS id, {_COLUMNS}
+FROM hist WHERE end_date IS NULL"""
+)
+def scd2_renumber_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    """Only open rows are left, so every second id is missing."""
+    return CUSTOMER_HISTORY.renumber(CUSTOMER_HISTORY.active(inputs.history(spark, folder)))
+
+
 @query(
     f"""{_BOTH}
 SELECT CAST((SELECT max(id) FROM hist) + row_number() OVER (ORDER BY c_custkey) AS BIGINT) AS id,

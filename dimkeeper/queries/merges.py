@@ -86,6 +86,19 @@ def merge_ambiguous_keys(spark: SparkSession, folder: str) -> DataFrame:
     return ambiguous_keys(lineitem, lineitem, ["l_orderkey", "l_linenumber"])
 
 
+@query(
+    """
+SELECT l_orderkey, count(*) AS matches FROM lineitem
+WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')
+GROUP BY l_orderkey HAVING count(*) > 1"""
+)
+def merge_ambiguous_finished(spark: SparkSession, folder: str) -> DataFrame:
+    """The table has only some of the keys that repeat in the batch."""
+    orders = inputs.table(spark, folder, "orders").where(F.col("o_orderstatus") == "F")
+    finished = orders.withColumnRenamed("o_orderkey", "l_orderkey")
+    return ambiguous_keys(finished, inputs.table(spark, folder, "lineitem"), "l_orderkey")
+
+
 @query("SELECT o_custkey, count(*) AS n FROM orders WHERE o_custkey IS NOT NULL GROUP BY o_custkey")
 def agg_collect_keys(spark: SparkSession, folder: str) -> DataFrame:
     return batch_keys(inputs.table(spark, folder, "orders"), "o_custkey")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from dimkeeper.operators import ChangeLog
 from dimkeeper.queries import inputs
@@ -41,6 +42,43 @@ def v_as_of(spark: SparkSession, folder: str) -> DataFrame:
     return inputs.order_log(spark, folder).as_of(4)
 
 
+@query(
+    inputs.with_sql(ORDER_LOG_SQL, state_sql("state", 4))
+    + "SELECT * FROM state WHERE c_mktsegment = '1-URGENT'"
+)
+def v_as_of_where(spark: SparkSession, folder: str) -> DataFrame:
+    """A condition on a column that changes between versions."""
+    return inputs.order_log(spark, folder).as_of(4, F.col("c_mktsegment") == "1-URGENT")
+
+
+@query(
+    inputs.with_sql(ORDER_LOG_SQL, *[state_sql(f"s{v}", v) for v in (0, 3, 6)])
+    + " UNION ALL ".join(
+        f"SELECT CAST({v} AS BIGINT) AS version, s{v}.* FROM s{v} WHERE c_acctbal > 5000" for v in (0, 3, 6)
+    )
+)
+def v_union_versions_where(spark: SparkSession, folder: str) -> DataFrame:
+    return inputs.order_log(spark, folder).union_versions([0, 3, 6], F.col("c_acctbal") > 5000)
+
+
+@query(
+    inputs.with_sql(
+        inputs.UPDATES_SQL, inputs.UPSERT_SQL, inputs.SECOND_UPDATES_SQL, inputs.SECOND_UPSERT_SQL
+    )
+    + """
+SELECT * FROM upd
+UNION ALL
+SELECT * FROM state2 s WHERE NOT EXISTS (SELECT 1 FROM upd u WHERE u.c_custkey = s.c_custkey)"""
+)
+def v_merge_chain(spark: SparkSession, folder: str) -> DataFrame:
+    """Three merges in a row beyond the broadcast limit; the third repeats the first batch."""
+    first, second = inputs.both_updates(spark, folder)
+    log = ChangeLog.start(inputs.table(spark, folder, "customer"), "c_custkey", limit=1000)
+    for batch in (first, second, first):
+        log = log.with_changes(log.merge(batch))
+    return log.current()
+
+
 @query(inputs.with_sql(ORDER_LOG_SQL, state_sql("state", 7)) + "SELECT * FROM state")
 def v_current(spark: SparkSession, folder: str) -> DataFrame:
     return inputs.order_log(spark, folder).current()
