@@ -9,7 +9,7 @@ import io
 import pytest
 from pyspark.sql import functions as F
 
-from dimkeeper.operators import History, type1, type3
+from dimkeeper.operators import History, ambiguous_keys, type1, type3
 from dimkeeper.plans import broadcast_limit, number_rows, profile_batch
 from dimkeeper.session import shared_folder, stage
 
@@ -174,3 +174,14 @@ def test_stage_uses_the_shared_folder(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     (file, *_) = stage(spark.range(3)).inputFiles()
     assert shared_folder(spark) in file
+
+
+def test_one_repeated_key_of_a_large_batch_leaves_the_table_in_place(spark, dimension):
+    """Beyond the limit as a whole, but only the repeated key is looked up."""
+    keys = spark.range(0, 30000).selectExpr("IF(id = 29999, 7, id) AS k")
+    large = stage(keys)
+    found = ambiguous_keys(dimension, large, "k", limit=10_000)
+    lookup = plan(found)
+    assert "SortMergeJoin" not in lookup
+    assert "BroadcastHashJoin [k" in lookup
+    assert [tuple(r) for r in found.collect()] == [(7, 2)]

@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from dimkeeper.operators import AmbiguousMatchError, History
 from dimkeeper.sources import rows
@@ -208,3 +209,15 @@ def test_random_batches_keep_the_invariants(spark, seed, limit):
             assert after[i][:5] == old[:5]
         day += dt.timedelta(days=1)
         table = spark.createDataFrame(list(after.values()), SCHEMA)
+
+
+@pytest.mark.parametrize("limit", [None, -1])
+def test_skip_unchanged_keeps_rows_without_key_and_refuses_maps(spark, limit):
+    table = rows(spark, [(0, None, "a", None, BEGIN, None), (1, 2, "b", "Oslo", BEGIN, None)], SCHEMA)
+    batch = rows(spark, [(None, "a", None), (None, "a", None), (2, "b", "Oslo")], BATCH)
+    got = PEOPLE.apply(table, batch, LATER, skip_unchanged=True, limit=limit)
+    opened = got.where("start_date = '2024-06-01'").collect()
+    assert [(r.k, r.name) for r in opened] == [(None, "a")] * 2
+    with_map = [df.withColumn("m", F.create_map(F.lit("x"), F.col("name"))) for df in (table, batch)]
+    with pytest.raises(ValueError, match="maps cannot be compared"):
+        PEOPLE.apply(*with_map, LATER, skip_unchanged=True, limit=limit)

@@ -185,3 +185,21 @@ def test_key_filter_reaches_the_scans(spark, tmp_path):
     plan = read.as_of(1, where=F.col("k") == 1)._jdf.queryExecution().executedPlan().toString()
     scans = [line for line in plan.splitlines() if "FileScan" in line]
     assert scans and all("EqualTo(k,1)" in line for line in scans)
+
+
+@pytest.mark.parametrize("limit", [None, -1])
+def test_several_versions_read_the_base_once(spark, tmp_path, limit):
+    path = str(tmp_path / "log")
+    log = start(spark)
+    append_version(log.log, path)
+    append_version(log.merge(rows(spark, [(1, "x", "y"), (90, "n", "e")], SCHEMA), 1), path)
+    read = ChangeLog(read_log(spark, path, log.log), "k", limit=limit)
+    append_version(read.restore(0, version=2), path)
+    read = ChangeLog(read_log(spark, path, log.log), "k", limit=limit)
+    states = read.union_versions([0, 1, 2])
+    plan = states._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [isnotnull(version") == 1
+    for version in (0, 1, 2):
+        assert state(states.where(F.col("version") == version).drop("version")) == state(read.as_of(version))
+    with pytest.raises(ValueError, match="does not exist"):
+        read.union_versions([0, 3])
