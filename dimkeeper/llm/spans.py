@@ -1,8 +1,9 @@
 """Substring deduplication by sliding sentence spans.
 
-A span is a run of consecutive sentences: from each sentence on, the shortest run of at least
-SENTENCES sentences and MIN_WORDS words. Spans are hashed and compared over all documents. The
-first occurrence of a span, by document id and then by position, stays; a sentence that any later
+A span is a run of consecutive sentences: for each sentence the shortest run of at least SENTENCES
+sentences and MIN_WORDS words that starts with it, and the shortest one that ends with it. Together
+they cover every longer run. Spans are hashed and compared over all documents. The first
+occurrence of a span, by document id and then by position, stays; a sentence that any later
 occurrence covers is removed.
 
 A sentence ends with a word that ends in a stop, question or exclamation mark, at a line end, or
@@ -59,7 +60,13 @@ def spans(h: np.ndarray, begins: np.ndarray, row: np.ndarray) -> tuple[np.ndarra
     beyond = np.searchsorted(begins, begins[:-1] + MIN_WORDS)
     beyond = np.maximum(beyond, first + SENTENCES)
     whole = beyond <= n
-    first, beyond = first[whole], beyond[whole]
+    # The same from the end: the last sentence that is early enough to begin with.
+    other = np.searchsorted(begins, begins[1:] - MIN_WORDS, "right") - 1
+    other = np.minimum(other, np.arange(n) + 1 - SENTENCES)
+    early = other >= 0
+    # Each run once, or it would seem to occur again.
+    runs = np.concatenate([first[whole] * (n + 1) + beyond[whole], other[early] * (n + 1) + np.flatnonzero(early) + 1])
+    first, beyond = np.divmod(np.unique(runs), n + 1)
     whole = row[first] == row[beyond - 1]
     first, beyond = first[whole], beyond[whole]
     # The same running polynomial as over bytes, now over words.

@@ -159,6 +159,15 @@ def test_spans_match_brute_force(spark):
     assert found == want
 
 
+def test_the_end_of_a_repeated_passage_goes_too(spark):
+    a, b, c = "A1 b c d e f g h.", "I1 j k l m n o p.", "Q1 r s."
+    # Each within words of its own: only the passage is repeated, and its last sentence has 3 words.
+    texts = {i: f"X{i} x{i} y{i}. {a} {b} {c} Z{i} z{i}. " for i in range(3)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id BIGINT, text STRING")
+    found = {r["doc_id"]: r["text"] for r in spans.remove(docs).collect()}
+    assert found == {0: texts[0]} | {i: f"X{i} x{i} y{i}. Z{i} z{i}. " for i in (1, 2)}
+
+
 def brute_windows(texts, items):
     words = lambda t: re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (t or "").translate(LOWER))
     grams = defaultdict(set)
