@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,8 @@ SHARD_ROWS = 100_000
 ID_BITS = 12
 #: Bits per key in each level of the hash table.
 GAMMA = 2
+#: A level places most of its keys, so distinct keys never need so many.
+LEVELS = 200
 WORD = r"[^\x20\x09-\x0D]+"
 MASK = 0xFFFFFFFF
 
@@ -50,6 +53,8 @@ class NodeTable:
         self.levels: list[tuple[int, np.ndarray, np.ndarray]] = []
         before, rest = 0, np.arange(len(high))
         while len(rest):
+            if len(self.levels) == LEVELS:
+                raise ValueError("the keys of a node table must be distinct")
             size = GAMMA * len(rest) + 1
             place = self._place(high[rest], low[rest], len(self.levels), size)
             alone = np.bincount(place, minlength=size) == 1
@@ -59,8 +64,8 @@ class NodeTable:
         self.high, self.low = np.zeros(before, U64), np.zeros(before, U64)
         slot = self._slots(high, low)
         self.high[slot], self.low[slot] = high, low
-        if before != len(high) or (self.high[slot] != high).any() or (self.low[slot] != low).any():
-            raise ValueError("the keys of a node table must be distinct")
+        if (self.high[slot] != high).any() or (self.low[slot] != low).any():
+            raise AssertionError("two keys have one slot")
 
     @staticmethod
     def _place(high: np.ndarray, low: np.ndarray, level: int, size: int) -> np.ndarray:
@@ -232,10 +237,11 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_pydict({f.name: out[f.name] for f in COUNTED}, ARROW_COUNTED)
 
 
-def _accumulate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _accumulate(batches: Iterator[pa.RecordBatch], segment: int) -> Iterator[pa.RecordBatch]:
     """Subtree sums of a shard's nodes over the values that belong to its segments.
 
     Rows with ``kind`` 0 are nodes of paths, rows with 1 hold values (leaves, saved) to add to a node.
+    Nothing is passed on from one segment to another, even if the shard has both.
     """
     rows = _columns(batches)
     if not rows:
@@ -251,7 +257,7 @@ def _accumulate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     up = np.full(size, -1)
     up_high, up_low = _keys(rows, "up_")
     up[slot[node]] = table.slots(up_high[node], up_low[node])
-    up[depth == 0] = -1  # the root is its own sum of no turns
+    up[depth % segment == 0] = -1
     sums = []
     for name in ("leaves", "saved"):
         flat = np.zeros(size, np.int64)
@@ -362,7 +368,7 @@ def nodes(rows: DataFrame, segment: int = SEGMENT, shard_rows: int = SHARD_ROWS)
         "conv_id", "segment", *NODE, zero.alias("up_high"), zero.alias("up_low"), zero.alias("depth"), F.lit(1).alias("kind"), "leaves", "saved"
     )
     both = path.unionByName(value).repartition(shards, "conv_id", "segment").drop("conv_id", "segment")
-    sums = both.mapInArrow(_accumulate, struct("high long, low long, leaves long, saved long"))
+    sums = both.mapInArrow(partial(_accumulate, segment=segment), struct("high long, low long, leaves long, saved long"))
     sums = sums.groupBy(*NODE).agg(F.sum("leaves").alias("n_leaves"), F.sum("saved").alias("saved_tokens"))
 
     last = walked.where(F.col("depth") == F.col("length")).select(*NODE, "conv_id")
