@@ -21,9 +21,31 @@ def as_date(column: Column | str, strict: bool = False) -> Column:
     return column.cast("date") if strict else column.try_cast("date")
 
 
+def quoted(name: str) -> str:
+    """A name as it has to stand in expressions, whatever characters it has."""
+    return f"`{name.replace('`', '``')}`"
+
+
+def column(name: str, side: str | None = None) -> Column:
+    """The column of that very name, of the aliased side of a join if one is given."""
+    return F.col(quoted(name) if side is None else f"{side}.{quoted(name)}")
+
+
+def columns(names: Sequence[str], side: str | None = None) -> list[Column]:
+    return [column(c, side) for c in names]
+
+
+def fresh(name: str, *frames: DataFrame) -> str:
+    """``name``, made longer until none of the frames has such a column."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def has_key(on: Sequence[str]) -> Column:
     """True where every key column holds a value, so the row is able to match another one."""
-    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in on])
+    return reduce(lambda a, b: a & b, [column(c).isNotNull() for c in on])
 
 
 def with_key(df: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -60,9 +82,9 @@ def cast_like(df: DataFrame, like: DataFrame) -> DataFrame:
     wanted = {f.name: f.dataType for f in like.schema}
     return df.select(
         *[
-            F.col(f.name).cast(wanted[f.name]).alias(f.name)
+            column(f.name).cast(wanted[f.name]).alias(f.name)
             if f.name in wanted and wanted[f.name] != f.dataType
-            else F.col(f.name)
+            else column(f.name)
             for f in df.schema
         ]
     )

@@ -15,16 +15,24 @@ from pyspark.sql import functions as F
 from dimkeeper.functions.columns import (
     align_names,
     cast_like,
+    column,
+    columns,
+    fresh,
+    has_key,
     resolve_names,
     typed_null,
     with_key,
     without_key,
 )
 from dimkeeper.plans.batch import BatchProfile, profile_batch
+from dimkeeper.plans.filter import equal_by_hash, key_hash, may_match
 from dimkeeper.plans.lookup import matched_keys, without_match
 from dimkeeper.session import stage
 
 ALL = "all"
+#: A key is heavy if it has more than one in so many of a table's rows, and so many rows at least.
+HEAVY, HEAVY_ROWS = 200, 10_000
+SKETCH_ITEMS = 10_000
 
 
 class AmbiguousMatchError(ValueError):
@@ -58,8 +66,8 @@ def merge(
     ``matched_when`` an extra condition over ``t`` and ``u``; where it is not true, the
                      matched row stays as it is.
     ``full_outer``   one full outer join instead of two one-sided ones. It shuffles the
-                     table once, but Spark cannot split a hot key in it, so choose it only
-                     for a table whose keys are unique.
+                     table once, but Spark cannot split a hot key in it. So keys that hold a
+                     large part of the table are found first and merged by one-sided joins.
     ``limit``        broadcast limit in bytes, by default the session's.
     ``profile``      the batch's measurements, if the caller took them already.
 
@@ -83,18 +91,27 @@ def merge(
     if matched is None:
         kept = target
     elif full_outer:
-        return _full_outer(target, updates, on, matched, not_matched, matched_when)
+        heavy = heavy_keys(target, on) if equal_by_hash(updates, on) else []
+        if not heavy:
+            return _full_outer(target, updates, on, matched, not_matched, matched_when)
+        # The batch has at most one row for each of them, so it goes to where the table's rows are.
+        hot = has_key(on) & key_hash(on).isin(heavy)
+        rest = _full_outer(target.where(~hot), updates.where(~hot), on, matched, not_matched, matched_when)
+        few = updates.where(hot)
+        return rest.unionByName(
+            merge(target.where(hot), few, on, matched, not_matched, evolve, matched_when, limit=limit)
+        )
     elif replaces:
         # Update all, insert all: whatever the batch names is replaced by the batch.
         kept = _unmatched_rows(target, updates, on, profile)
-        return kept.select(*target.columns).unionByName(updates)
+        return kept.select(*columns(target.columns)).unionByName(updates)
     else:
         kept = _updated(target, updates, on, matched, matched_when, profile)
 
     if not_matched != ALL:
         return kept
-    fresh = without_match(updates, target, on, profile)
-    return kept.unionByName(_as_inserts(fresh, target))
+    new = without_match(updates, target, on, profile)
+    return kept.unionByName(_as_inserts(new, target))
 
 
 def ambiguous_keys(
@@ -137,12 +154,8 @@ def _ambiguous(
     target: DataFrame, updates: DataFrame, on: list[str], limit: int | None
 ) -> DataFrame:
     """Only repeated keys are looked up, so their number decides how the table is searched."""
-    repeated = (
-        with_key(updates, on)
-        .groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("matches"))
-        .where(F.col("matches") > 1)
-    )
+    keys = with_key(updates, on).groupBy(*columns(on))
+    repeated = keys.agg(F.count(F.lit(1)).alias("matches")).where(F.col("matches") > 1)
     repeated = stage(repeated, "repeated")
     profile = profile_batch(repeated, on, limit, repeats=False)
     return repeated.join(matched_keys(target, repeated, on, profile), on, "left_semi")
@@ -151,7 +164,7 @@ def _ambiguous(
 def _refuse_ambiguous(target: DataFrame, updates: DataFrame, on: list[str], limit: int) -> None:
     found = (
         _ambiguous(target, updates, on, limit)
-        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*on)).alias("example"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*columns(on))).alias("example"))
         .first()
     )
     if found["n"]:
@@ -167,6 +180,10 @@ def _unmatched_rows(
     keys = profile.keys(updates, on)
     if profile.keys_fit:
         return target.join(keys, on, "left_anti")
+    possible = may_match(target, updates, on, profile)
+    if possible is not None:
+        kept = target.where(possible).join(keys, on, "left_anti")
+        return kept.select(*columns(target.columns)).unionByName(target.where(~possible))
     # Shuffle join: rows without a key match nothing, and all of them would land in one
     # task, so they bypass it. Parquet statistics make the second scan cheap.
     kept = with_key(target, on).join(keys, on, "left_anti")
@@ -190,16 +207,36 @@ def _updated(
         if not profile.rows_fit:
             # Straight from a file, so that Spark can split a hot key of the table.
             partners = stage(partners, "partners")
-    partners = partners.withColumn("_hit", F.lit(True))
+    hit = fresh("_hit", target, updates)
+    partners = partners.withColumn(hit, F.lit(True))
     if profile.rows_fit:
         joined = target.alias("t").join(F.broadcast(partners).alias("u"), equal_keys(on), "left")
-        return joined.select(*_changed(target, updates, on, matched, matched_when))
-    joined = with_key(target, on).alias("t").join(partners.alias("u"), equal_keys(on), "left")
-    changed = joined.select(*_changed(target, updates, on, matched, matched_when))
+        return joined.select(*_changed(target, updates, on, matched, matched_when, hit))
+    possible = may_match(target, updates, on, profile)
+    able = with_key(target, on) if possible is None else target.where(possible)
+    joined = able.alias("t").join(partners.alias("u"), equal_keys(on), "left")
+    changed = joined.select(*_changed(target, updates, on, matched, matched_when, hit))
+    if possible is not None:
+        return changed.unionByName(target.where(~possible))
     keyless = without_key(target, on)
     return changed if keyless is None else changed.unionByName(keyless)
 
 
+def heavy_keys(table: DataFrame, on: Sequence[str]) -> list[int]:
+    """Hashes of the keys that hold more than one in ``HEAVY`` of the table's rows, so fewer than that.
+
+    One job over the key columns counts with a sketch of bounded size. Nothing is found where
+    hashes do not tell keys apart, or where no key has ``HEAVY_ROWS``.
+    """
+    if not equal_by_hash(table, on):
+        return []
+    top = F.call_function("approx_top_k", F.col("hash"), F.lit(HEAVY), F.lit(SKETCH_ITEMS))
+    hashes = with_key(table, on).select(key_hash(on).alias("hash"))
+    found = hashes.agg(F.count(F.lit(1)).alias("rows"), top.alias("top")).first()
+    most = max(HEAVY_ROWS, found["rows"] // HEAVY)
+    return [x["item"] for x in found["top"] or [] if x["count"] > most]
+
+
 def _full_outer(
     target: DataFrame,
     updates: DataFrame,
@@ -208,15 +245,16 @@ def _full_outer(
     not_matched: str | None,
     matched_when: Column | None,
 ) -> DataFrame:
-    left = with_key(target, on).withColumn("_here", F.lit(True)).alias("t")
-    right = with_key(updates, on).withColumn("_hit", F.lit(True)).alias("u")
+    here, hit = fresh("_here", target, updates), fresh("_hit", target, updates)
+    left = with_key(target, on).withColumn(here, F.lit(True)).alias("t")
+    right = with_key(updates, on).withColumn(hit, F.lit(True)).alias("u")
     joined = left.join(right, equal_keys(on), "full" if not_matched == ALL else "left")
-    known = F.col("t._here")
-    changed = _changed(target, updates, on, matched, matched_when)
+    known = column(here, "t")
+    changed = _changed(target, updates, on, matched, matched_when, hit)
     result = joined.select(
         *[
             F.when(known, new).otherwise(
-                F.col(f"u.{c}") if c in updates.columns else typed_null(target.schema[c].dataType)
+                column(c, "u") if c in updates.columns else typed_null(target.schema[c].dataType)
             ).alias(c)
             for c, new in zip(target.columns, changed)
         ]
@@ -236,27 +274,29 @@ def _changed(
     on: list[str],
     matched: str | Mapping[str, Column | str],
     matched_when: Column | None,
+    hit: str,
 ) -> list[Column]:
     """The columns of the table after a left or full join of ``t`` and ``u``."""
     if matched == ALL:
-        new = {c: F.col(f"u.{c}") for c in target.columns if c in updates.columns and c not in on}
+        new = {c: column(c, "u") for c in target.columns if c in updates.columns and c not in on}
     else:
         names = resolve_names(target, list(matched))
         values = [F.expr(v) if isinstance(v, str) else v for v in matched.values()]
         new = dict(zip(names, values))
-    change = F.col("u._hit") if matched_when is None else F.col("u._hit") & matched_when
+    change = column(hit, "u")
+    change = change if matched_when is None else change & matched_when
     return [
-        F.when(change, new[f.name].cast(f.dataType)).otherwise(F.col(f"t.{f.name}")).alias(f.name)
+        F.when(change, new[f.name].cast(f.dataType)).otherwise(column(f.name, "t")).alias(f.name)
         if f.name in new
-        else F.col(f"t.{f.name}")
+        else column(f.name, "t")
         for f in target.schema
     ]
 
 
-def _as_inserts(fresh: DataFrame, target: DataFrame) -> DataFrame:
-    return fresh.select(
+def _as_inserts(rows: DataFrame, target: DataFrame) -> DataFrame:
+    return rows.select(
         *[
-            F.col(f.name) if f.name in fresh.columns else typed_null(f.dataType).alias(f.name)
+            column(f.name) if f.name in rows.columns else typed_null(f.dataType).alias(f.name)
             for f in target.schema
         ]
     )
@@ -264,7 +304,7 @@ def _as_inserts(fresh: DataFrame, target: DataFrame) -> DataFrame:
 
 def equal_keys(on: list[str]) -> Column:
     """Equality of all keys between the aliases ``t`` and ``u``."""
-    condition = F.col(f"t.{on[0]}") == F.col(f"u.{on[0]}")
+    condition = column(on[0], "t") == column(on[0], "u")
     for c in on[1:]:
-        condition &= F.col(f"t.{c}") == F.col(f"u.{c}")
+        condition &= column(c, "t") == column(c, "u")
     return condition

@@ -11,10 +11,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dimkeeper.functions.columns import (
     align_names,
     cast_like,
+    column,
+    columns,
+    fresh,
     has_key,
     resolve_names,
     typed_null,
@@ -23,6 +27,7 @@ from dimkeeper.functions.columns import (
 )
 from dimkeeper.operators.merge import AmbiguousMatchError, equal_keys
 from dimkeeper.plans.batch import BatchProfile, profile_batch
+from dimkeeper.plans.filter import may_match
 from dimkeeper.plans.numbering import number_rows
 from dimkeeper.session import stage
 
@@ -57,7 +62,7 @@ class History:
     # Reading -----------------------------------------------------------------------------
 
     def is_active(self) -> Column:
-        return F.col(self.end).isNull()
+        return column(self.end).isNull()
 
     def active(self, history: DataFrame) -> DataFrame:
         """Current rows."""
@@ -68,7 +73,7 @@ class History:
 
         Comparing with null (``end_date <> null``) is never true and would return nothing.
         """
-        return history.where(F.col(self.end).isNotNull())
+        return history.where(column(self.end).isNotNull())
 
     def with_active_flag(self, history: DataFrame, flag: str = "is_active") -> DataFrame:
         return history.withColumn(flag, self.is_active())
@@ -88,7 +93,7 @@ class History:
         profile = profile_batch(updates, roles.key, limit, repeats=False)
         known = history.join(profile.keys(updates, roles.key), roles.key, "left_semi")
         opened = roles._opened(history, updates, effective_date or today(history))
-        return opened.unionByName(known).select(*history.columns)
+        return opened.unionByName(known).select(*columns(history.columns))
 
     def apply(
         self,
@@ -122,21 +127,54 @@ class History:
 
         opened = roles.assign_ids(history, roles._opened(history, updates, effective_date))
         closed = roles._closed(history, updates, effective_date, expire, profile)
-        return closed.select(*history.columns).unionByName(opened)
+        return closed.select(*columns(history.columns)).unionByName(opened)
 
     def assign_ids(self, history: DataFrame, rows: DataFrame) -> DataFrame:
         """Give ``rows`` the ids after the largest one of ``history``, in key order."""
-        largest = F.coalesce(F.max(self.surrogate), F.lit(-1)).cast("long")
+        largest = F.coalesce(F.max(column(self.surrogate)), F.lit(-1)).cast("long")
         free = history.agg((largest + 1).alias("free"))
-        order = [F.col(c).asc_nulls_last() for c in self._order(rows)]
+        order = [column(c).asc_nulls_last() for c in self._order(rows)]
         numbered = number_rows(rows, order, self.surrogate, free)
-        return cast_like(numbered, history).select(*rows.columns)
+        return cast_like(numbered, history).select(*columns(rows.columns))
 
     def renumber(self, history: DataFrame) -> DataFrame:
-        """Ids from 0 without gaps: by the old id, rows without one last and in key order."""
+        """Ids from 0 without gaps: by the old id, rows without one last and in key order.
+
+        If the old ids have no gaps already, they stay, and only rows without one are numbered.
+        """
         roles = self.spelled_as(history)
-        order = [F.col(c).asc_nulls_last() for c in [roles.surrogate, *roles._order(history)]]
-        return number_rows(history, order, roles.surrogate).select(*history.columns)
+        dense = roles.dense_ids(history)
+        if dense is not None:
+            known = column(roles.surrogate).isNotNull()
+            new = history.where(~known)
+            order = [column(c).asc_nulls_last() for c in roles._order(history)]
+            numbered = cast_like(number_rows(new, order, roles.surrogate, dense), history)
+            return history.where(known).unionByName(numbered).select(*columns(history.columns))
+        order = [column(c).asc_nulls_last() for c in [roles.surrogate, *roles._order(history)]]
+        return number_rows(history, order, roles.surrogate).select(*columns(history.columns))
+
+    def dense_ids(self, history: DataFrame) -> int | None:
+        """How many ids there are if they are 0, 1, 2 and so on, each once; else None.
+
+        One aggregation decides it: ids are grouped by 64, each group keeps a count and one bit per
+        id. Ids that lie together, as those of a written history do, are combined on the map side.
+        """
+        if not isinstance(history.schema[self.surrogate].dataType, T.IntegralType):
+            return None
+        id = column(self.surrogate).cast("long")
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), id.bitwiseAND(F.lit(63)).cast("int"))
+        ids = history.where(id.isNotNull()).groupBy(F.shiftright(id, 6).alias("part"))
+        parts = ids.agg(
+            F.count(F.lit(1)).alias("n"), F.bit_or(bit).alias("bits"), F.min(id).alias("least"), F.max(id).alias("most")
+        )
+        found = parts.agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+            F.coalesce(F.min("least"), F.lit(0)).alias("least"),
+            F.coalesce(F.max("most"), F.lit(-1)).alias("most"),
+            F.count_if(F.bit_count("bits") != F.col("n")).alias("repeated"),
+        ).first()
+        dense = found["least"] == 0 and found["most"] == found["n"] - 1 and not found["repeated"]
+        return found["n"] if dense else None
 
     # Parts -------------------------------------------------------------------------------
 
@@ -149,7 +187,7 @@ class History:
         """Attributes of the batch under the table's names and types; an id in it is ignored."""
         updates = align_names(updates, history)
         return cast_like(
-            updates.select(*resolve_names(updates, self.attributes(history))), history
+            updates.select(*columns(resolve_names(updates, self.attributes(history)))), history
         )
 
     def _opened(
@@ -158,7 +196,7 @@ class History:
         types = {f.name: f.dataType for f in history.schema}
         return updates.select(
             typed_null(types[self.surrogate]).alias(self.surrogate),
-            *updates.columns,
+            *columns(updates.columns),
             F.lit(effective_date).cast(types[self.start]).alias(self.start),
             typed_null(types[self.end]).alias(self.end),
         )
@@ -171,18 +209,18 @@ class History:
         if maps:
             raise ValueError(f"maps cannot be compared, skip_unchanged does not work with {maps}")
         attributes = [c for c in updates.columns if c not in self.key]
-        current = with_key(self.active(history), self.key).select(*updates.columns).alias("t")
+        current = with_key(self.active(history), self.key).select(*columns(updates.columns)).alias("t")
         same = equal_keys(self.key)
         for c in attributes:
-            same &= F.col(f"t.{c}").eqNullSafe(F.col(f"u.{c}"))
+            same &= column(c, "t").eqNullSafe(column(c, "u"))
         keyed = with_key(updates, self.key)
         if profile.rows_fit:
             # The table stays in place; the few keys found there travel back.
-            equal = current.join(F.broadcast(keyed.alias("u")), same, "left_semi").select(*self.key)
+            equal = current.join(F.broadcast(keyed.alias("u")), same, "left_semi").select(*columns(self.key))
             changed = keyed.join(equal, self.key, "left_anti")
         else:
             changed = keyed.alias("u").join(current, same, "left_anti")
-        changed = changed.select(*updates.columns)
+        changed = changed.select(*columns(updates.columns))
         # Rows without a key would all meet in one task; they equal nothing.
         keyless = without_key(updates, self.key)
         return changed if keyless is None else changed.unionByName(keyless)
@@ -197,17 +235,21 @@ class History:
     ) -> DataFrame:
         """All old rows, those hit by the batch with their end date set."""
         key, end_type = self.key, history.schema[self.end].dataType
-        hits = profile.keys(updates, key).withColumn("_hit", F.lit(True))
-        hit = F.col("_hit") if expire == ALL else F.col("_hit") & self.is_active()
-        end = F.when(hit, F.lit(effective_date).cast(end_type)).otherwise(F.col(self.end))
+        found = fresh("_hit", history, updates)
+        hits = profile.keys(updates, key).withColumn(found, F.lit(True))
+        hit = F.col(found) if expire == ALL else F.col(found) & self.is_active()
+        end = F.when(hit, F.lit(effective_date).cast(end_type)).otherwise(column(self.end))
         if profile.keys_fit:
             return history.join(hits, key, "left").withColumn(self.end, end)
         # Shuffle join: only rows that can be closed take part. Without closed rows a key has
         # at most one open row, however long its history is; rows without key match nothing.
         # With expire="all" a long history joins as a whole, on the side Spark can split.
-        able = has_key(key) if expire == ALL else has_key(key) & self.is_active()
+        # Rows that the batch surely does not hit take no part either.
+        possible = may_match(history, updates, key, profile)
+        able = has_key(key) if possible is None else possible
+        able = able if expire == ALL else able & self.is_active()
         joined = history.where(able).join(hits, key, "left").withColumn(self.end, end)
-        return joined.select(*history.columns).unionByName(history.where(~able))
+        return joined.select(*columns(history.columns)).unionByName(history.where(~able))
 
 
 def today(df: DataFrame) -> datetime.date:

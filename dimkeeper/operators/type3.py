@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from dimkeeper.functions.columns import (
     align_names,
     cast_like,
+    column as named,
+    columns,
+    fresh,
     resolve_names,
     typed_null,
     with_key,
@@ -58,11 +61,12 @@ def change_rows(
     updates = with_key(updates, key)
     profile = profile_batch(updates, key, limit, repeats=False)
     # Changed and new rows exclude each other, so one outer join finds both.
-    partners = _partners(target, updates, key, column, profile)
+    hit = fresh("_known", target)
+    partners = _partners(target, updates, key, column, profile, hit)
     joined = updates.alias("u").join(partners.alias("t"), equal_keys(key), "left")
-    known = F.col("t._known")
+    known = named(hit, "t")
     found = joined.where(known.isNull() | _differs(column, null_safe)).select(
-        "u.*", F.col(f"t.`{column}`").alias(previous)
+        "u.*", named(column, "t").alias(previous)
     )
     if keyless is None:
         return found
@@ -101,19 +105,19 @@ def _fit(
     updates = cast_like(align_names(updates, target), target)
     # The earlier value comes from the table, never from the batch.
     previous = previous_name(column).lower()
-    return key, column, updates.select(*[F.col(f"`{c}`") for c in updates.columns if c.lower() != previous])
+    return key, column, updates.select(*columns([c for c in updates.columns if c.lower() != previous]))
 
 
 def _differs(column: str, null_safe: bool) -> Column:
-    old, new = F.col(f"t.`{column}`"), F.col(f"u.`{column}`")
+    old, new = named(column, "t"), named(column, "u")
     return ~old.eqNullSafe(new) if null_safe else old != new
 
 
 def _partners(
-    target: DataFrame, updates: DataFrame, key: list[str], column: str, profile: BatchProfile
+    target: DataFrame, updates: DataFrame, key: list[str], column: str, profile: BatchProfile, hit: str
 ) -> DataFrame:
     """Key and tracked value of the table; only rows the batch can hit if the batch is small."""
-    partners = with_key(target, key).select(*key, column, F.lit(True).alias("_known"))
+    partners = with_key(target, key).select(*columns([*key, column]), F.lit(True).alias(hit))
     if profile.keys_fit:
         partners = partners.join(profile.keys(updates, key), key, "left_semi")
     return partners

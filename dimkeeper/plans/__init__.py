@@ -1,6 +1,7 @@
 """How the operators place their data: measured broadcasts and distributed numbering."""
 
 from dimkeeper.plans.batch import BatchProfile, broadcast_limit, profile_batch
+from dimkeeper.plans.filter import may_match
 from dimkeeper.plans.lookup import matched_keys, without_match
 from dimkeeper.plans.numbering import number_rows
 
@@ -8,6 +9,7 @@ __all__ = [
     "BatchProfile",
     "broadcast_limit",
     "matched_keys",
+    "may_match",
     "number_rows",
     "profile_batch",
     "without_match",

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimkeeper.functions.columns import with_key
+from dimkeeper.functions.columns import columns, quoted, with_key
 from dimkeeper.session import stage
 
 # Room in bytes for the header and hash table entry of one broadcast row, and for one value
@@ -39,7 +39,7 @@ def _fixed_and_varying(fields: Sequence[T.StructField]) -> tuple[int, str]:
     """Bytes every row takes, and an SQL expression for what a row takes on top."""
     fixed, varying = ROW_OVERHEAD, []
     for field in fields:
-        name = f"`{field.name.replace('`', '``')}`"
+        name = quoted(field.name)
         fixed += VALUE_SIZE
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
             varying.append(f"coalesce(octet_length({name}), 0)")
@@ -70,7 +70,7 @@ class BatchProfile:
 
     def keys(self, df: DataFrame, on: Sequence[str]) -> DataFrame:
         """The distinct non-null keys of the measured frame, marked for broadcast if they fit."""
-        keys = with_key(df, on).select(*on)
+        keys = with_key(df, on).select(*columns(on))
         if self.repeated_keys:
             keys = keys.distinct()
         if self.keys_fit:
@@ -95,16 +95,17 @@ def profile_batch(
     """
     key_size, key_text = _fixed_and_varying([updates.schema[c] for c in on])
     row_size, row_text = _fixed_and_varying(updates.schema.fields if rows else [])
-    no_key = "(" + " OR ".join(f"`{c}` IS NULL" for c in on) + ")"
+    keys = [f"k{i}" for i in range(len(on))]
+    no_key = "(" + " OR ".join(f"{k} IS NULL" for k in keys) + ")"
 
     measured = updates.selectExpr(
-        *[f"`{c}`" for c in on],
+        *[f"{quoted(c)} AS {k}" for c, k in zip(on, keys, strict=True)],
         "1L AS _n",
         f"CAST({key_text or 0} AS BIGINT) AS _key_text",
         f"CAST({row_text or 0} AS BIGINT) AS _row_text",
     )
     if repeats:
-        measured = measured.groupBy(*on).agg(
+        measured = measured.groupBy(*keys).agg(
             *[F.expr(f"sum({c}) AS {c}") for c in ("_n", "_key_text", "_row_text")]
         )
     found = measured.selectExpr(

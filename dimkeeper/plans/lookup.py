@@ -3,7 +3,8 @@
 Both forms keep the large table in place when the batch is small: the batch's keys are
 broadcast to it, and only the few keys found there travel back. Beyond the limit they
 become shuffle joins, where the table's keys are made distinct on the map side first, so
-a key that fills a third of the table reaches the join as one row.
+a key that fills a third of the table reaches the join as one row. Keys that the batch surely does
+not have are left out before (:mod:`dimkeeper.plans.filter`).
 """
 
 from __future__ import annotations
@@ -12,8 +13,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from dimkeeper.functions.columns import with_key, without_key
+from dimkeeper.functions.columns import columns, with_key, without_key
 from dimkeeper.plans.batch import BatchProfile
+from dimkeeper.plans.filter import may_match
 from dimkeeper.session import stage
 
 
@@ -22,12 +24,15 @@ def matched_keys(
 ) -> DataFrame:
     """The keys of the table that the batch may hit, each once.
 
-    With a small batch these are exactly the keys found in both. Otherwise all keys of the
+    With a small batch these are exactly the keys found in both. Otherwise further keys of the
     table are returned and the join that follows does the selection.
     """
-    keys = with_key(table, on).select(*on)
+    keys = with_key(table, on).select(*columns(on))
     if profile.keys_fit:
         keys = keys.join(profile.keys(updates, on), list(on), "left_semi")
+    else:
+        possible = may_match(table, updates, on, profile)
+        keys = keys if possible is None else keys.where(possible)
     return keys.distinct()
 
 
@@ -41,7 +46,7 @@ def without_match(
         # from an exchange, so the keys found are reduced to the batch's and written first.
         found = stage(found.join(profile.keys(updates, on), list(on), "left_semi"), "found")
     if not profile.null_keys:
-        return updates.join(found, list(on), "left_anti").select(*updates.columns)
+        return updates.join(found, list(on), "left_anti").select(*columns(updates.columns))
     # Rows without a key would all meet in one task; they need no lookup.
     fresh = with_key(updates, on).join(found, list(on), "left_anti")
-    return fresh.select(*updates.columns).unionByName(without_key(updates, on))
+    return fresh.select(*columns(updates.columns)).unionByName(without_key(updates, on))
