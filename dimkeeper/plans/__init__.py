@@ -1,6 +1,6 @@
 """How the operators place their data: measured broadcasts and distributed numbering."""
 
-from dimkeeper.plans.batch import BatchProfile, broadcast_limit, profile_batch
+from dimkeeper.plans.batch import BatchProfile, broadcast_limit, profile_batch, stage_measured
 from dimkeeper.plans.filter import may_match
 from dimkeeper.plans.lookup import matched_keys, without_match
 from dimkeeper.plans.numbering import number_rows
@@ -12,5 +12,6 @@ __all__ = [
     "may_match",
     "number_rows",
     "profile_batch",
+    "stage_measured",
     "without_match",
 ]

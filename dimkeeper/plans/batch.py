@@ -12,7 +12,7 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -123,3 +123,33 @@ def profile_batch(
         row_bytes=found["rows"] * row_size + found["row_text"] if rows else None,
         limit=broadcast_limit(updates.sparkSession) if limit is None else limit,
     )
+
+
+def stage_measured(
+    df: DataFrame, on: Sequence[str], limit: int | None = None, rows: bool = False, label: str = "stage"
+) -> tuple[DataFrame, BatchProfile]:
+    """Write a frame whose keys are unique, and measure it in the same job."""
+    key_size, key_text = _fixed_and_varying([df.schema[c] for c in on])
+    row_size, row_text = _fixed_and_varying(df.schema.fields if rows else [])
+    no_key = " OR ".join(f"{quoted(c)} IS NULL" for c in on)
+    seen = Observation()
+    written = stage(
+        df.observe(
+            seen,
+            F.count(F.lit(1)).alias("rows"),
+            F.expr(f"count_if({no_key})").alias("null_keys"),
+            F.expr(f"coalesce(sum(CAST({key_text or 0} AS BIGINT)), 0)").alias("key_text"),
+            F.expr(f"coalesce(sum(CAST({row_text or 0} AS BIGINT)), 0)").alias("row_text"),
+        ),
+        label,
+    )
+    found = seen.get
+    profile = BatchProfile(
+        rows=found["rows"],
+        null_keys=found["null_keys"],
+        repeated_keys=0,
+        key_bytes=found["rows"] * key_size + found["key_text"],
+        row_bytes=found["rows"] * row_size + found["row_text"] if rows else None,
+        limit=broadcast_limit(df.sparkSession) if limit is None else limit,
+    )
+    return written, profile

@@ -126,7 +126,7 @@ def change_log(spark: SparkSession, folder: str, versions: int = 2) -> ChangeLog
     """A type 4 log: all customers as version 0, then up to two batches."""
     log = ChangeLog.start(table(spark, folder, "customer"), "c_custkey")
     for version, batch in enumerate(both_updates(spark, folder)[:versions], start=1):
-        log = log.with_changes(stage(log.merge(batch, version), "changes"))
+        log = log.with_changes(log.merge(batch, version))
     return log
 
 
@@ -156,7 +156,7 @@ def order_log(spark: SparkSession, folder: str) -> ChangeLog:
         F.col("o.o_totalprice").alias("c_acctbal"),
         F.col("o.o_orderpriority").alias("c_mktsegment"),
     )
-    return ChangeLog.start(customer, "c_custkey").with_changes(stage(changes, "changes"))
+    return ChangeLog.start(customer, "c_custkey").with_changes(changes)
 
 
 def base(spark: SparkSession, folder: str) -> DataFrame:

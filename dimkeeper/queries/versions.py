@@ -10,7 +10,7 @@ from dimkeeper.queries import inputs
 from dimkeeper.queries.inputs import ORDER_LOG_SQL, state_sql
 from dimkeeper.queries.registry import query
 from dimkeeper.session import fresh_path, stage
-from dimkeeper.sources import append_version, read_log
+from dimkeeper.sources import append_version, compact_log, open_log, read_log
 
 _STATE1 = inputs.with_sql(inputs.UPDATES_SQL, inputs.UPSERT_SQL)
 _MERGED_LOG = inputs.with_sql(
@@ -99,8 +99,7 @@ def v_union_versions(spark: SparkSession, folder: str) -> DataFrame:
 def v_restore(spark: SparkSession, folder: str) -> DataFrame:
     """The current state after a rollback to version 2 has been appended as version 8."""
     log = inputs.order_log(spark, folder)
-    rollback = stage(log.restore(to_version=2, version=8), "changes")
-    return log.with_changes(rollback).current()
+    return log.with_changes(log.restore(to_version=2, version=8)).current()
 
 
 @query(
@@ -145,3 +144,55 @@ def v_compact(spark: SparkSession, folder: str) -> DataFrame:
     """The latest state read from a stored copy of version 3 and what came after."""
     log = inputs.order_log(spark, folder)
     return log.compact(3, stage(log.as_of(3), "compact")).current()
+
+
+def _stored_log(spark: SparkSession, folder: str) -> tuple[str, DataFrame]:
+    """A log written version by version: the customers, two batches, a rollback to version 1, and once more."""
+    customer, path = inputs.table(spark, folder, "customer"), fresh_path(spark, "log")
+    start = ChangeLog.start(customer, "c_custkey").log
+    append_version(start, path, version=0)
+    for version, batch in enumerate(inputs.both_updates(spark, folder), start=1):
+        rows = open_log(spark, path, start, "c_custkey").merge(batch)
+        append_version(rows, path, version=version)
+    for version in (3, 4):
+        rows = open_log(spark, path, start, "c_custkey").restore(1)
+        append_version(rows, path, version=version, operation="restore", to_version=1)
+    return path, start
+
+
+@query(
+    inputs.with_sql(
+        inputs.UPDATES_SQL,
+        inputs.UPSERT_SQL,
+        inputs.SECOND_UPDATES_SQL,
+        inputs.LOG_SQL,
+        """
+undone AS (
+  SELECT count(*) FILTER (s.c_custkey IS NULL) AS n_deleted,
+         count(*) FILTER (s.c_custkey IS NOT NULL AND (
+           s.c_name IS DISTINCT FROM u.c_name OR s.c_nationkey IS DISTINCT FROM u.c_nationkey
+           OR s.c_acctbal IS DISTINCT FROM u.c_acctbal OR s.c_mktsegment IS DISTINCT FROM u.c_mktsegment)) AS n_updated
+  FROM upd2 u LEFT JOIN state1 s ON s.c_custkey = u.c_custkey)""",
+    )
+    + """
+SELECT version, CASE WHEN version = 0 THEN 'create' ELSE 'merge' END AS operation, CAST(NULL AS BIGINT) AS to_version,
+       count(*) FILTER (op = 'I') AS n_inserted, count(*) FILTER (op = 'U') AS n_updated,
+       count(*) FILTER (op = 'D') AS n_deleted
+FROM log GROUP BY version
+UNION ALL
+SELECT CAST(3 AS BIGINT), 'restore', CAST(1 AS BIGINT), CAST(0 AS BIGINT), n_updated, n_deleted FROM undone
+UNION ALL
+SELECT CAST(4 AS BIGINT), 'restore', CAST(1 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT)"""
+)
+def v_history_ops(spark: SparkSession, folder: str) -> DataFrame:
+    """What made each version of a stored log; the last one changed nothing and is listed all the same."""
+    path, start = _stored_log(spark, folder)
+    return open_log(spark, path, start, "c_custkey").operations().drop("committed_at")
+
+
+@query(_STATE1 + "SELECT * FROM state1")
+def v_log_compacted(spark: SparkSession, folder: str) -> DataFrame:
+    """The state after the rollbacks, read from a stored copy of version 2 and what came after."""
+    path, start = _stored_log(spark, folder)
+    compact_log(open_log(spark, path, start, "c_custkey"), path, 2)
+    return open_log(spark, path, start, "c_custkey", base=2).current()

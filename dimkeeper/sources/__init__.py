@@ -1,6 +1,6 @@
 """Reading update batches and dimensions, and writing new states."""
 
-from dimkeeper.sources.changelog import append_version, read_log
+from dimkeeper.sources.changelog import append_version, compact_log, open_log, read_commits, read_log
 from dimkeeper.sources.inline import rows, values
 from dimkeeper.sources.json import load_json
 from dimkeeper.sources.publish import publish
@@ -9,12 +9,15 @@ from dimkeeper.sources.tables import create_database, create_table, drop_table,
 
 __all__ = [
     "append_version",
+    "compact_log",
     "create_database",
     "create_table",
     "drop_table",
     "drop_view",
     "load_json",
+    "open_log",
     "publish",
+    "read_commits",
     "read_log",
     "read_table",
     "rows",
