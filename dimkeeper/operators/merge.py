@@ -26,13 +26,11 @@ from dimkeeper.functions.columns import (
 )
 from dimkeeper.plans.batch import BatchProfile, profile_batch
 from dimkeeper.plans.filter import equal_by_hash, key_hash, may_match
+from dimkeeper.plans.heavy import heavy_keys
 from dimkeeper.plans.lookup import matched_keys, without_match
 from dimkeeper.session import stage
 
 ALL = "all"
-#: A key is heavy if it has more than one in so many of a table's rows, and so many rows at least.
-HEAVY, HEAVY_ROWS = 200, 10_000
-SKETCH_ITEMS = 10_000
 
 
 class AmbiguousMatchError(ValueError):
@@ -97,10 +95,7 @@ def merge(
         # The batch has at most one row for each of them, so it goes to where the table's rows are.
         hot = has_key(on) & key_hash(on).isin(heavy)
         rest = _full_outer(target.where(~hot), updates.where(~hot), on, matched, not_matched, matched_when)
-        few = updates.where(hot)
-        return rest.unionByName(
-            merge(target.where(hot), few, on, matched, not_matched, evolve, matched_when, limit=limit)
-        )
+        return rest.unionByName(_heavy(target.where(hot), updates.where(hot), on, matched, not_matched, matched_when, limit))
     elif replaces:
         # Update all, insert all: whatever the batch names is replaced by the batch.
         kept = _unmatched_rows(target, updates, on, profile)
@@ -222,19 +217,21 @@ def _updated(
     return changed if keyless is None else changed.unionByName(keyless)
 
 
-def heavy_keys(table: DataFrame, on: Sequence[str]) -> list[int]:
-    """Hashes of the keys that hold more than one in ``HEAVY`` of the table's rows, so fewer than that.
-
-    One job over the key columns counts with a sketch of bounded size. Nothing is found where
-    hashes do not tell keys apart, or where no key has ``HEAVY_ROWS``.
-    """
-    if not equal_by_hash(table, on):
-        return []
-    top = F.call_function("approx_top_k", F.col("hash"), F.lit(HEAVY), F.lit(SKETCH_ITEMS))
-    hashes = with_key(table, on).select(key_hash(on).alias("hash"))
-    found = hashes.agg(F.count(F.lit(1)).alias("rows"), top.alias("top")).first()
-    most = max(HEAVY_ROWS, found["rows"] // HEAVY)
-    return [x["item"] for x in found["top"] or [] if x["count"] > most]
+def _heavy(
+    target: DataFrame,
+    updates: DataFrame,
+    on: list[str],
+    matched: str | Mapping[str, Column | str],
+    not_matched: str | None,
+    matched_when: Column | None,
+    limit: int | None,
+) -> DataFrame:
+    """Every row of the table changed where it lies, then the rows of the batch without a partner."""
+    profile = profile_batch(updates, on, limit, rows=True)
+    changed = _updated(target, updates, on, matched, matched_when, profile)
+    if not_matched != ALL:
+        return changed
+    return changed.unionByName(_as_inserts(without_match(updates, target, on, profile), target))
 
 
 def _full_outer(

@@ -1,0 +1,242 @@
+"""Large batches, heavy keys, dense ids, and columns of any name."""
+
+from __future__ import annotations
+
+import random
+from contextlib import contextmanager
+
+import pytest
+from pyspark.sql import functions as F
+
+from dimkeeper.operators import AmbiguousMatchError, ChangeLog, History, ambiguous_keys, merge, type1, type3
+from dimkeeper.plans import heavy, may_match, profile_batch
+from dimkeeper.session import stage
+from tests import model
+
+LIMIT = 20_000
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@contextmanager
+def settings(spark, **values):
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+SHUFFLES = {
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.shuffle.partitions": "16",
+}
+
+
+@pytest.fixture(scope="module")
+def dimension(spark):
+    rows = spark.range(20_000).selectExpr("id AS k", "concat('n', id) AS name", "id % 7 AS v")
+    return stage(rows.unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS k, 'none' AS name, 0L AS v")))
+
+
+@pytest.fixture(scope="module")
+def batch(spark):
+    """Too many keys for the broadcast limit used here; 500 of them are known."""
+    rows = spark.range(19_500, 22_000).selectExpr("id AS k", "concat('new', id) AS name", "-id AS v")
+    return stage(rows.unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS k, 'nobody' AS name, 1L AS v")))
+
+
+def as_rows(df):
+    return [r.asDict() for r in df.collect()]
+
+
+# Key bits ------------------------------------------------------------------------------------
+
+
+def test_no_partner_is_kept_out_and_few_others_pass(dimension, batch):
+    profile = profile_batch(batch, ["k"], LIMIT)
+    assert not profile.keys_fit
+    possible = may_match(dimension, batch, ["k"], profile)
+    found = dimension.where(possible).select("k").collect()
+    ids = {r.k for r in found}
+    assert ids >= set(range(19_500, 20_000))
+    assert len(found) < 500 + 0.1 * 19_500
+    assert dimension.where(possible.isNull()).count() == 0
+
+
+def test_no_filter_where_it_does_not_fit(spark, dimension, batch):
+    assert may_match(dimension, batch, ["k"], profile_batch(batch, ["k"])) is None  # broadcast anyway
+    assert may_match(dimension, batch, ["k"], profile_batch(batch, ["k"], -1)) is None  # forbidden
+    assert may_match(dimension, batch, ["k"], profile_batch(batch, ["k"], 600)) is None  # too few bits
+    zero = spark.sql("SELECT 0.0D AS k UNION ALL SELECT -0.0D")
+    profile = profile_batch(zero, ["k"], 40)
+    assert not profile.keys_fit and may_match(zero, zero, ["k"], profile) is None
+
+
+@pytest.mark.parametrize("limit", [LIMIT, -1])
+def test_large_batches_give_the_same_rows(dimension, batch, limit):
+    table, updates = as_rows(dimension), as_rows(batch)
+    found = type1.upsert(dimension, batch, "k", limit)
+    assert model.bag_of(found) == model.bag(model.merge(table, updates, ["k"]))
+    found = merge(dimension, batch, "k", matched={"v": "t.v + u.v"}, not_matched=None, limit=limit)
+    want = model.merge(table, updates, ["k"], lambda t, u: {**t, "v": t["v"] + u["v"]}, None)
+    assert model.bag_of(found) == model.bag(want)
+    found = merge(dimension, batch, "k", matched=None, limit=limit)
+    assert model.bag_of(found) == model.bag(model.merge(table, updates, ["k"], None))
+
+
+def test_only_possible_hits_are_shuffled(spark, dimension, batch):
+    """Below the join the table passes a filter on the bits; its other rows meet no exchange."""
+    with settings(spark, **SHUFFLES, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        merged = type1.upsert(dimension, batch, "k", LIMIT)
+        assert merged.count() == 22_002
+        text = plan(merged)
+    assert "SortMergeJoin" in text and "BroadcastExchange" not in text
+    assert text.count("Filter (isnotnull(k") >= 1 and "xxhash64" in text
+    below = text[text.index("SortMergeJoin") :]
+    table_side = below[below.index("Exchange") : below.index("FileScan")]
+    assert "xxhash64" in table_side
+
+
+def test_type2_closes_rows_of_a_large_batch(spark, dimension, batch):
+    history = dimension.where("k IS NOT NULL").selectExpr(
+        "k AS id", "k", "name", "v", "DATE '2020-01-01' AS start_date", "CAST(NULL AS DATE) AS end_date"
+    )
+    import datetime
+
+    day = datetime.date(2024, 1, 1)
+    small, large = (History("k").apply(history, batch, day, limit=x) for x in (None, LIMIT))
+    assert model.bag_of(large) == model.bag_of(small)
+
+
+# Heavy keys ----------------------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    rows = spark.range(0, 30_000, 1, 6).selectExpr("CASE WHEN id % 3 = 0 THEN 5 ELSE id + 100 END AS k", "id AS v")
+    return stage(rows.unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS k, 1L AS v")))
+
+
+def test_heavy_keys_are_found(monkeypatch, spark, skewed):
+    assert heavy.heavy_keys(skewed, ["k"]) == []  # 10,000 rows, not more
+    monkeypatch.setattr(heavy, "HEAVY_ROWS", 1000)
+    (found,) = heavy.heavy_keys(skewed, ["k"])
+    assert found == spark.range(1).select(F.xxhash64(F.lit(5).cast("long"))).first()[0]
+    assert heavy.heavy_keys(skewed.where("false"), ["k"]) == []
+    assert heavy.heavy_keys(skewed.selectExpr("CAST(k AS DOUBLE) AS k"), ["k"]) == []
+
+
+@pytest.mark.parametrize("not_matched", ["all", None])
+@pytest.mark.parametrize("batch_keys", [[5, 101, 7], [101], [5]])
+def test_full_outer_merge_with_a_heavy_key(monkeypatch, spark, skewed, not_matched, batch_keys):
+    monkeypatch.setattr(heavy, "HEAVY_ROWS", 1000)
+    updates = spark.createDataFrame([(k, -k) for k in batch_keys] + [(None, 3)], "k long, v long")
+    found = merge(skewed, updates, "k", not_matched=not_matched, full_outer=True)
+    want = model.merge(as_rows(skewed), as_rows(updates), ["k"], not_matched=not_matched)
+    assert model.bag_of(found) == model.bag(want)
+
+
+def test_rows_of_a_heavy_key_do_not_meet_in_one_task(monkeypatch, spark, skewed):
+    monkeypatch.setattr(heavy, "HEAVY_ROWS", 1000)
+    updates = stage(spark.range(0, 5000).selectExpr("id AS k", "-id AS v"))
+    with settings(spark, **SHUFFLES):
+        merged = merge(skewed, updates, "k", full_outer=True)
+        sizes = [r["n"] for r in merged.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert max(sizes) < 7000  # all rows of key 5 would be 10,000 besides others
+
+
+def test_ambiguous_heavy_key_is_refused(monkeypatch, spark, skewed):
+    monkeypatch.setattr(heavy, "HEAVY_ROWS", 1000)
+    twice = spark.createDataFrame([(5, 1), (5, 2)], "k long, v long")
+    with pytest.raises(AmbiguousMatchError):
+        merge(skewed, twice, "k", full_outer=True)
+
+
+# Dense ids -----------------------------------------------------------------------------------
+
+
+def history_of(spark, ids):
+    rows = [(i, n, None, None) for n, i in enumerate(ids)]
+    return spark.createDataFrame(rows, "id long, k int, start_date date, end_date date")
+
+
+@pytest.mark.parametrize(
+    ("ids", "dense"),
+    [
+        ([], 0),
+        ([0], 1),
+        ([1], None),
+        ([0, 0, 2], None),
+        ([0, 2, 2, 3], None),
+        ([-1, 0, 1], None),
+        ([None, 2, 0, 1, None], 3),
+        (list(range(64)), 64),
+        (list(range(65)), 65),
+        ([*range(63), 64], None),
+        ([*range(64, 128), *range(64)], 128),
+        ([*range(64), 70, *range(64, 70), 70], None),
+    ],
+)
+def test_dense_ids(spark, ids, dense):
+    assert History("k").dense_ids(history_of(spark, ids)) == dense
+
+
+def test_renumbering_writes_only_new_rows(spark):
+    history = history_of(spark, [2, None, 0, None, 1])
+    found = History("k").renumber(history)
+    assert sorted((r.k, r.id) for r in found.collect()) == [(0, 2), (1, 3), (2, 0), (3, 4), (4, 1)]
+    assert "isnull(id" in plan(found).replace("(isnull", "isnull") or "isnotnull(id" in plan(found)
+    r = random.Random(2)
+    ids = r.sample(range(1000), 300) + [None] * 40
+    r.shuffle(ids)
+    got = sorted(r.id for r in History("k").renumber(history_of(spark, ids)).collect())
+    assert got == list(range(340))
+
+
+# Names ---------------------------------------------------------------------------------------
+
+ODD = ["a.b", "_hit", "_here", "_row", "_known", "_placed", "_part", "_n", "_rows", "_at", "_now", "k0", "t", "u", "x`y"]
+
+
+def odd(spark, rows):
+    names = ", ".join(f"`{c.replace('`', '``')}` STRING" for c in ODD)
+    return spark.createDataFrame([(k, *[f"{v}{i}" for i in range(len(ODD))]) for k, v in rows], f"`the.key` LONG, {names}")
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_columns_of_any_name(spark, limit):
+    table, updates = odd(spark, [(1, "a"), (2, "b"), (None, "c")]), odd(spark, [(2, "new"), (3, "new"), (None, "d")])
+    want = model.merge(as_rows(table), as_rows(updates), ["the.key"])
+    assert model.bag_of(type1.upsert(table, updates, "the.key", limit)) == model.bag(want)
+    assert model.bag_of(merge(table, updates, "the.key", full_outer=True, limit=limit)) == model.bag(want)
+    found = merge(table, updates, "the.key", matched={"_hit": "u._hit", "a.b": "u.`a.b`"}, limit=limit)
+    set_two = lambda t, u: {**t, "_hit": u["_hit"], "a.b": u["a.b"]}
+    assert model.bag_of(found) == model.bag(model.merge(as_rows(table), as_rows(updates), ["the.key"], set_two))
+    assert ambiguous_keys(table, updates.unionByName(updates), "the.key", limit).count() == 1
+    third = {r["the.key"]: r["previous_a.b"] for r in type3.apply(table, updates, "the.key", "a.b", limit=limit).collect()}
+    assert third[2] == "b0" and third[1] is None
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_histories_and_logs_with_columns_of_any_name(spark, limit):
+    table, updates = odd(spark, [(1, "a"), (2, "b")]), odd(spark, [(2, "new"), (3, "new")])
+    log = ChangeLog.start(table, "the.key", limit)
+    log = log.with_changes(log.merge(updates))
+    assert model.bag_of(log.current()) == model.bag(model.merge(as_rows(table), as_rows(updates), ["the.key"]))
+    log = log.with_changes(log.restore(0))
+    assert model.bag_of(log.current()) == model.bag(as_rows(table))
+    assert log.union_versions([0, 1, 2]).count() == 7
+    history = table.selectExpr("`the.key` - 1 AS `i.d`", "*", "DATE '2020-01-01' AS `s.d`", "CAST(NULL AS DATE) AS `e.d`")
+    roles = History("the.key", "i.d", "s.d", "e.d")
+    for options in ({}, {"expire": "all"}, {"skip_unchanged": True}):
+        found = roles.apply(history, updates, limit=limit, **options)
+        assert sorted(r["i.d"] for r in found.collect()) == [0, 1, 2, 3]
+        assert roles.active(found).count() == 3
+    assert roles.change_rows(history, updates, limit=limit).count() == 3
