@@ -29,10 +29,10 @@ from pyspark.sql import types as T
 
 from dimkeeper.llm import text as tx
 
-#: Known fragments per Python worker: 2**SLOT_BITS places, and ids of at most ARENA_IDS. Fixed
-#: memory, whatever the input; a fragment that lost its place is encoded again.
-SLOT_BITS = 22
-ARENA_IDS = 1 << 23
+#: Known fragments per Python worker: 2**SLOT_BITS places, ids of at most ARENA_IDS and texts of at most
+#: ARENA_BYTES. Fixed sizes, whatever the input.
+SLOT_BITS = 21
+ARENA_IDS, ARENA_BYTES = 1 << 23, 1 << 25
 #: Beginnings of the white space that has more than one byte in UTF-8.
 WIDE_SPACES = [b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80"]
 _WIDE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -94,6 +94,10 @@ class Coder:
         self.counts = np.full(1 << SLOT_BITS, -1, np.int32)
         self.arena = np.zeros(ARENA_IDS, np.uint32)
         self.filled = 0
+        self.places = np.zeros(1 << SLOT_BITS, np.int32)
+        self.lengths = np.zeros(1 << SLOT_BITS, np.uint8)
+        self.texts = np.zeros(ARENA_BYTES, np.uint8)
+        self.written = 0
 
     def _whole_rows(self, data: bytes, offsets: np.ndarray) -> list[int]:
         """Rows that are not cut: special tokens, wide or unusual white space."""
@@ -128,37 +132,67 @@ class Coder:
         starts = self.cut(data, offsets)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
-        ends = np.append(starts[1:], len(data))
-        h = tx.span_hashes(data, starts, ends)
+        lengths = np.append(starts[1:], len(data)) - starts
+        h = tx.span_hashes(data, starts, starts + lengths)
         slot = (h >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
         begin, count = self.begins[slot].astype(np.int64), self.counts[slot].astype(np.int64)
-        new = np.flatnonzero((self.keys[slot] != h) | (count < 0))
+        known = (self.keys[slot] == h) & (count >= 0) & (self.lengths[slot] == lengths)
+        # Equal hashes are no proof, so the remembered text is compared.
+        at = np.flatnonzero(known)
+        known[at] = tx.equal_spans(data, starts[at], lengths[at], self.texts, self.places[slot[at]])
+        new = np.flatnonzero(~known)
         arena = self.arena
         if len(new):
-            hashes, first = np.unique(h[new], return_index=True)
-            at = new[first]
+            kinds, place = self._kinds(data, starts[new], lengths[new], h[new])
+            at = new[kinds]
             raw = data.tobytes()
-            texts = [raw[i:j].decode() for i, j in zip(starts[at], ends[at], strict=True)]
+            texts = [raw[i : i + n].decode() for i, n in zip(starts[at], lengths[at], strict=True)]
             codes = [c.ids for c in self.library.encode_batch_fast(texts, add_special_tokens=False)]
             sizes = np.fromiter(map(len, codes), np.int64, len(codes))
             fresh = np.fromiter((i for c in codes for i in c), np.uint32, int(sizes.sum()))
-            if self.filled + len(fresh) > ARENA_IDS:
+            put = self.filled + np.cumsum(sizes) - sizes
+            short = lengths[at] <= tx.SHORT
+            n_bytes = int(lengths[at][short].sum())
+            if self.filled + len(fresh) > ARENA_IDS or self.written + n_bytes > ARENA_BYTES:
                 # Ids of earlier fragments are still needed for this slice.
                 arena = np.concatenate([self.arena[: self.filled], fresh])
-                put = self.filled + np.cumsum(sizes) - sizes
                 self.forget()
             else:
-                put = self.filled + np.cumsum(sizes) - sizes
                 arena[self.filled : self.filled + len(fresh)] = fresh
                 self.filled += len(fresh)
-                self.keys[slot[at]], self.begins[slot[at]], self.counts[slot[at]] = hashes, put, sizes
-            place = np.searchsorted(hashes, h[new])
+                self._remember(data, starts[at[short]], lengths[at[short]], h[at[short]], put[short], sizes[short])
             begin[new], count[new] = put[place], sizes[place]
         ends_out = np.cumsum(count)
         ids = arena[np.repeat(begin - ends_out + count, count) + np.arange(ends_out[-1])]
         ends_out = np.concatenate([[0], ends_out])
         return ids, np.diff(ends_out[np.searchsorted(starts, offsets)])
 
+    @staticmethod
+    def _kinds(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """One of each different fragment, and which of those each one is."""
+        _, first, kind = np.unique(h, return_index=True, return_inverse=True)
+        first = first[kind]
+        same = lengths == lengths[first]
+        at = np.flatnonzero(same)
+        same[at] = tx.equal_spans(data, starts[at], lengths[at], data, starts[first[at]])
+        return np.unique(np.where(same, first, np.arange(len(h))), return_inverse=True)
+
+    def _remember(
+        self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, h: np.ndarray, put: np.ndarray, sizes: np.ndarray
+    ) -> None:
+        """Keep short fragments, their texts and where their ids are; longer ones are encoded each time."""
+        places = self.written + np.cumsum(lengths) - lengths
+        step = np.arange(int(lengths.sum())) - np.repeat(places - self.written, lengths)
+        self.texts[self.written : self.written + len(step)] = data[np.repeat(starts, lengths) + step]
+        self.written += len(step)
+        slot = (h >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        # Where two share a slot, the last one has it.
+        _, last = np.unique(slot[::-1], return_index=True)
+        last = len(slot) - 1 - last
+        slot = slot[last]
+        self.keys[slot], self.begins[slot], self.counts[slot] = h[last], put[last], sizes[last]
+        self.places[slot], self.lengths[slot] = places[last], lengths[last]
+
     def decode(self, ids: np.ndarray) -> bytes:
         """The bytes of some ids, one after the other."""
         sizes = np.diff(self.token_ends, prepend=0)[ids]

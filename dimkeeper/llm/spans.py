@@ -69,11 +69,7 @@ def spans(h: np.ndarray, begins: np.ndarray, row: np.ndarray) -> tuple[np.ndarra
     first, beyond = np.divmod(np.unique(runs), n + 1)
     whole = row[first] == row[beyond - 1]
     first, beyond = first[whole], beyond[whole]
-    # The same running polynomial as over bytes, now over words.
-    total = np.concatenate([[U64(0)], np.cumsum(h * tx.power(tx.BASE, len(h)), dtype=U64)])
-    a, b = begins[first], begins[beyond]
-    value = (total[b] - total[a]) * tx.power(tx.INVERSE, len(h) + 1)[a]
-    return first, beyond, tx.mix(value ^ (b - a).astype(U64))
+    return first, beyond, tx.sequence_hashes(h, begins[first], begins[beyond])
 
 
 def _keyed(docs: DataFrame) -> DataFrame:

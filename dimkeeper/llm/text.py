@@ -6,6 +6,7 @@ is bounded by the slice or by the longest single text, not by the partition.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,10 +27,12 @@ NON_WORDS[: 0x30] = NON_WORDS[0x3A:0x61] = NON_WORDS[0x7B:0x80] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-_VALUES = np.random.default_rng(20240229).integers(0, 2**64, 256, dtype=U64)
-BASE = 0x9E3779B97F4A7C15
-INVERSE = pow(BASE, -1, 2**64)
-_powers = {b: np.ones(1, U64) for b in (BASE, INVERSE)}
+#: Spans up to so many bytes are hashed side by side, eight bytes at a time.
+SHORT = 64
+#: The prime of sums over sequences, and a fixed base below it.
+PRIME = U64(2**61 - 1)
+BASE = 0x1B873593CC9E2D51 % (2**61 - 1)
+_FIRST_BYTES = np.array([(1 << 8 * i) - 1 for i in range(8)] + [2**64 - 1], U64)
 
 
 def struct(fields: str) -> T.StructType:
@@ -72,15 +75,50 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo the prime of numbers below it."""
+    low, high = U64(2**31 - 1), U64(31)
+    a1, a0, b1, b0 = a >> high, a & low, b >> high, b & low
+    middle = a1 * b0 + a0 * b1
+    x = (a1 * b1 << U64(1)) + (middle >> U64(30)) + ((middle & U64(2**30 - 1)) << high) + a0 * b0
+    return _reduced(x)
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = (x & PRIME) + (x >> U64(61))
+    return np.where(x >= PRIME, x - PRIME, x)
+
+
+_powers = {b: np.ones(1, U64) for b in (BASE, pow(BASE, -1, 2**61 - 1))}
+
+
 def power(base: int, n: int) -> np.ndarray:
+    """The first n powers of one of the two bases."""
     known = _powers[base]
-    if len(known) < n:
-        steps = np.full(max(n, SLICE_BYTES + 1), U64(base))
-        steps[0] = 1
-        known = _powers[base] = np.cumprod(steps, dtype=U64)
+    while len(known) < n:
+        step = np.full(len(known), U64(pow(base, len(known), 2**61 - 1)))
+        known = _powers[base] = np.concatenate([known, times(known, step)])
     return known[:n]
 
 
+def sequence_hashes(values: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each run of 64-bit values, from one running polynomial modulo a prime.
+
+    Modulo a power of two, sequences that alternate in a certain way would have one hash.
+    """
+    n = len(values)
+    terms = times(_reduced(values), power(BASE, n))
+    # Halves are added up on their own, so that no sum overflows.
+    half = U64(2**31 - 1)
+    low, high = np.zeros(n + 1, U64), np.zeros(n + 1, U64)
+    np.cumsum(terms & half, out=low[1:])
+    np.cumsum(terms >> U64(31), out=high[1:])
+    total = _reduced(_reduced(low) + times(_reduced(high), np.full(n + 1, U64(2**31))))
+    inverse = power(pow(BASE, -1, 2**61 - 1), n + 1)
+    h = times(_reduced(total[ends] + PRIME - total[begins]), inverse[begins])
+    return mix(h ^ mix((ends - begins).astype(U64)))
+
+
 def words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray) -> tuple[np.ndarray, ...]:
     """Start and end of every word, and the row it belongs to. Words never cross rows."""
     inside = ~separators[data]
@@ -96,9 +134,31 @@ def words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray) -> tupl
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes of each span, by one running polynomial over all bytes."""
-    n = len(data)
-    total = np.zeros(n + 1, U64)
-    np.cumsum(_VALUES[data] * power(BASE, n), out=total[1:])
-    h = (total[ends] - total[starts]) * power(INVERSE, n + 1)[starts]
-    return mix(h ^ (ends - starts).astype(U64))
+    """A 64-bit hash of the bytes of each span."""
+    sizes = ends - starts
+    h = mix(sizes.astype(U64) + U64(0x9E3779B97F4A7C15))
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))  # the eight bytes from each place on
+    live = np.flatnonzero(sizes <= SHORT)
+    for at in range(0, SHORT, 8):
+        live = live[sizes[live] > at]
+        if not len(live):
+            break
+        word = eight[starts[live] + at] & _FIRST_BYTES[np.minimum(sizes[live] - at, 8)]
+        h[live] = mix(mix(h[live] ^ word) + U64(at))
+    for i in np.flatnonzero(sizes > SHORT):
+        digest = hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest()
+        h[i] = int.from_bytes(digest, "little")
+    return h
+
+
+def equal_spans(
+    data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, other: np.ndarray, begins: np.ndarray
+) -> np.ndarray:
+    """Whether each span (none is empty) has the same bytes as the one of its size in other data."""
+    if not len(starts):
+        return np.zeros(0, bool)
+    first = np.cumsum(sizes) - sizes
+    step = np.arange(int(sizes.sum())) - np.repeat(first, sizes)
+    same = data[np.repeat(starts, sizes) + step] == other[np.repeat(begins, sizes) + step]
+    return np.logical_and.reduceat(same, first)

@@ -11,6 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from dimkeeper.llm import bpe, huffman
+from dimkeeper.llm import text as tx
 from dimkeeper.llm.queries import BYTE_BPE, vocabulary
 from tests.llm.fixtures import documents, empty
 
@@ -48,6 +49,55 @@ def test_memory_of_fragments_may_run_full(library, monkeypatch):
         assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def alternating() -> tuple[str, str]:
+    """Two texts that any running sum of powers modulo 2**64 takes for the same."""
+    bits = [bin(i).count("1") & 1 for i in range(1024)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_texts_of_one_polynomial_hash(spark, library):
+    texts = dict(enumerate(alternating()))
+    found = bpe.encode(documents(spark, texts, extra=False), PATH).where("doc_id IN (0, 1)").collect()
+    for row in found:
+        if row["n_chars"] == 1024:
+            want = library.encode(texts[row["doc_id"]], add_special_tokens=False).ids
+            assert np.frombuffer(row["ids"], "<u4").tolist() == want
+
+
+@pytest.mark.parametrize("bits", [0, 3])
+def test_fragments_of_equal_hash_are_told_apart(library, monkeypatch, bits):
+    """With a hash of hardly any bits, almost all fragments meet others in their slot."""
+    real = tx.span_hashes
+    monkeypatch.setattr(tx, "span_hashes", lambda *a: real(*a) & np.uint64((1 << bits) - 1))
+    r = random.Random(6)
+    code = bpe.Coder(PATH)
+    for _ in range(60):
+        text = "".join(r.choice(PARTS) for _ in range(r.randint(1, 60)))
+        raw = np.frombuffer(text.encode(), np.uint8)
+        ids, _ = code.encode(raw, np.array([0, len(raw)]))
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_sums_modulo_the_prime():
+    r = np.random.default_rng(2)
+    a, b = (r.integers(0, int(tx.PRIME), 1000, dtype=np.uint64) for _ in range(2))
+    assert [int(x) for x in tx.times(a, b)] == [int(x) * int(y) % int(tx.PRIME) for x, y in zip(a, b, strict=True)]
+    words = np.array([5, 2**64 - 1], np.uint64)
+    bits = np.array([bin(i).count("1") & 1 for i in range(1024)])
+    both = words[np.concatenate([bits, 1 - bits, bits])]
+    h = tx.sequence_hashes(both, np.array([0, 1024, 2048]), np.array([1024, 2048, 3072]))
+    assert h[0] == h[2] != h[1]
+
+
+def test_span_hashes_depend_on_bytes_and_length_alone():
+    r = random.Random(9)
+    spans = [bytes(r.choice(b"ab\x00") for _ in range(r.randint(0, 140))) for _ in range(3000)]
+    data = np.frombuffer(b"".join(spans), np.uint8)
+    ends = np.cumsum([len(x) for x in spans])
+    h = tx.span_hashes(data, ends - [len(x) for x in spans], ends)
+    assert len(set(zip(spans, h.tolist(), strict=True))) == len(set(spans)) == len(set(h.tolist()))
+
+
 def test_decoding_any_ids(library):
     ids = np.random.default_rng(1).integers(0, 50257, 2000).astype(np.uint32)
     text = bpe.coder(PATH).decode(ids).decode("utf-8", "replace")
