@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from dimkeeper.llm import text as tx
 from dimkeeper.llm.components import components
 from dimkeeper.llm.frequency import frequency_tables, levels_passed
+from dimkeeper.llm.names import any_names
 from dimkeeper.session import stage
 
 SHINGLE = 5
@@ -367,6 +368,7 @@ def groups(docs: DataFrame) -> DataFrame:
     return grouped(docs).select("doc_id", "n_shingles", "component_id")
 
 
+@any_names()
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each linked group: the one with the smallest id.
 

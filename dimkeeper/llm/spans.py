@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from dimkeeper.llm import text as tx
 from dimkeeper.llm.frequency import frequency_tables, levels_passed
+from dimkeeper.llm.names import any_names
 from dimkeeper.session import stage
 
 SENTENCES, MIN_WORDS = 2, 12
@@ -122,6 +123,7 @@ def repeated(docs: DataFrame) -> DataFrame:
     return later.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("first", "beyond")).alias("spans"))
 
 
+@any_names("n_sentences", "n_removed")
 def remove(docs: DataFrame) -> DataFrame:
     """All columns of ``docs`` with repeated sentences taken out of ``text``; adds two counts.
 

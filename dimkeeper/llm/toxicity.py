@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from dimkeeper.llm import text as tx
 from dimkeeper.llm.gam import sigmoid
 from dimkeeper.llm.labelled import fold, sample
+from dimkeeper.llm.names import any_names
 
 WINDOW, STRIDE = 32, 24
 TRIPLE_BITS = 12
@@ -332,6 +333,7 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return scored.select("doc_id", (fold(5) == 0).alias("held_out"), "score", "predicted")
 
 
+@any_names()
 def clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents predicted not to be toxic, with their own columns."""
     scored = score(docs.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in docs.columns])), train(docs, labels))

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimkeeper.llm import text as tx
+from dimkeeper.llm.names import any_names
 from dimkeeper.session import stage
 
 WINDOW = 13
@@ -205,6 +206,7 @@ def _found(docs: DataFrame, benchmark: DataFrame, size: int) -> DataFrame:
     )
 
 
+@any_names("n_words", "spans", "n_hit", "items")
 def occurrences(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """Add ``n_words``, ``spans`` (words hit, disjoint), ``n_hit`` and ``items`` (ids as strings).
 
@@ -242,6 +244,7 @@ def report(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, share: int
     )
 
 
+@any_names()
 def clean(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, share: int = 20) -> DataFrame:
     """The documents that are not contaminated, with their own columns."""
     found = _found(docs, benchmark, size).where(~contaminated(share))

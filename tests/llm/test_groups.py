@@ -9,6 +9,8 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from dimkeeper.llm import jaccard, spans, wumanber
 from dimkeeper.llm import text as tx
 from dimkeeper.llm.components import components
@@ -216,3 +218,21 @@ def test_words_never_cross_rows():
     data = np.frombuffer(b"abcd ef", np.uint8)
     starts, ends, row = tx.words(data, np.array([0, 2, 2, 6, 7]), tx.SPACES)
     assert list(zip(starts, ends, row, strict=True)) == [(0, 2, 0), (2, 4, 2), (5, 6, 2), (6, 7, 3)]
+
+
+def test_columns_named_like_inner_ones(spark):
+    """What the operators call their own columns may be names of the table's."""
+    names = ["_spans", "_mark", "_mark_id", "_mark_hash", "_text_hash", "_words", "_hit", "_items", "_row", "a.b", "x`y"]
+    docs = documents(spark, extra=False)
+    for i, name in enumerate(names):
+        docs = docs.withColumn(name, F.concat(F.lit(f"{i}-"), F.col("doc_id").cast("string")))
+    bench = spark.createDataFrame([(1, PASSAGE)], "item_id BIGINT, text STRING")
+    plain = docs.select("doc_id", "text")
+    for operator in (spans.remove, jaccard.keep_one, lambda d: wumanber.clean(d, bench), lambda d: wumanber.occurrences(d, bench)):
+        out, want = operator(docs), operator(plain)
+        assert out.columns[: len(docs.columns)] == docs.columns
+        rows = out.collect()
+        assert Counter((r["doc_id"], r["text"]) for r in rows) == Counter((r["doc_id"], r["text"]) for r in want.collect())
+        for r in rows:
+            for i, name in enumerate(names):
+                assert r[name] == (None if r["doc_id"] is None else f"{i}-{r['doc_id']}")
