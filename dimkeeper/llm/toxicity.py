@@ -24,13 +24,13 @@ from dimkeeper.llm.gam import sigmoid
 from dimkeeper.llm.labelled import fold, sample
 from dimkeeper.llm.names import any_names
 
-WINDOW, STRIDE = 32, 24
+WINDOW, STRIDE = 32, 16
 TRIPLE_BITS = 12
 #: Training documents that must have a word for it to get a vector of its own.
 KNOWN_IN = 4
 WORD_DIM, CHAR_DIM, HIDDEN = 8, 8, 8
 #: Labelled documents to train on by label, and windows of each, at most.
-SAMPLE, SAMPLE_WINDOWS = {0: 1800, 1: 900}, 4
+SAMPLE, SAMPLE_WINDOWS = {0: 2400, 1: 1200}, 4
 EPOCHS, BATCH, RATE = 3, 128, 0.05
 SLOT_BITS = 17
 INPUT = WORD_DIM + CHAR_DIM
