@@ -31,7 +31,7 @@ from dimkeeper.llm import text as tx
 
 #: Known fragments per Python worker: 2**SLOT_BITS places, ids of at most ARENA_IDS and texts of at most
 #: ARENA_BYTES. Fixed sizes, whatever the input.
-SLOT_BITS = 21
+SLOT_BITS = 22
 ARENA_IDS, ARENA_BYTES = 1 << 23, 1 << 25
 #: Beginnings of the white space that has more than one byte in UTF-8.
 WIDE_SPACES = [b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80"]
@@ -96,7 +96,7 @@ class Coder:
         self.filled = 0
         self.places = np.zeros(1 << SLOT_BITS, np.int32)
         self.lengths = np.zeros(1 << SLOT_BITS, np.uint8)
-        self.texts = np.zeros(ARENA_BYTES, np.uint8)
+        self.texts = np.zeros(ARENA_BYTES + 8, np.uint8)
         self.written = 0
 
     def _whole_rows(self, data: bytes, offsets: np.ndarray) -> list[int]:
@@ -139,11 +139,12 @@ class Coder:
         known = (self.keys[slot] == h) & (count >= 0) & (self.lengths[slot] == lengths)
         # Equal hashes are no proof, so the remembered text is compared.
         at = np.flatnonzero(known)
-        known[at] = tx.equal_spans(data, starts[at], lengths[at], self.texts, self.places[slot[at]])
+        long = tx.padded(data)
+        known[at] = tx.equal_spans(long, starts[at], lengths[at], self.texts, self.places[slot[at]].astype(np.int64))
         new = np.flatnonzero(~known)
         arena = self.arena
         if len(new):
-            kinds, place = self._kinds(data, starts[new], lengths[new], h[new])
+            kinds, place = self._kinds(long, starts[new], lengths[new], h[new])
             at = new[kinds]
             raw = data.tobytes()
             texts = [raw[i : i + n].decode() for i, n in zip(starts[at], lengths[at], strict=True)]

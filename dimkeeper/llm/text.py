@@ -133,12 +133,20 @@ def words(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray) -> tupl
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
+def padded(data: np.ndarray) -> np.ndarray:
+    return np.concatenate([data, np.zeros(8, np.uint8)])
+
+
+def eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, as one number; the last eight places have none."""
+    return np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of the bytes of each span."""
     sizes = ends - starts
     h = mix(sizes.astype(U64) + U64(0x9E3779B97F4A7C15))
-    padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))  # the eight bytes from each place on
+    eight = eights(padded(data))
     live = np.flatnonzero(sizes <= SHORT)
     for at in range(0, SHORT, 8):
         live = live[sizes[live] > at]
@@ -155,10 +163,16 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
 def equal_spans(
     data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, other: np.ndarray, begins: np.ndarray
 ) -> np.ndarray:
-    """Whether each span (none is empty) has the same bytes as the one of its size in other data."""
-    if not len(starts):
-        return np.zeros(0, bool)
-    first = np.cumsum(sizes) - sizes
-    step = np.arange(int(sizes.sum())) - np.repeat(first, sizes)
-    same = data[np.repeat(starts, sizes) + step] == other[np.repeat(begins, sizes) + step]
-    return np.logical_and.reduceat(same, first)
+    """Whether each span has the same bytes as the one of its size in other data; both are padded."""
+    same = np.ones(len(starts), bool)
+    one, two = eights(data), eights(other)
+    live = np.flatnonzero(sizes <= SHORT)
+    for at in range(0, SHORT, 8):
+        live = live[sizes[live] > at]
+        if not len(live):
+            break
+        differ = one[starts[live] + at] ^ two[begins[live] + at]
+        same[live] &= differ & _FIRST_BYTES[np.minimum(sizes[live] - at, 8)] == 0
+    for i in np.flatnonzero(sizes > SHORT):
+        same[i] = np.array_equal(data[starts[i] : starts[i] + sizes[i]], other[begins[i] : begins[i] + sizes[i]])
+    return same
