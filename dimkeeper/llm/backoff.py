@@ -1,10 +1,14 @@
 """Language-model scores by stupid backoff, computed with joins.
 
-Words are hashed; an n-gram is a hash of its words. One table per order holds the counts of all
-n-grams of the corpus that occur at least MIN_COUNT times (single words: all), partitioned by
-hash. The n-grams of the documents are joined to these tables from the longest order down: an
-n-gram that has a count scores log(count / count of its context), one that has none goes on to the
-next shorter order with log(BACKOFF) added. Logarithms are then summed per document.
+Words are hashed; an n-gram is a hash of its words. A document is scored by what the rest of the
+corpus holds: its own occurrences are subtracted from every count of two and three words and from
+their contexts, else no text of the corpus would ever back off. An n-gram that is left with a count
+scores log(count / count of its context), one that is not goes on to the next shorter order
+with log(BACKOFF) added. Single words keep all their counts, so every word has a score.
+
+One table per order holds the counts, partitioned by hash. An n-gram that occurs once in
+the corpus occurs in no other document, so the tables of two and three words need not hold it: a
+missing count means that nothing is left. Logarithms are summed per document.
 """
 
 from __future__ import annotations
@@ -18,9 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimkeeper.llm import text as tx
+from dimkeeper.llm.frequency import frequency_tables, levels_passed
 from dimkeeper.session import stage
 
-ORDER, MIN_COUNT, BACKOFF = 3, 2, 0.4
+ORDER, BACKOFF = 3, 0.4
 U64 = tx.U64
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], U64)
 
@@ -43,73 +48,128 @@ def grams(data: np.ndarray, offsets: np.ndarray, order: int) -> tuple[list[np.nd
     return out, row
 
 
-def _exploded(docs: DataFrame, order: int) -> DataFrame:
-    """Per document the different n-grams of the longest order, their shorter ones, and counts.
+def _places(row: np.ndarray) -> np.ndarray:
+    """Each word's place in its text."""
+    return np.arange(len(row)) - np.searchsorted(row, row)
 
-    g1 is the last word, g2 the last two, and so on; c2 to c<order> are the contexts (the words
-    before the last) of g2 and so on. ``size`` is the order that the text's beginning allows.
+
+def counts(docs: DataFrame, n: int) -> DataFrame:
+    """The table of n-grams of one order: gram, count; combined before it is partitioned by hash.
+
+    Of two words and more only those that occur more than once.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in tx.slices(batches):
+            found, row = grams(*tx.utf8(part.column("text")), n)
+            value, count = np.unique(found[-1][_places(row) >= n - 1], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(count, pa.int64())], ["gram", "n"])
+
+    rows = docs.select("text").mapInArrow(run, tx.struct("gram long, n long"))
+    rows = rows.groupBy("gram").agg(F.sum("n").alias("count"))
+    return rows.where("count > 1") if n > 1 else rows
+
+
+def _own(row: np.ndarray, gram: np.ndarray) -> np.ndarray:
+    """How often the n-gram at each word occurs in the word's text."""
+    order = np.lexsort((gram, row))
+    r, g = row[order], gram[order]
+    first = np.ones(len(r), bool)
+    first[1:] = (r[1:] != r[:-1]) | (g[1:] != g[:-1])
+    group = np.cumsum(first) - 1
+    out = np.empty(len(r), np.int64)
+    out[order] = np.bincount(group)[group] if len(r) else 0
+    return out
+
+
+def _exploded(docs: DataFrame, order: int, at: int, tables: dict[int, list[np.ndarray]]) -> DataFrame:
+    """Per document the different n-grams of the longest order whose lookup starts at order ``at``.
+
+    g1 is the last word, g2 the last two, and so on; c2 and so on are the contexts (the words before
+    the last) of g2 and so on; o and p are the document's own counts of g and c. ``size`` is the
+    order that the text's beginning allows, ``n`` how often the longest n-gram occurs. A lookup
+    starts at the longest order whose n-gram may occur more than once. Columns of longer orders
+    are left out.
     """
-    names = [f"g{n}" for n in range(1, order + 1)] + [f"c{n}" for n in range(2, order + 1)]
-    schema = tx.struct("doc_id long, text_hash long, size long, n long, " + ", ".join(f"{c} long" for c in names))
+    above = [f"{x}{k}" for k in range(2, at + 1) for x in "gcop"]
+    schema = tx.struct("doc_id long, text_hash long, size long, n long, g1 long" + "".join(f", {c} long" for c in above))
+    shared = docs.sparkSession.sparkContext.broadcast(tables)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in tx.slices(batches):
             found, row = grams(*tx.utf8(part.column("text")), order)
-            place = np.arange(len(row)) - np.searchsorted(row, row)
-            size = np.minimum(place + 1, order)
-            # The context of an n-gram is the (n-1)-gram that ends one word earlier.
-            before = [np.concatenate([[U64(0)], g[:-1]]) if len(g) else g for g in found[:-1]]
-            keys = np.rec.fromarrays([row, found[-1]])
-            _, first, n = np.unique(keys, return_index=True, return_counts=True)
-            at = pa.array(row[first])
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id").take(at), part.column("text_hash").take(at)]
-                + [pa.array(size[first], pa.int64()), pa.array(n, pa.int64())]
-                + [pa.array(g[first].view(np.int64)) for g in [*found, *before]],
-                schema.names,
-            )
+            size = np.minimum(_places(row) + 1, order)
+            start = np.ones(len(row), np.int64)
+            for k in range(2, order + 1):
+                may = (size >= k) & (levels_passed(found[k - 1], shared.value[k]) > 0)
+                start = np.where(may, k, start)
+            longest = np.rec.fromarrays([row, found[-1]])
+            _, first, n = np.unique(longest, return_index=True, return_counts=True)
+            own = [_own(row, g) for g in found[:at]]
+            keep = start[first] == at
+            first, n = first[keep], n[keep]
+            rows = pa.array(row[first])
+            columns = [part.column("doc_id").take(rows), part.column("text_hash").take(rows)]
+            columns += [pa.array(size[first], pa.int64()), pa.array(n, pa.int64()), pa.array(found[0][first].view(np.int64))]
+            for k in range(2, at + 1):
+                # The context of an n-gram is the (n-1)-gram that ends one word earlier.
+                columns.append(pa.array(found[k - 1][first].view(np.int64)))
+                columns.append(pa.array(found[k - 2][first - 1].view(np.int64)))
+                columns.append(pa.array(own[k - 1][first]))
+                columns.append(pa.array(own[k - 2][first - 1]))
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
     return keyed.mapInArrow(run, schema)
 
 
-def counts(exploded: DataFrame, n: int, least: int = 1) -> DataFrame:
-    """The table of n-grams of one order: gram, count; combined before it is partitioned by hash."""
-    rows = exploded.where(F.col("size") >= n).groupBy(F.col(f"g{n}").alias("gram")).agg(F.sum("n").alias("count"))
-    return rows.where(F.col("count") >= least) if least > 1 else rows
-
-
-def scores(docs: DataFrame, order: int = ORDER, least: int = MIN_COUNT, backoff: float = BACKOFF) -> DataFrame:
+def scores(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF) -> DataFrame:
     """Per document: doc_id, n_words, log_score (sum over its words), perplexity.
 
-    The tables are counted over all texts of ``docs``. Null texts and texts without words have
-    no words, a sum of 0 and no perplexity. Repeated rows count as often as they occur and all
-    get a result. Other columns are not read.
+    The tables are counted over all texts of ``docs``. Every row is a document of its own, so
+    a repeated row finds all its n-grams in the other. Null texts and texts without words have
+    no words, a sum of 0 and no perplexity. Other columns are not read.
     """
+    docs = docs.select("doc_id", "text")
     # One row per different text and id; equal rows differ in nothing but how often they occur.
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"))
-    exploded = stage(_exploded(docs, order), "ngrams")
-    tables = {n: stage(counts(exploded, n, least if n > 1 else 1), f"counts{n}") for n in range(1, order + 1)}
-    contexts = {1: None} | {n: tables[n - 1] for n in range(2, order + 1)}
+    tables = {n: stage(counts(docs, n), f"counts{n}") for n in range(1, order + 1)}
+    often = {
+        n: frequency_tables(tables[n].select(F.col("gram").alias("hash"), F.col("count").alias("df")), [1])
+        for n in range(2, order + 1)
+    }
     total = tables[1].agg(F.coalesce(F.sum("count"), F.lit(1))).first()[0]
 
-    open_rows, parts = exploded, []
+    left, parts = None, []
     for n in range(order, 0, -1):
-        now = open_rows.where(F.col("size") >= n) if n > 1 else open_rows
-        joined = now.join(tables[n].select(F.col("gram").alias(f"g{n}"), F.col("count").alias("_c")), f"g{n}", "left")
-        if n > 1:
-            above = contexts[n].select(F.col("gram").alias(f"c{n}"), F.col("count").alias("_d"))
-            hit = joined.where("_c IS NOT NULL").join(above, f"c{n}")
-            rest = [joined.where("_c IS NULL").select(*open_rows.columns)]
-            if n > 1:
-                rest.append(open_rows.where(F.col("size") < n))
-            open_rows = stage(reduce(DataFrame.unionByName, rest), "open")
-        else:
-            hit = joined.withColumn("_d", F.lit(total))
+        now = _exploded(docs, order, n, often)
+        if left is not None:
+            now = now.unionByName(left)
+        count = tables[n].select(F.col("gram").alias(f"g{n}"), F.col("count").alias("_c"))
         # Orders that the text's beginning did not allow are no backing off.
-        steps = F.least(F.col("size"), F.lit(order)) - n
-        value = F.col("n") * (F.log(F.col("_c") / F.col("_d")) + steps * float(np.log(backoff)))
-        parts.append(hit.select("doc_id", "text_hash", "n", value.alias("v")))
+        steps = (F.col("size") - n) * float(np.log(backoff))
+        if n == 1:
+            ratio = F.log(F.col("_c") / F.lit(total))
+            parts.append(now.join(count, "g1").select("doc_id", "text_hash", "n", (F.col("n") * (ratio + steps)).alias("v")))
+            break
+        some = (F.col("_c") - F.col(f"o{n}")).alias("_c")
+        found = now.join(count, f"g{n}", "left").select(*now.columns, some)
+        above = tables[n - 1].select(F.col("gram").alias(f"c{n}"), F.col("count").alias("_d"))
+        # Written once, since it is read twice; what either reader leaves out is null.
+        hit = F.coalesce(F.col("_c") > 0, F.lit(False))
+        shorter = [c for c in now.columns if c[0] in "gcop" and int(c[1]) < n]
+        found = stage(
+            found.select(
+                "doc_id", "text_hash", "size", "n",
+                *[F.when(~hit, F.col(c)).alias(c) for c in shorter],
+                *[F.when(hit, F.col(c)).alias(c) for c in (f"c{n}", f"p{n}", "_c")],
+            ),
+            f"found{n}",
+        )
+        left = found.where("_c IS NULL").select("doc_id", "text_hash", "size", "n", *shorter)
+        ratio = F.log(F.col("_c") / (F.col("_d") - F.col(f"p{n}")))
+        hits = found.where("_c IS NOT NULL").join(above, f"c{n}")
+        parts.append(hits.select("doc_id", "text_hash", "n", (F.col("n") * (ratio + steps)).alias("v")))
     summed = reduce(DataFrame.unionByName, parts).groupBy("doc_id", "text_hash")
     summed = summed.agg(F.sum("n").alias("_n"), F.sum("v").alias("_v"))
     times = keyed.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("_times"))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -90,9 +92,20 @@ def test_gradients_of_the_network():
 
 
 def test_every_window_is_scored():
-    row, place = toxicity.window_places(np.array([0, 1, 32, 33, 56, 57]))
-    assert Counter(row.tolist()) == Counter({1: 1, 2: 1, 3: 2, 4: 2, 5: 3})
-    assert place.tolist() == [0, 0, 0, 24, 0, 24, 0, 24, 48]
+    """Windows start every STRIDE words until one reaches the text's end."""
+    counts = [0, 1, 32, 33, 48, 49, 56, 57, 1000]
+    row, place = toxicity.window_places(np.array(counts))
+    want = []
+    for i, n in enumerate(counts):
+        start = 0
+        while n:
+            want.append((i, start))
+            if start + toxicity.WINDOW >= n:
+                break
+            start += toxicity.STRIDE
+    assert list(zip(row.tolist(), place.tolist(), strict=True)) == want
+    # Any phrase of half a window stands whole in one.
+    assert toxicity.STRIDE <= toxicity.WINDOW // 2
 
 
 def test_language(spark, tables):
@@ -154,29 +167,46 @@ def test_top_k_matches_brute_force(spark):
     assert vafile.top_k(vectors.where("false"), vectors, 5).count() == 0
 
 
-def test_backoff_matches_brute_force(spark):
-    docs = documents(spark).where("doc_id IS NULL OR doc_id <> 9")
-    rows = [(r["doc_id"], (r["text"] or "")) for r in docs.collect()]
-    lower = lambda t: "".join(c.lower() if c.isascii() else c for c in t)
-    import re
-
-    texts = [(i, re.findall(r"[^\x20\x09-\x0D]+", lower(t))) for i, t in rows]
-    counts = Counter(tuple(w[k : k + n]) for _, w in texts for n in (1, 2, 3) for k in range(len(w) - n + 1))
-    total = sum(len(w) for _, w in texts)
-
-    def score(words):
+def brute_scores(texts):
+    """Scores of lists of words; every text is compared with the others' n-grams."""
+    grams = [Counter(tuple(w[k : k + n]) for n in (1, 2, 3) for k in range(len(w) - n + 1)) for w in texts]
+    counts = sum(grams, Counter())
+    total = sum(map(len, texts))
+    for words, own in zip(texts, grams, strict=True):
         value = 0.0
         for k in range(len(words)):
             size = min(k + 1, 3)
             for n in range(size, 0, -1):
                 gram = tuple(words[k - n + 1 : k + 1])
-                if n == 1 or counts[gram] >= 2:
-                    context = counts[gram[:-1]] if n > 1 else total
-                    value += math.log(counts[gram] / context) + (size - n) * math.log(0.4)
+                if n == 1:
+                    value += math.log(counts[gram] / total) + (size - 1) * math.log(0.4)
+                elif counts[gram] > own[gram]:
+                    context = gram[:-1]
+                    value += math.log((counts[gram] - own[gram]) / (counts[context] - own[context]))
+                    value += (size - n) * math.log(0.4)
                     break
-        return value
+        yield value
+
 
-    want = Counter((i, len(w), round(score(w), 6)) for i, w in texts)
-    got = Counter((r["doc_id"], r["n_words"], round(r["log_score"], 6)) for r in backoff.scores(docs).collect())
+def backoff_agrees(spark, docs):
+    lower = lambda t: "".join(c.lower() if c.isascii() else c for c in t)
+    rows = [(r["doc_id"], re.findall(r"[^\x20\x09-\x0D]+", lower(r["text"] or ""))) for r in docs.collect()]
+    scored = brute_scores([w for _, w in rows])
+    want = Counter((i, len(w), round(s, 5)) for (i, w), s in zip(rows, scored, strict=True))
+    got = Counter((r["doc_id"], r["n_words"], round(r["log_score"], 5)) for r in backoff.scores(docs).collect())
     assert got == want
+
+
+def test_backoff_matches_brute_force(spark):
+    # With the text of 30,000 words, a null, empty texts and repeated rows.
+    backoff_agrees(spark, documents(spark))
     assert backoff.scores(empty(spark)).count() == 0
+    alone = backoff.scores(documents(spark, {1: "a b c"}, extra=False).where("doc_id = 1 AND text = 'a b c'"))
+    assert round(alone.first()["log_score"], 6) == round(3 * math.log(1 / 3) + 3 * math.log(0.4), 6)
+
+
+def test_backoff_with_hot_words(spark):
+    r = random.Random(6)
+    words = ["the"] * 60 + [f"w{i}" for i in range(80)]
+    texts = {i: " ".join(r.choice(words) for _ in range(r.randint(0, 60))) for i in range(80)}
+    backoff_agrees(spark, documents(spark, texts, extra=False))

@@ -17,7 +17,7 @@ FOLDER = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "benchmark", "embeddings"):
+    for table in ("documents", "benchmark", "embeddings", "conversations"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     want = connection.execute(ORACLES[name])
     names = [d[0] for d in want.description]
