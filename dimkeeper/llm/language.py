@@ -4,7 +4,7 @@ The pieces are those of a fixed public vocabulary. Each language has a probabili
 learned by expectation maximisation on words of a bounded sample. A forward pass over a word
 sums the products of piece probabilities over every way to cut it into pieces. Pieces do not cross white
 space, so a text's probability is the product over its words, and a worker keeps the sums of
-words it has met.
+words it has met. Words of any length are summed whole: sums of long ones are rescaled on the way.
 """
 
 from __future__ import annotations
@@ -14,18 +14,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimkeeper.llm import text as tx
 from dimkeeper.llm.labelled import fold
+from dimkeeper.session import stage
 
-#: Documents to learn from per language, and words per language kept of them, at most.
+#: Documents to learn from per language, at most.
 SAMPLE = 800
-LANGUAGES = 200
 ITERATIONS = 3
-#: Longer words are cut, so that products of probabilities stay within doubles.
+#: In the sample longer words are learned from in parts; scored, they are summed with rescaling.
 LONGEST = 40
+#: Characters between two rescalings.
+RESCALE = 8
 #: Share of a language's probability left for characters and pieces it has not shown.
 UNSEEN = 1e-3
 SLOT_BITS = 20
@@ -45,23 +47,33 @@ def pieces(path: str) -> list[str]:
     return sorted({model.id_to_piece(i).lower() for i in numbers if not special(i)})
 
 
+def numbered(vocabulary: list[str]) -> dict[str, int]:
+    """The pieces' numbers; what only begins a piece has -1."""
+    number = {p[:j]: -1 for p in vocabulary for j in range(1, len(p))}
+    return number | {p: i for i, p in enumerate(vocabulary)}
+
+
 class Lattice:
-    """All pieces in some words: an edge per occurrence, from its first to beyond its last character."""
+    """All pieces in some words: an edge per occurrence, from its first to beyond its last character.
+
+    ``unknown`` is the number of a character that is no piece.
+    """
 
-    def __init__(self, words: list[str], number: dict[str, int], longest: int):
+    def __init__(self, words: list[str], number: dict[str, int], unknown: int):
         word, start, end, piece = [], [], [], []
-        unknown = len(number)
         find = number.get
         for w, text in enumerate(words):
             n = len(text)
             for i in range(n):
-                for j in range(i + 1, min(n, i + longest) + 1):
-                    p = find(text[i:j])
-                    if p is not None or j == i + 1:
+                for j in range(i + 1, n + 1):
+                    p = find(text[i:j], -2)
+                    if p >= 0 or j == i + 1:
                         word.append(w)
                         start.append(i)
                         end.append(j)
-                        piece.append(unknown if p is None else p)
+                        piece.append(p if p >= 0 else unknown)
+                    if p == -2:  # no piece begins like this
+                        break
         self.n = len(words)
         self.sizes = np.array([len(w) for w in words], np.int64)
         self.word, self.start, self.end, self.piece = (np.array(x, np.int64) for x in (word, start, end, piece))
@@ -102,9 +114,36 @@ class Lattice:
         return np.bincount(self.piece, weights=use, minlength=len(p))
 
 
+def long_word(text: str, number: dict[str, int], unknown: int, longest: int, p: np.ndarray) -> np.ndarray:
+    """The logarithm, by language, of the sum over all segmentations of a word of any length."""
+    find = number.get
+    # Sums of the last beginnings, by length modulo the ring's size; ``scale`` was taken out of all.
+    ring = np.zeros((longest + 1, len(p)))
+    ring[0] = 1
+    scale = np.zeros(len(p))
+    for end in range(1, len(text) + 1):
+        one = find(text[end - 1], -2)
+        total = ring[(end - 1) % len(ring)] * p[:, one if one >= 0 else unknown]
+        for start in range(max(0, end - longest), end - 1):
+            piece = find(text[start:end], -2)
+            if piece >= 0:
+                total = total + ring[start % len(ring)] * p[:, piece]
+        ring[end % len(ring)] = total
+        if end % RESCALE == 0:
+            most = ring.max(axis=0)
+            ring /= most
+            scale += np.log(most)
+    return scale + np.log(np.maximum(ring[len(text) % len(ring)], 1e-300))
+
+
+def marked(word: str) -> str:
+    """A lower-case word with a mark for its beginning."""
+    return "▁" + word.lower()
+
+
 def units(word: str) -> list[str]:
-    """A lower-case word with a mark for its beginning, in parts of bounded length."""
-    text = "▁" + word.lower()
+    """A marked word in parts of bounded length."""
+    text = marked(word)
     return [text[i : i + LONGEST] for i in range(0, len(text), LONGEST)]
 
 
@@ -118,30 +157,35 @@ class Model:
 
     def log_words(self, words: list[str]) -> np.ndarray:
         """Words by languages: the logarithm of the sum over all segmentations."""
-        split = [units(w) for w in words]
-        flat = [u for s in split for u in s]
+        texts = [marked(w) for w in words]
+        unknown = self.p.shape[1] - 1
         out = np.zeros((len(words), len(self.names)))
-        owner = np.repeat(np.arange(len(words)), [len(s) for s in split])
-        for at in range(0, len(flat), 20000):
-            part = flat[at : at + 20000]
-            logs = np.log(np.maximum(Lattice(part, self.number, self.longest).whole(self.p), 1e-300)).T
-            np.add.at(out, owner[at : at + 20000], logs)
+        short = [i for i, t in enumerate(texts) if len(t) <= LONGEST]
+        for at in range(0, len(short), 20000):
+            some = short[at : at + 20000]
+            lattice = Lattice([texts[i] for i in some], self.number, unknown)
+            out[some] = np.log(np.maximum(lattice.whole(self.p), 1e-300)).T
+        for i, text in enumerate(texts):
+            if len(text) > LONGEST:
+                out[i] = long_word(text, self.number, unknown, self.longest, self.p)
         return out
 
 
 def fit(counts: list[tuple[str, str, int]], documents: dict[str, int], vocabulary: list[str]) -> Model:
-    """Learn piece probabilities from (language, word, count)."""
-    number = {p: i for i, p in enumerate(vocabulary)}
+    """Learn piece probabilities from (language, word, count), priors from documents per language."""
+    number = numbered(vocabulary)
     longest = max(map(len, vocabulary), default=1)
-    longest = min(longest, 12)
+    unknown = len(vocabulary)
     names = sorted(documents)
-    p = np.zeros((len(names), len(vocabulary) + 1))
+    own: dict[str, list[tuple[str, int]]] = {name: [] for name in names}
+    for lang, w, n in counts:
+        own[lang] += [(u, n) for u in units(w)]
+    p = np.zeros((len(names), unknown + 1))
     for k, name in enumerate(names):
-        own = [(u, n) for lang, w, n in counts if lang == name for u in units(w)]
         # A start that favours no segmentation: all pieces alike.
-        now = np.full(len(vocabulary) + 1, 1 / (len(vocabulary) + 1))
-        parts = [own[i : i + 20000] for i in range(0, len(own), 20000)]
-        lattices = [Lattice([u for u, _ in x], number, longest) for x in parts]
+        now = np.full(unknown + 1, 1 / (unknown + 1))
+        parts = [own[name][i : i + 20000] for i in range(0, len(own[name]), 20000)]
+        lattices = [Lattice([u for u, _ in x], number, unknown) for x in parts]
         weights = [np.array([n for _, n in x], float) for x in parts]
         for _ in range(ITERATIONS):
             use = sum((x.expected(now, w) for x, w in zip(lattices, weights, strict=True)), np.zeros(len(now)))
@@ -152,18 +196,34 @@ def fit(counts: list[tuple[str, str, int]], documents: dict[str, int], vocabular
     return Model(names, number, longest, p, prior)
 
 
+def sample(rows: DataFrame, documents: dict[str, int]) -> DataFrame:
+    """``lang`` and ``doc_id`` of up to SAMPLE documents of each language, chosen by a hash of the id.
+
+    A share of each language passes by its hash before the documents are ranked, so the ranking
+    sees some times SAMPLE rows of a language however many it has.
+    """
+    spark = rows.sparkSession
+    share = [(lang, min(1 << 30, (4 * SAMPLE << 30) // n + 1)) for lang, n in documents.items()]
+    limits = spark.createDataFrame(share, "lang STRING, most BIGINT")
+    mark = F.xxhash64("doc_id")
+    some = rows.join(F.broadcast(limits), "lang").where(F.pmod(mark, F.lit(1 << 30)) < F.col("most"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod(mark, F.lit(1 << 30)), "doc_id"))
+    return some.select("lang", "doc_id").distinct().withColumn("rank", rank).where(F.col("rank") <= SAMPLE).drop("rank")
+
+
 def train(docs: DataFrame, vocabulary_path: str, modulus: int = 4, held_out: int = 2) -> Model:
-    """Learn from at most SAMPLE documents of each of the LANGUAGES most frequent languages."""
+    """Learn every language of the rows outside the held-out fold from at most SAMPLE of its documents.
+
+    Priors follow the counts of all these rows. Of rows with equal id and language the least text is
+    learned from. Languages are counted on the driver, and a model holds 256 KB for each.
+    """
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(modulus) != held_out))
     rows = usable.select("lang", F.col("doc_id").cast("long").alias("doc_id"))
-    langs = [r["lang"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    ids = None
-    for lang in langs:
-        part = rows.where(F.col("lang") == lang).distinct().orderBy(*order).limit(SAMPLE)
-        ids = part if ids is None else ids.unionByName(part)
-    if ids is None:
+    documents = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    if not documents:
         return fit([], {}, pieces(vocabulary_path))
+    # At most SAMPLE rows per language, written so that every use sees the same.
+    ids = stage(sample(rows, documents), "language-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in tx.slices(batches):
@@ -176,11 +236,10 @@ def train(docs: DataFrame, vocabulary_path: str, modulus: int = 4, held_out: int
 
     # Documents of the sample, one row per id, and their words with counts.
     chosen = usable.select("lang", F.col("doc_id").cast("long").alias("doc_id"), "text")
-    chosen = chosen.join(F.broadcast(ids), ["lang", "doc_id"]).groupBy("lang", "doc_id").agg(F.min("text").alias("text"))
+    chosen = chosen.join(ids, ["lang", "doc_id"]).groupBy("lang", "doc_id").agg(F.min("text").alias("text"))
     words = chosen.select("lang", "text").mapInArrow(count, tx.struct("lang string, word string"))
     counts = words.groupBy("lang", "word").count().orderBy("lang", "word").toArrow()
     table = list(zip(*(counts[c].to_pylist() for c in ("lang", "word", "count")), strict=True))
-    documents = {r["lang"]: r["count"] for r in ids.groupBy("lang").count().collect()}
     return fit(table, documents, pieces(vocabulary_path))
 
 
@@ -228,7 +287,8 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     """Add ``lang_pred`` and ``score``; columns of these names are replaced.
 
     The score is the language's probability among those learned. A text that is null or has no
-    letter, or any text if no language was learned, is "und" with score 0.
+    letter, or any text if no language was learned, is "und" with score 0. A word of any length
+    is summed whole, in time that grows with its length.
     """
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
     schema = tx.T.StructType([*(docs.schema[c] for c in kept), *tx.struct("lang_pred string, score double")])

@@ -6,6 +6,7 @@ import math
 import random
 import re
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -123,7 +124,7 @@ def test_language(spark, tables):
 
 
 def test_forward_sums_over_all_segmentations():
-    number = {"▁": 0, "a": 1, "b": 2, "ab": 3, "▁a": 4, "ba": 5}
+    number = language.numbered(["▁", "a", "b", "ab", "▁a", "ba"])
     p = np.random.default_rng(1).random((2, 7))
     words = ["▁abab", "▁", "▁bxa", "▁aab"]
 
@@ -132,12 +133,12 @@ def test_forward_sums_over_all_segmentations():
             return 1.0
         total = 0.0
         for j in range(1, len(text) + 1):
-            piece = number.get(text[:j], 6 if j == 1 else None)
-            if piece is not None:
+            piece = number.get(text[:j], 6 if j == 1 else -1)
+            if piece >= 0:
                 total += q[piece] * brute(text[j:], q)
         return total
 
-    lattice = language.Lattice(words, number, 4)
+    lattice = language.Lattice(words, number, 6)
     assert np.allclose(lattice.whole(p), [[brute(w, q) for w in words] for q in p])
     # Expected counts are the slope of the logarithm, times the probability.
     use = lattice.expected(p[0], np.array([2.0, 1, 1, 3]))
@@ -148,6 +149,53 @@ def test_forward_sums_over_all_segmentations():
         assert abs((change * [2, 1, 1, 3]).sum() / 1e-6 * p[0][k] - use[k]) < 1e-3
 
 
+def all_segmentations(model, word, k):
+    """The logarithm of a word's sum in one language, in exact fractions."""
+    text, unknown = language.marked(word), model.p.shape[1] - 1
+    q = [Fraction(x) for x in model.p[k].tolist()]
+    sums = [Fraction(1)]
+    for end in range(1, len(text) + 1):
+        total = Fraction(0)
+        for start in range(end):
+            piece = model.number.get(text[start:end], -1)
+            if piece < 0 and start == end - 1:
+                piece = unknown
+            if piece >= 0:
+                total += sums[start] * q[piece]
+        sums.append(total)
+    return math.log(sums[-1].numerator) - math.log(sums[-1].denominator)
+
+
+def test_predictions_match_brute_force(spark):
+    """Pieces of up to 16 characters, words beyond 40 characters, and priors from all rows."""
+    pieces = ["▁", "a", "b", "c", "ab", "bc", "▁ab", "abc", "▁c", "é", "abcabcabcabcabca"]
+    counts = [("x", "abcabcabcabcabcab", 5), ("x", "ab", 9), ("y", "cb", 7), ("y", "bcé", 2), ("z", "a" * 90, 1)]
+    model = language.fit(counts, {"x": 50, "y": 3, "z": 900}, pieces)
+    texts = {1: "ab CB abc", 2: "abcabcabcabcabcab", 3: "bcé bcé", 4: "abc" * 25 + " cb", 5: "a" * 150, 6: "q", 7: "ébc" * 31, 8: "12", 9: None}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id BIGINT, text STRING")
+    found = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language.predict(docs, model).collect()}
+    for i, text in texts.items():
+        if i >= 8:
+            assert found[i] == ("und", 0.0)
+            continue
+        logs = [math.log((n + 1) / (953 + 3)) for n in (50, 3, 900)]
+        for k in range(3):
+            logs[k] += sum(all_segmentations(model, w, k) for w in text.lower().split())
+        share = np.exp(np.array(logs) - max(logs))
+        share /= share.sum()
+        assert found[i][0] == "xyz"[int(share.argmax())]
+        assert abs(found[i][1] - share.max()) < 1e-4
+
+
+def test_sample_takes_from_every_language(spark, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE", 20)
+    rows = spark.range(30_000).selectExpr("CASE WHEN id < 12 THEN 'few' ELSE 'many' END AS lang", "id AS doc_id")
+    rows = rows.unionByName(rows.where("doc_id < 3")).unionByName(spark.range(300).selectExpr("concat('l', id) AS lang", "id AS doc_id"))
+    documents = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    found = Counter(r["lang"] for r in language.sample(rows, documents).collect())
+    assert found["few"] == 12 and found["many"] == 20 and len(found) == 302
+
+
 def test_top_k_matches_brute_force(spark):
     r = np.random.default_rng(3)
     rows = [(i, [float(x) for x in np.round(r.standard_normal(8) / 2, 1)]) for i in range(400)]
