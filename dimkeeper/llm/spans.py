@@ -9,7 +9,10 @@ occurrence covers is removed.
 A sentence ends with a word that ends in a stop, question or exclamation mark, at a line end, or
 before a word with a capital: pasted text often starts in the middle of a sentence. Commas,
 colons and semicolons end one too, so that one changed word in a long sentence does not hide the
-rest of it. Spans are compared by their words with A-Z in lower case.
+rest of it. Marks of other scripts count alike. Where no such end lies within LONG words before and
+after a word, the words themselves tell the ends: a sentence ends with a word if its hash and that
+of the word before say so, for one pair of words in CUT. Copies of a passage without
+punctuation are cut at the same words. Spans are compared by their words with A-Z in lower case.
 """
 
 from __future__ import annotations
@@ -27,10 +30,42 @@ from dimkeeper.llm.names import any_names
 from dimkeeper.session import stage
 
 SENTENCES, MIN_WORDS = 2, 12
+#: Words without an end around them before words are cut by hash, and one in how many pairs cuts.
+LONG, CUT = 8, 4
 U64 = tx.U64
 
 _STOP = np.zeros(256, bool)
 _STOP[[ord(c) for c in ".!?,;:"]] = True
+#: Stops of other scripts, by their bytes: ideographic and full-width ones, Arabic, Devanagari, Greek.
+_STOPS = ["。", "！", "？", "，", "、", "；", "：", "．", "؟", "،", "؛", "۔", "।", "॥", "·", "…"]
+
+
+def _ends_with_stop(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Whether each word ends in a stop of any script."""
+    out = _STOP[data[ends - 1]]
+    other = np.flatnonzero(data[ends - 1] >= 0x80)
+    for stop in (np.frombuffer(c.encode(), np.uint8) for c in _STOPS):
+        if not len(other):
+            break
+        size = len(stop)
+        fits = other[ends[other] - starts[other] >= size]
+        same = np.ones(len(fits), bool)
+        for k in range(size):
+            same &= data[ends[fits] - size + k] == stop[k]
+        out[fits[same]] = True
+    return out
+
+
+def _far(first: np.ndarray) -> np.ndarray:
+    """Whether no sentence begins with a word, the LONG words before it or the LONG after it."""
+    sums = np.concatenate([[0], np.cumsum(first)])
+    at = np.arange(len(first))
+    return sums[np.minimum(at + LONG + 1, len(first))] == sums[np.maximum(at - LONG, 0)]
+
+
+def cut_here(before: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Whether the hashes of two words in a row end a sentence where nothing else does."""
+    return tx.mix(before * U64(0x9E3779B97F4A7C15) + last) % U64(CUT) == 0
 
 
 def sentences(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -41,13 +76,16 @@ def sentences(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     n = len(h)
     first = np.ones(n, bool)
     if n > 1:
-        first[1:] = (row[1:] != row[:-1]) | _STOP[data[ends[:-1] - 1]]
+        first[1:] = (row[1:] != row[:-1]) | _ends_with_stop(data, starts[:-1], ends[:-1])
         lines = np.concatenate([[0], np.cumsum(data == 10)])
         first[1:] |= lines[starts[1:]] > lines[ends[:-1]]
         lead, second = data[starts], data[np.minimum(starts + 1, len(data) - 1)]
         first |= (lead >= 65) & (lead <= 90)
         # A to Þ outside ASCII, without the multiplication sign
         first |= (lead == 0xC3) & (second >= 0x80) & (second <= 0x9E) & (second != 0x97)
+        cut = np.zeros(n, bool)
+        cut[2:] = _far(first)[2:] & cut_here(h[:-2], h[1:-1])
+        first |= cut
     begins = np.flatnonzero(first)
     return h, np.append(begins, n), row[begins], starts[begins]
 
