@@ -12,9 +12,11 @@ one. Three steps find all links between classes:
 2. Search. Within a block every set becomes a point: shingles are hashed to groups and the
    groups counted. An R-tree over the points skips pairs of nodes, then of points, whose summed
    coordinate minima cannot reach the overlap needed.
-3. Verify. What remains is compared shingle by shingle, unless the two classes are already
-   connected: a group of near copies costs about one comparison each.
+3. Verify. Every pair that remains is compared shingle by shingle, a leaf with a leaf at a time: the
+   shingles of one leaf carry a bit for each of its sets, and those of the other look them up.
 
+Links are added up to counts per class where they are found, and only as many pairs as connect
+the classes are returned, so a group of n near copies gives some n rows, not n * n.
 Large blocks are cut into cells, and every pair of cells becomes a task of its own.
 """
 
@@ -43,7 +45,10 @@ LEVELS = (1, 6, 40)
 #: Classes and shingles in one cell of a block.
 CELL_SETS = 1024
 CELL_SHINGLES = 1_500_000
+#: Sets in a leaf of the tree, one for each bit of a mask.
 LEAF = 32
+#: Shingles looked up at a time.
+CHUNK = 1 << 18
 
 U64 = tx.U64
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], U64)
@@ -133,15 +138,20 @@ def _candidates(docs: DataFrame, tables: list[np.ndarray]) -> DataFrame:
     schema = tx.struct("hash long, n long, class long")
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()  # a task deals out a class once, however many copies it meets
         for part in tx.slices(batches):
             value, begins = shingle_sets(*tx.utf8(part.column("text")))
             n, classes = np.diff(begins), class_ids(value, begins)
+            once = np.zeros(len(n), bool)
+            for own, at in zip(*(x.tolist() for x in np.unique(classes, return_index=True)), strict=True):
+                once[at] = own not in seen
+                seen.add(own)
             row = np.repeat(np.arange(len(n)), n)
             turn = turns(value, shared.value)
             order = np.lexsort((value, turn, row))
             value, turn = value[order], turn[order]
             place = np.arange(len(value)) - begins[:-1][row]
-            taken = (place < prefix_length(n)[row]) & (turn > 0)
+            taken = (place < prefix_length(n)[row]) & (turn > 0) & once[row]
             value, row = value[taken], row[taken]
             own = classes[row]
             yield pa.RecordBatch.from_arrays(
@@ -221,45 +231,84 @@ class CountTree:
         return bound >= needed
 
 
-def links(sets: list[np.ndarray], sides: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Verified links between sets, enough to connect all that are connected.
-
-    With ``sides`` (0 or 1 per set) only links between the sides are looked for.
+def leaf_masks(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The different shingles of up to LEAF sets, ascending, and bits that tell whose they are."""
+    value = np.concatenate(sets)
+    bit = np.repeat(np.uint32(1) << np.arange(len(sets), dtype=np.uint32), [len(s) for s in sets])
+    order = np.argsort(value, kind="stable")
+    value, bit = value[order], bit[order]
+    first = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
+    return value[first], np.bitwise_or.reduceat(bit, first)
+
+
+def overlaps(value: np.ndarray, mask: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each set shares with each set of a leaf: a row per set, LEAF columns."""
+    out = np.zeros((len(sets), LEAF), np.int64)
+    sizes = np.array([len(s) for s in sets])
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+    for at in range(0, len(flat), CHUNK):
+        some, own = flat[at : at + CHUNK], owner[at : at + CHUNK]
+        place = np.minimum(np.searchsorted(value, some), len(value) - 1)
+        same = value[place] == some
+        if not same.any():
+            continue
+        found, own = mask[place[same]], own[same]
+        bits = np.unpackbits(found.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")
+        first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+        out[own[first]] += np.add.reduceat(bits, first, axis=0, dtype=np.int64)
+    return out
+
+
+def links(
+    sets: list[np.ndarray], copies: np.ndarray, sides: np.ndarray | None = None
+) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Links between sets: pairs that connect all that are connected, and each set's number of links.
+
+    A link counts as often as its other set has ``copies``. With ``sides`` (0 or 1 per set) only
+    links between the sides are looked for.
     """
+    total = np.zeros(len(sets), np.int64)
     if len(sets) < 2:
-        return []
+        return [], total
     tree, forest, found = CountTree(sets), Forest(len(sets)), []
     order = tree.order
     side = sides[order] if sides is not None else None
+    ordered = [sets[i] for i in order]
+    weight = np.asarray(copies)[order]
+    count = np.zeros(len(sets), np.int64)
     for k, own in enumerate(tree.leaves):
+        masks = None
         for j in tree.leaf_pairs(k).tolist():
             other = tree.leaves[j]
-            ra, rb = forest.roots(own), forest.roots(other)
-            open_ = ra[:, None] != rb[None]
+            open_ = np.ones((len(own), len(other)), bool)
             if j == k:
-                open_ &= own[:, None] > other[None]
+                open_ = own[:, None] > other[None]
             if side is not None:
                 open_ &= side[own][:, None] != side[other][None]
             if not open_.any():
                 continue
             open_ &= tree.point_pairs(own, other)
-            for a, b in zip(*np.nonzero(open_), strict=True):
-                x, y = int(own[a]), int(other[b])
-                rx, ry = forest.root(x), forest.root(y)
-                if rx == ry:
-                    continue
-                p, q = sets[order[x]], sets[order[y]]
-                small, large = (p, q) if len(p) <= len(q) else (q, p)
-                at = np.searchsorted(large, small)
-                both = int((large[np.minimum(at, len(large) - 1)] == small).sum())
-                if 100 * both >= PERCENT * (len(p) + len(q) - both):
-                    forest.parent[max(rx, ry)] = min(rx, ry)
-                    found.append((int(order[x]), int(order[y])))
-    return found
+            some = np.flatnonzero(open_.any(axis=0))
+            if not len(some):
+                continue
+            masks = masks or leaf_masks([ordered[i] for i in own])
+            both = overlaps(*masks, [ordered[i] for i in other[some]]).T[: len(own)]
+            union = tree.sizes[own][:, None] + tree.sizes[other[some]][None] - both
+            linked = open_[:, some] & (100 * both >= PERCENT * union)
+            count[own] += linked @ weight[other[some]]
+            count[other[some]] += weight[own] @ linked
+            for x, y in zip(*np.nonzero(linked), strict=True):
+                a, b = int(own[x]), int(other[some[y]])
+                ra, rb = forest.root(a), forest.root(b)
+                if ra != rb:
+                    forest.parent[max(ra, rb)] = min(ra, rb)
+                    found.append((int(order[a]), int(order[b])))
+    total[order] = count
+    return found, total
 
 
 def _tile_links(tiles: DataFrame) -> DataFrame:
-    """Links found in each tile, as pairs of classes."""
+    """Links found in each tile: pairs of classes (u, v), and each class's number of links (u, n)."""
 
     def solve(rows: list[dict]) -> pa.RecordBatch:
         known = {r["class"]: r for r in rows}  # a class counts once
@@ -268,9 +317,12 @@ def _tile_links(tiles: DataFrame) -> DataFrame:
         sides = None
         if rows[0]["i"] != rows[0]["j"]:
             sides = np.array([int(r["cell"] == r["j"]) for r in rows])
-        pairs = [(rows[a]["class"], rows[b]["class"]) for a, b in links(sets, sides)]
-        u, v = zip(*pairs, strict=True) if pairs else ((), ())
-        return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+        pairs, n = links(sets, np.array([r["copies"] for r in rows]), sides)
+        classes, linked = np.array([r["class"] for r in rows]), np.flatnonzero(n)
+        u = [rows[a]["class"] for a, _ in pairs] + classes[linked].tolist()
+        v = [rows[b]["class"] for _, b in pairs] + [None] * len(linked)
+        n = [None] * len(pairs) + n[linked].tolist()
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (u, v, n)], ["u", "v", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, current = [], None
@@ -287,7 +339,7 @@ def _tile_links(tiles: DataFrame) -> DataFrame:
 
     key = ["block", "i", "j"]
     dealt = tiles.repartition(*key).sortWithinPartitions(*key)
-    return dealt.mapInArrow(run, tx.struct("u long, v long"))
+    return dealt.mapInArrow(run, tx.struct("u long, v long, n long"))
 
 
 def _sets(docs: DataFrame, table: list[np.ndarray]) -> DataFrame:
@@ -309,8 +361,9 @@ def _sets(docs: DataFrame, table: list[np.ndarray]) -> DataFrame:
 
 
 def grouped(docs: DataFrame) -> DataFrame:
-    """Per document: doc_id, text_hash, n_shingles, class, root (of linked classes), component_id.
+    """Per document: doc_id, text_hash, n_shingles, class, root (of linked classes), component_id, n_links.
 
+    ``n_links`` counts all rows that a row is linked with, those with an equal set included.
     Words are runs of characters other than white space (blank and codes 9 to 13), A-Z in lower
     case. Texts with fewer than five words have their word sequence as only shingle. Null and
     empty texts and texts of white space have no shingle and are linked with nothing: class and
@@ -330,9 +383,9 @@ def grouped(docs: DataFrame) -> DataFrame:
     # One text per class that has candidates.
     rows = profiles.join(blocks.withColumnRenamed("node", "class"), "class")
     chosen = rows.groupBy("class").agg(
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash", "n")).alias("r"), F.min("root").alias("block")
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash", "n")).alias("r"), F.min("root").alias("block"), F.count(F.lit(1)).alias("copies")
     )
-    chosen = stage(chosen.select("class", "block", "r.doc_id", "r.text_hash", "r.n"), "chosen")
+    chosen = stage(chosen.select("class", "block", "copies", "r.doc_id", "r.text_hash", "r.n"), "chosen")
     weight = chosen.groupBy("block").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles"))
     cells = F.greatest(F.ceil(F.col("sets") / CELL_SETS), F.ceil(F.col("shingles") / CELL_SHINGLES))
     chosen = chosen.join(weight.select("block", cells.cast("int").alias("cells")), "block")
@@ -341,31 +394,39 @@ def grouped(docs: DataFrame) -> DataFrame:
     wanted = chosen.select(F.col("text_hash").alias("hash"), F.lit(1).cast("long").alias("df"))
     sets = _sets(texts, frequency_tables(wanted, [0]))
     same = (sets.doc_id.eqNullSafe(chosen.doc_id)) & (sets.text_hash == chosen.text_hash)
-    sets = sets.join(chosen, same).select("class", "block", "cells", "cell", "shingles")
+    sets = sets.join(chosen, same).select("class", "block", "copies", "cells", "cell", "shingles")
     pairs = F.transform(
         F.sequence(F.lit(0), F.col("cells") - 1),
         lambda c: F.struct(F.least(c, "cell").alias("i"), F.greatest(c, "cell").alias("j")),
     )
-    tiles = sets.withColumn("pair", F.explode(pairs)).select("block", "pair.i", "pair.j", "cell", "class", "shingles")
-    linked = components(_tile_links(tiles)).withColumnRenamed("node", "class")
-
-    # Smallest ids: per class, then per linked group, combined before they are shuffled.
-    linked = stage(linked, "linked")
+    tiles = sets.withColumn("pair", F.explode(pairs)).select("block", "pair.i", "pair.j", "cell", "class", "copies", "shingles")
+    found = stage(_tile_links(tiles), "links")
+    counts = found.where("v IS NULL").groupBy(F.col("u").alias("class")).agg(F.sum("n").alias("links"))
+    # Whatever has a link is a node of the graph.
+    linked = stage(components(found).withColumnRenamed("node", "class").join(counts, "class"), "linked")
     with_root = profiles.join(linked, "class", "left").withColumn("root", F.coalesce("root", "class"))
     with_root = stage(with_root, "roots")
-    # Written, so that the join below can split a group with very many documents.
-    least = stage(with_root.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("least")), "least")
-    out = with_root.where("n > 0").join(least, "root").unionByName(
-        with_root.where("n = 0").withColumn("least", F.col("doc_id"))
+    # Smallest ids and numbers of copies: per class, then per linked group, combined before they are
+    # shuffled. Written, so that the join below can split a class with very many documents.
+    full = with_root.where("n > 0")
+    classes = full.groupBy("class").agg(
+        F.min("root").alias("root"), F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies")
+    )
+    classes = stage(classes, "classes")
+    least = classes.groupBy("root").agg(F.min("first").alias("least"))
+    classes = stage(classes.join(least, "root").select("class", "copies", "least"), "least")
+    out = full.join(classes, "class").unionByName(
+        with_root.where("n = 0").withColumns({"copies": F.lit(1).cast("long"), "least": F.col("doc_id")})
     )
     return out.select(
-        "doc_id", "text_hash", F.col("n").alias("n_shingles"), "class", "root", F.col("least").alias("component_id")
+        "doc_id", "text_hash", F.col("n").alias("n_shingles"), "class", "root", F.col("least").alias("component_id"),
+        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
     )
 
 
 def groups(docs: DataFrame) -> DataFrame:
-    """One row per document: its id, the size of its set, the smallest id it is linked with."""
-    return grouped(docs).select("doc_id", "n_shingles", "component_id")
+    """One row per document: its id, the size of its set, the smallest id reachable, its links."""
+    return grouped(docs).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 @any_names()
