@@ -57,10 +57,11 @@ def _ends_with_stop(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> n
 
 
 def _far(first: np.ndarray) -> np.ndarray:
-    """Whether no sentence begins with a word, the LONG words before it or the LONG after it."""
-    sums = np.concatenate([[0], np.cumsum(first)])
+    """Whether no sentence begins, and no text ends, with a word, the LONG words before it or after it."""
+    # Each text begins a sentence, so words see nothing of other texts; the last one ends here.
+    sums = np.concatenate([[0], np.cumsum(first), [np.sum(first) + 1]])
     at = np.arange(len(first))
-    return sums[np.minimum(at + LONG + 1, len(first))] == sums[np.maximum(at - LONG, 0)]
+    return sums[np.minimum(at + LONG + 1, len(first) + 1)] == sums[np.maximum(at - LONG, 0)]
 
 
 def cut_here(before: np.ndarray, last: np.ndarray) -> np.ndarray:

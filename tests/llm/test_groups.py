@@ -173,7 +173,7 @@ def brute_sentences(text):
     begins = [k == 0 or words[k - 1][-1] in ".!?,;:。！？" or "\n" in pieces[k - 1] or words[k][0] in "ABCDEFGHIJKLMNOPQRSTUVWXYZÉ" for k in range(len(words))]
     cuts = list(begins)
     for k in range(2, len(words)):
-        if not any(begins[max(0, k - spans.LONG) : k + spans.LONG + 1]):
+        if k + spans.LONG < len(words) and not any(begins[max(0, k - spans.LONG) : k + spans.LONG + 1]):
             cuts[k] = bool(spans.cut_here(word_hash(words[k - 2]), word_hash(words[k - 1]))[0])
     starts = [k for k, c in enumerate(cuts) if c] + [len(words)]
     return ["".join(pieces[i:j]) for i, j in zip(starts, starts[1:])]  # noqa: B905
@@ -210,6 +210,18 @@ def test_spans_match_brute_force(spark):
     assert found == brute_removed(texts)
 
 
+def test_sentences_of_a_text_do_not_depend_on_others():
+    r = random.Random(3)
+    texts = [" ".join(f"w{r.randint(0, 99)}{r.choice(['', '', '', '', '', '', '', '', '.'])}" for _ in range(r.choice([0, 5, 9, 17, 40, 90]))) for _ in range(60)]
+    data = "".join(texts).encode()
+    offsets = np.cumsum([0] + [len(t) for t in texts])
+    _, begins, row, starts = spans.sentences(np.frombuffer(data, np.uint8), offsets)
+    for i, text in enumerate(texts):
+        alone = spans.sentences(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]))[3]
+        assert (starts[row == i] - offsets[i]).tolist() == alone.tolist()
+        assert len(alone) == len(brute_sentences(text))
+
+
 def test_repeated_passages_without_punctuation_go(spark):
     """Of 60 words, within other words without punctuation or between sentences, most go."""
     r = random.Random(2)
