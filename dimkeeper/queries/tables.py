@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -106,6 +107,46 @@ def src_json_load(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    """
+SELECT o_orderkey AS order_id, o_custkey, o_orderpriority || '},{' AS priority,
+       CAST(o_orderdate AS DATE) AS start_date
+FROM orders"""
+)
+def src_json_arrays(spark: SparkSession, folder: str) -> DataFrame:
+    """All orders written as files of one JSON array each, with brackets in strings, and loaded again."""
+    path = fresh_path(spark, "json-arrays")
+    record = F.to_json(
+        F.struct(
+            F.col("o_orderkey").alias("id"),
+            "o_custkey",
+            F.concat("o_orderpriority", F.lit("},{")).alias("priority"),
+            F.date_format("o_orderdate", "yyyy-MM-dd").alias("start_date"),
+        )
+    )
+
+    def enclose(batches):
+        mark = "["
+        for batch in batches:
+            texts = batch.column("value").to_pylist()
+            if texts:
+                lines = [mark + texts[0], *("," + t for t in texts[1:])]
+                yield pa.RecordBatch.from_arrays([pa.array(lines)], ["value"])
+                mark = ","
+        yield pa.RecordBatch.from_arrays([pa.array(["[]" if mark == "[" else "]"])], ["value"])
+
+    lines = inputs.table(spark, folder, "orders").select(record.alias("value"))
+    lines.mapInArrow(enclose, "value STRING").write.text(path)
+    return load_json(
+        spark,
+        path,
+        "id BIGINT, o_custkey BIGINT, priority STRING, start_date STRING",
+        dates=["start_date"],
+        rename={"id": "order_id"},
+        array=True,
+    )
+
+
 @query("SELECT * FROM customer")
 def scan_table(spark: SparkSession, folder: str) -> DataFrame:
     inputs.table(spark, folder, "customer").createOrReplaceTempView("dimkeeper_customer")

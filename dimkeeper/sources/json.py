@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
 from dimkeeper.functions.columns import as_date, typed_null
+from dimkeeper.sources.arrays import array_records
 
 
 def load_json(
@@ -27,11 +28,14 @@ def load_json(
     schema is an error. ``dates`` are read as text and cast: text that is no date becomes
     null, or an error with ``strict_dates``. ``add`` appends null columns of a given type.
 
-    One record per line is the default, since Spark can split such files. ``array=True``
-    reads files that hold one JSON array each; each of them is read by one task, so give a
-    large input as many files.
+    One record per line is the default. ``array=True`` reads files that hold one JSON array of
+    objects each; large ones are read in blocks by many tasks, in two passes.
     """
-    frame = spark.read.schema(schema).json(path, multiLine=array, mode="FAILFAST")
+    if array:
+        record = F.from_json("value", schema, {"mode": "FAILFAST"}).alias("record")
+        frame = array_records(spark, path).select(record).select("record.*")
+    else:
+        frame = spark.read.schema(schema).json(path, mode="FAILFAST")
     renamed = rename or {}
     columns = [
         (as_date(c, strict_dates) if c in dates else F.col(c)).alias(renamed.get(c, c))
