@@ -49,7 +49,7 @@ def _last_orders(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _suppliers(spark: SparkSession, folder: str, segment: str) -> DataFrame:
+def suppliers(spark: SparkSession, folder: str, segment: str) -> DataFrame:
     return table(spark, folder, "supplier").select(
         (-1 - F.col("s_suppkey")).alias("c_custkey"),
         F.col("s_name").alias("c_name"),
@@ -90,7 +90,7 @@ def _second_batch(customers: DataFrame, suppliers: DataFrame) -> DataFrame:
 def updates(spark: SparkSession, folder: str, with_date: bool = False) -> DataFrame:
     """The first batch, written once because every merge reads its batch several times."""
     customers = _customers_with_last_order(spark, folder)
-    batch = _first_batch(customers, _suppliers(spark, folder, "SUPPLIER"))
+    batch = _first_batch(customers, suppliers(spark, folder, "SUPPLIER"))
     return stage(batch if with_date else batch.drop("c_lastorder"), "updates")
 
 
@@ -98,8 +98,8 @@ def both_updates(spark: SparkSession, folder: str) -> list[DataFrame]:
     """The first batch and a later one: customers whose last order is finished, suppliers again."""
     customers = stage(_customers_with_last_order(spark, folder), "updates")
     return [
-        _first_batch(customers, _suppliers(spark, folder, "SUPPLIER")).drop("c_lastorder"),
-        _second_batch(customers, _suppliers(spark, folder, "PARTNER")),
+        _first_batch(customers, suppliers(spark, folder, "SUPPLIER")).drop("c_lastorder"),
+        _second_batch(customers, suppliers(spark, folder, "PARTNER")),
     ]
 
 

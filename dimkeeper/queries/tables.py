@@ -20,6 +20,7 @@ from dimkeeper.sources import (
     type1_table,
     type2_table,
     type3_table,
+    upsert_touched,
     values,
 )
 
@@ -214,3 +215,24 @@ def publish_state(spark: SparkSession, folder: str) -> DataFrame:
         state = type1.upsert(read_table(spark, name), batch, "c_custkey")
         publish(state, name, place, temporary=True)
     return read_table(spark, name)
+
+
+@query(
+    inputs.with_sql(inputs.UPDATES_SQL, inputs.UPSERT_SQL)
+    + """
+SELECT -1 - s_suppkey AS c_custkey, s_name AS c_name, s_nationkey AS c_nationkey, s_acctbal AS c_acctbal,
+       'PARTNER' AS c_mktsegment
+FROM supplier
+UNION ALL
+SELECT * FROM state1 c WHERE NOT EXISTS (SELECT 1 FROM supplier s WHERE -1 - s.s_suppkey = c.c_custkey)"""
+)
+def publish_touched_state(spark: SparkSession, folder: str) -> DataFrame:
+    """A state by segment; then the suppliers change theirs, and only their partitions are written."""
+    place = fresh_path(spark, "published")
+    name = "dimkeeper_segments"
+    state = type1.upsert(inputs.table(spark, folder, "customer"), inputs.updates(spark, folder), "c_custkey")
+    publish(state, name, place, temporary=True, partition_by=["c_mktsegment"], cluster_by=["c_custkey"])
+    moved = inputs.suppliers(spark, folder, "PARTNER")
+    return upsert_touched(
+        name, moved, "c_custkey", place, ["c_mktsegment"], type1.upsert, temporary=True, cluster_by=["c_custkey"]
+    )
