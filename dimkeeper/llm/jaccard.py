@@ -99,28 +99,34 @@ def prefix_length(n: np.ndarray) -> np.ndarray:
 
 
 def _profiles(docs: DataFrame) -> DataFrame:
-    """Per document its id, a hash of its text, its set's size and class; and the counted hashes."""
-    schema = tx.struct("doc_id long, text_hash long, n long, class long, hash long, df long")
-    limit = U64(int(COUNTED * 2**64))
+    """Per document its id, a hash of its text, its set's size and class."""
+    schema = tx.struct("doc_id long, text_hash long, n long, class long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in tx.slices(batches):
             value, begins = shingle_sets(*tx.utf8(part.column("text")))
-            hashes, df = np.unique(value[value < limit], return_counts=True)
-            rows, more = pa.nulls(part.num_rows, pa.int64()), pa.nulls(len(hashes), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("text_hash"), pa.array(np.diff(begins), pa.int64())]
-                + [pa.array(class_ids(value, begins)), rows, rows],
-                schema.names,
-            )
-            yield pa.RecordBatch.from_arrays(
-                [more, more, more, more, pa.array(hashes.view(np.int64)), pa.array(df, pa.int64())],
+                + [pa.array(class_ids(value, begins))],
                 schema.names,
             )
 
     return _keyed(docs).mapInArrow(run, schema)
 
 
+def _counted(docs: DataFrame) -> DataFrame:
+    """The counted hashes, ``df`` of each slice of texts; they go straight to where they are added up."""
+    limit = U64(int(COUNTED * 2**64))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in tx.slices(batches):
+            value, _ = shingle_sets(*tx.utf8(part.column("text")))
+            hashes, df = np.unique(value[value < limit], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(df, pa.int64())], ["hash", "df"])
+
+    return docs.select("text").mapInArrow(run, tx.struct("hash long, df long"))
+
+
 def turns(value: np.ndarray, tables: list[np.ndarray]) -> np.ndarray:
     """The order in which shingles are dealt out: unique ones first, frequent ones last."""
     above = levels_passed(value, tables)
@@ -371,10 +377,8 @@ def grouped(docs: DataFrame) -> DataFrame:
     takes part but is never the smallest id; only a group without any other id has none. Other
     columns are not read.
     """
-    spark = docs.sparkSession
-    everything = stage(_profiles(docs), "profiles")
-    profiles = everything.where("n IS NOT NULL").drop("hash", "df")
-    tables = frequency_tables(everything.where("hash IS NOT NULL").select("hash", "df"), LEVELS)
+    profiles = stage(_profiles(docs), "profiles")
+    tables = frequency_tables(_counted(docs), LEVELS)
 
     texts = _keyed(docs)
     edges = _candidates(texts, tables)
