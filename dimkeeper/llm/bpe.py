@@ -30,9 +30,11 @@ from pyspark.sql import types as T
 from dimkeeper.llm import text as tx
 
 #: Known fragments per Python worker: 2**SLOT_BITS places, ids of at most ARENA_IDS and texts of at most
-#: ARENA_BYTES. Fixed sizes, whatever the input.
+#: ARENA_BYTES. Fixed sizes, whatever the input; what is not filled yet takes no memory but the places.
 SLOT_BITS = 22
 ARENA_IDS, ARENA_BYTES = 1 << 23, 1 << 25
+#: Fragments that the library encodes at a time; each of its results takes some hundred bytes.
+BATCH = 1 << 12
 #: Beginnings of the white space that has more than one byte in UTF-8.
 WIDE_SPACES = [b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80"]
 _WIDE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -47,18 +49,12 @@ def byte_characters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class Coder:
-    """One vocabulary: its tokens as bytes, the pairs inside them, and known fragments."""
+class Tokens:
+    """The tokens of one vocabulary as bytes: all that decoding needs."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-        from tokenizers import Tokenizer
-
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
         to_byte = byte_characters()
         vocabulary = spec["model"]["vocab"]
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
@@ -68,6 +64,30 @@ class Coder:
                 self.tokens[number] = bytes(to_byte[c] for c in token)
         for token, number in special.items():
             self.tokens[number] = token.encode()
+        self.special = [t.encode() for t in special]
+        self.token_bytes = np.frombuffer(b"".join(self.tokens), np.uint8)
+        self.token_ends = np.cumsum([len(t) for t in self.tokens])
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        """The bytes of some ids, one after the other."""
+        sizes = np.diff(self.token_ends, prepend=0)[ids]
+        ends = np.cumsum(sizes)
+        n = int(ends[-1]) if len(ids) else 0
+        return self.token_bytes[np.repeat(self.token_ends[ids] - ends, sizes) + np.arange(n)].tobytes()
+
+
+class Coder:
+    """One vocabulary's library, the pairs inside its tokens, and known fragments."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
+        from tokenizers import Tokenizer
+
+        self.library = Tokenizer.from_file(path)
+        self.library.no_truncation()
+        self.library.no_padding()
+        known = tokens(path)
+        self.tokens, self.special, self.decode = known.tokens, known.special, known.decode
         inside = np.zeros((256, 256), bool)
         for token in self.tokens:
             b = np.frombuffer(token, np.uint8)
@@ -82,17 +102,18 @@ class Coder:
         changes[ord("'")] = False
         usable |= changes
         self.cuts = (usable & ~inside).ravel()
-        self.special = [t.encode() for t in special]
-        self.token_bytes = np.frombuffer(b"".join(self.tokens), np.uint8)
-        self.token_ends = np.cumsum([len(t) for t in self.tokens])
+        self.id_type = np.uint16 if len(self.tokens) <= 1 << 16 else np.uint32
         self.forget()
 
     def forget(self) -> None:
         """Start with no known fragment."""
+        # The entry of each place; entries lie side by side, the first is none and has no length.
+        self.entries = np.zeros(1 << SLOT_BITS, np.int32)
+        self.known = 1
         self.keys = np.zeros(1 << SLOT_BITS, np.uint64)
         self.begins = np.zeros(1 << SLOT_BITS, np.int32)
-        self.counts = np.full(1 << SLOT_BITS, -1, np.int32)
-        self.arena = np.zeros(ARENA_IDS, np.uint32)
+        self.counts = np.zeros(1 << SLOT_BITS, np.uint8)  # a remembered text has no more ids than bytes
+        self.arena = np.zeros(ARENA_IDS, self.id_type)
         self.filled = 0
         self.places = np.zeros(1 << SLOT_BITS, np.int32)
         self.lengths = np.zeros(1 << SLOT_BITS, np.uint8)
@@ -135,26 +156,24 @@ class Coder:
         lengths = np.append(starts[1:], len(data)) - starts
         h = tx.span_hashes(data, starts, starts + lengths)
         slot = (h >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-        begin, count = self.begins[slot].astype(np.int64), self.counts[slot].astype(np.int64)
-        known = (self.keys[slot] == h) & (count >= 0) & (self.lengths[slot] == lengths)
+        entry = self.entries[slot]
+        begin, count = self.begins[entry].astype(np.int64), self.counts[entry].astype(np.int64)
+        known = (self.keys[entry] == h) & (self.lengths[entry] == lengths)
         # Equal hashes are no proof, so the remembered text is compared.
         at = np.flatnonzero(known)
         long = tx.padded(data)
-        known[at] = tx.equal_spans(long, starts[at], lengths[at], self.texts, self.places[slot[at]].astype(np.int64))
+        known[at] = tx.equal_spans(long, starts[at], lengths[at], self.texts, self.places[entry[at]].astype(np.int64))
         new = np.flatnonzero(~known)
         arena = self.arena
         if len(new):
             kinds, place = self._kinds(long, starts[new], lengths[new], h[new])
             at = new[kinds]
-            raw = data.tobytes()
-            texts = [raw[i : i + n].decode() for i, n in zip(starts[at], lengths[at], strict=True)]
-            codes = [c.ids for c in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, codes), np.int64, len(codes))
-            fresh = np.fromiter((i for c in codes for i in c), np.uint32, int(sizes.sum()))
+            fresh, sizes = self._library_ids(data.tobytes(), starts[at], lengths[at])
             put = self.filled + np.cumsum(sizes) - sizes
             short = lengths[at] <= tx.SHORT
             n_bytes = int(lengths[at][short].sum())
-            if self.filled + len(fresh) > ARENA_IDS or self.written + n_bytes > ARENA_BYTES:
+            full = self.known + len(at) > len(self.keys)
+            if full or self.filled + len(fresh) > ARENA_IDS or self.written + n_bytes > ARENA_BYTES:
                 # Ids of earlier fragments are still needed for this slice.
                 arena = np.concatenate([self.arena[: self.filled], fresh])
                 self.forget()
@@ -164,10 +183,21 @@ class Coder:
                 self._remember(data, starts[at[short]], lengths[at[short]], h[at[short]], put[short], sizes[short])
             begin[new], count[new] = put[place], sizes[place]
         ends_out = np.cumsum(count)
-        ids = arena[np.repeat(begin - ends_out + count, count) + np.arange(ends_out[-1])]
+        ids = arena[np.repeat(begin - ends_out + count, count) + np.arange(ends_out[-1])].astype(np.uint32)
         ends_out = np.concatenate([[0], ends_out])
         return ids, np.diff(ends_out[np.searchsorted(starts, offsets)])
 
+    def _library_ids(self, raw: bytes, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of some fragments one after the other, and how many each has."""
+        fresh, sizes = [np.zeros(0, self.id_type)], [np.zeros(0, np.int64)]
+        for at in range(0, len(starts), BATCH):
+            some = zip(starts[at : at + BATCH].tolist(), lengths[at : at + BATCH].tolist(), strict=True)
+            texts = [raw[i : i + n].decode() for i, n in some]
+            codes = [c.ids for c in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, codes), np.int64, len(codes)))
+            fresh.append(np.fromiter((i for c in codes for i in c), self.id_type, int(sizes[-1].sum())))
+        return np.concatenate(fresh), np.concatenate(sizes)
+
     @staticmethod
     def _kinds(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """One of each different fragment, and which of those each one is."""
@@ -191,20 +221,24 @@ class Coder:
         _, last = np.unique(slot[::-1], return_index=True)
         last = len(slot) - 1 - last
         slot = slot[last]
-        self.keys[slot], self.begins[slot], self.counts[slot] = h[last], put[last], sizes[last]
-        self.places[slot], self.lengths[slot] = places[last], lengths[last]
-
-    def decode(self, ids: np.ndarray) -> bytes:
-        """The bytes of some ids, one after the other."""
-        sizes = np.diff(self.token_ends, prepend=0)[ids]
-        ends = np.cumsum(sizes)
-        n = int(ends[-1]) if len(ids) else 0
-        return self.token_bytes[np.repeat(self.token_ends[ids] - ends, sizes) + np.arange(n)].tobytes()
+        new = slice(self.known, self.known + len(slot))
+        self.entries[slot] = np.arange(new.start, new.stop)
+        self.keys[new], self.begins[new], self.counts[new] = h[last], put[last], sizes[last]
+        self.places[new], self.lengths[new] = places[last], lengths[last]
+        self.known = new.stop
 
 
+_tokens: dict[str, Tokens] = {}
 _coders: dict[str, Coder] = {}
 
 
+def tokens(path: str) -> Tokens:
+    """The tokens of the vocabulary at this path, read once in each Python worker."""
+    if path not in _tokens:
+        _tokens[path] = Tokens(path)
+    return _tokens[path]
+
+
 def coder(path: str) -> Coder:
     """The vocabulary at this path, made once in each Python worker."""
     if path not in _coders:
@@ -248,7 +282,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "text")
     schema = T.StructType([*encoded.schema, T.StructField(text, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = coder(path)
+        code = tokens(path)
         for part in tx.slices(batches, ids):
             out = [
                 None if b is None else code.decode(np.frombuffer(b, "<u4")).decode("utf-8", "replace")

@@ -207,7 +207,7 @@ def write(docs: DataFrame, tokenizer: str, path: str, end: int = 0) -> None:
 
     # At most one row per id of the vocabulary reaches the driver.
     counted = raw.select("ids").mapInArrow(_count_ids, "id BIGINT, n BIGINT").groupBy("id").agg(F.sum("n"))
-    counts = np.zeros(len(bpe.coder(tokenizer).tokens), np.int64)
+    counts = np.zeros(len(bpe.tokens(tokenizer).tokens), np.int64)
     for number, n in counted.collect():
         counts[number] = n
     lengths = code_lengths(counts)

@@ -49,6 +49,31 @@ def test_memory_of_fragments_may_run_full(library, monkeypatch):
         assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_memory_follows_the_fragments(library, monkeypatch):
+    """The library's results are held for a batch at a time, and entries lie side by side."""
+    code, sizes = bpe.Coder(PATH), []
+
+    class Counting:
+        def encode_batch_fast(self, texts, **options):
+            sizes.append(len(texts))
+            return library.encode_batch_fast(texts, **options)
+
+    monkeypatch.setattr(code, "library", Counting())
+    text = " ".join(f"q{i}z" for i in range(12_000))
+    raw = np.frombuffer(text.encode(), np.uint8)
+    ids, _ = code.encode(raw, np.array([0, len(raw)]))
+    assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+    assert len(sizes) > 1 and max(sizes) <= bpe.BATCH
+    assert np.flatnonzero(code.lengths).tolist() == list(range(1, code.known))
+
+
+def test_decoding_makes_no_encoder(library, monkeypatch):
+    monkeypatch.setattr(bpe, "_coders", {})
+    monkeypatch.setattr(bpe, "Coder", None)
+    ids = library.encode("some words", add_special_tokens=False).ids
+    assert bpe.tokens(PATH).decode(np.array(ids)) == b"some words"
+
+
 def alternating() -> tuple[str, str]:
     """Two texts that any running sum of powers modulo 2**64 takes for the same."""
     bits = [bin(i).count("1") & 1 for i in range(1024)]
