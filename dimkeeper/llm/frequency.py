@@ -10,7 +10,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Places in a table: 8 MB each, whatever the input. The fuller it is, the less work it saves.
@@ -39,3 +40,15 @@ def levels_passed(value: np.ndarray, tables: Sequence[np.ndarray]) -> np.ndarray
     place = value & U64((1 << TABLE_BITS) - 1)
     word, bit = (place >> U64(6)).astype(np.int64), place & U64(63)
     return sum((t[word] >> bit) & U64(1) for t in tables).astype(np.int64)
+
+
+def may_hold(tables: Sequence[np.ndarray], column: str, df: DataFrame) -> Column:
+    """Whether a column's hashes (long, not null) find their bit in any of the tables; no other column
+    leaves the JVM."""
+    shared = df.sparkSession.sparkContext.broadcast(tables)
+
+    @F.arrow_udf("boolean")
+    def found(hashes: pa.Array) -> pa.Array:
+        return pa.array(levels_passed(hashes.to_numpy(zero_copy_only=False).view(U64), shared.value) > 0)
+
+    return found(F.col(column))

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from dimkeeper.llm import text as tx
 from dimkeeper.llm.components import components
-from dimkeeper.llm.frequency import frequency_tables, levels_passed
+from dimkeeper.llm.frequency import frequency_tables, levels_passed, may_hold
 from dimkeeper.llm.names import any_names
 from dimkeeper.session import stage
 
@@ -40,6 +40,9 @@ SHINGLE = 5
 PERCENT = 75
 #: Hashes below this share of all are counted over all documents.
 COUNTED = 0.35
+#: Bits of a hash that are sent to be counted, at least TABLE_BITS. Where two hashes share them, both seem
+#: more frequent, which costs work, no link.
+COUNTED_BITS = 40
 #: Counted shingles are told apart by whether they occur more often than this.
 LEVELS = (1, 6, 40)
 #: Classes and shingles in one cell of a block.
@@ -121,7 +124,7 @@ def _counted(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in tx.slices(batches):
             value, _ = shingle_sets(*tx.utf8(part.column("text")))
-            hashes, df = np.unique(value[value < limit], return_counts=True)
+            hashes, df = np.unique(value[value < limit] & U64((1 << COUNTED_BITS) - 1), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(df, pa.int64())], ["hash", "df"])
 
     return docs.select("text").mapInArrow(run, tx.struct("hash long, df long"))
@@ -314,12 +317,15 @@ def links(
 
 
 def _tile_links(tiles: DataFrame) -> DataFrame:
-    """Links found in each tile: pairs of classes (u, v), and each class's number of links (u, n)."""
+    """Links found in each tile: pairs of classes (u, v), and each class's number of links (u, n).
+
+    The texts are what is dealt out, since they compress to less than half of their shingles' hashes.
+    """
 
     def solve(rows: list[dict]) -> pa.RecordBatch:
         known = {r["class"]: r for r in rows}  # a class counts once
         rows = [known[c] for c in sorted(known)]
-        sets = [np.frombuffer(r["shingles"], U64) for r in rows]
+        sets = [r["shingles"] for r in rows]
         sides = None
         if rows[0]["i"] != rows[0]["j"]:
             sides = np.array([int(r["cell"] == r["j"]) for r in rows])
@@ -332,8 +338,10 @@ def _tile_links(tiles: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, current = [], None
-        for part in tx.slices(batches, "shingles"):
-            for row in part.to_pylist():
+        for part in tx.slices(batches):
+            value, begins = shingle_sets(*tx.utf8(part.column("text")))
+            for at, row in enumerate(part.drop_columns(["text"]).to_pylist()):
+                row["shingles"] = value[begins[at] : begins[at + 1]].copy()
                 key = row["block"], row["i"], row["j"]
                 if key != current and rows:
                     yield solve(rows)
@@ -348,24 +356,6 @@ def _tile_links(tiles: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, tx.struct("u long, v long, n long"))
 
 
-def _sets(docs: DataFrame, table: list[np.ndarray]) -> DataFrame:
-    """The shingles, as 64-bit hashes, of texts whose hash may be in the table."""
-    schema = tx.struct("doc_id long, text_hash long, shingles binary")
-    shared = docs.sparkSession.sparkContext.broadcast(table)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in tx.slices(batches):
-            hashes = part.column("text_hash").to_numpy(zero_copy_only=False).view(U64)
-            part = part.take(pa.array(np.flatnonzero(levels_passed(hashes, shared.value))))
-            value, begins = shingle_sets(*tx.utf8(part.column("text")))
-            sets = [value[i:j].tobytes() for i, j in zip(begins, begins[1:])]  # noqa: B905
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("text_hash"), pa.array(sets, pa.binary())], schema.names
-            )
-
-    return docs.mapInArrow(run, schema)
-
-
 def grouped(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, text_hash, n_shingles, class, root (of linked classes), component_id, n_links.
 
@@ -396,14 +386,14 @@ def grouped(docs: DataFrame) -> DataFrame:
     chosen = chosen.withColumn("cell", F.pmod(F.xxhash64("class"), F.col("cells")).cast("int"))
     # A table of fixed size leaves out most other texts before anything is shuffled.
     wanted = chosen.select(F.col("text_hash").alias("hash"), F.lit(1).cast("long").alias("df"))
-    sets = _sets(texts, frequency_tables(wanted, [0]))
-    same = (sets.doc_id.eqNullSafe(chosen.doc_id)) & (sets.text_hash == chosen.text_hash)
-    sets = sets.join(chosen, same).select("class", "block", "copies", "cells", "cell", "shingles")
+    some = texts.where(may_hold(frequency_tables(wanted, [0]), "text_hash", docs))
+    same = (some.doc_id.eqNullSafe(chosen.doc_id)) & (some.text_hash == chosen.text_hash)
+    sets = some.join(chosen, same).select("class", "block", "copies", "cells", "cell", "text")
     pairs = F.transform(
         F.sequence(F.lit(0), F.col("cells") - 1),
         lambda c: F.struct(F.least(c, "cell").alias("i"), F.greatest(c, "cell").alias("j")),
     )
-    tiles = sets.withColumn("pair", F.explode(pairs)).select("block", "pair.i", "pair.j", "cell", "class", "copies", "shingles")
+    tiles = sets.withColumn("pair", F.explode(pairs)).select("block", "pair.i", "pair.j", "cell", "class", "copies", "text")
     found = stage(_tile_links(tiles), "links")
     counts = found.where("v IS NULL").groupBy(F.col("u").alias("class")).agg(F.sum("n").alias("links"))
     # Whatever has a link is a node of the graph.
@@ -453,8 +443,12 @@ def keep_one(docs: DataFrame) -> DataFrame:
         dropped.withColumn("mark", F.lit(1)).unionByName(repeated.withColumn("mark", F.lit(2))), "marks"
     ).select(F.col("doc_id").alias("_mark_id"), F.col("text_hash").alias("_mark_hash"), F.col("mark").alias("_mark"))
     keyed = docs.withColumn("_text_hash", F.xxhash64("text"))
+    # Texts whose hash is surely not marked stay where they are.
+    wanted = marks.select(F.col("_mark_hash").alias("hash"), F.lit(1).cast("long").alias("df"))
+    may = may_hold(frequency_tables(wanted, [0]), "_text_hash", docs)
     at = F.col("doc_id").cast("long").eqNullSafe(F.col("_mark_id")) & (F.col("_text_hash") == F.col("_mark_hash"))
-    marked = keyed.join(marks, at, "left")
+    marked = keyed.where(may).join(marks, at, "left")
     once = marked.where("_mark = 2").dropDuplicates(["doc_id", "_text_hash"])
-    out = marked.where("_mark IS NULL").unionByName(once)
+    out = keyed.where(~may).unionByName(marked.where("_mark IS NULL").select(*keyed.columns))
+    out = out.unionByName(once.select(*keyed.columns))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -125,6 +125,26 @@ def test_a_group_of_different_near_copies_counts_all_links(spark, monkeypatch):
     assert found == {i: (0, 149) if i < 150 else (150, 19) for i in texts}
 
 
+def test_texts_are_dealt_out_and_shared_bits_lose_no_link(spark, monkeypatch):
+    """What moves is a text, not eight bytes for each of its shingles; counts by fewer bits only cost work."""
+    columns, real = [], jaccard._tile_links
+    monkeypatch.setattr(jaccard, "_tile_links", lambda tiles: columns.extend(tiles.columns) or real(tiles))
+    monkeypatch.setattr(jaccard, "COUNTED_BITS", 26)
+    docs = documents(spark, variants(30, 8))
+    rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
+    assert Counter(tuple(r) for r in jaccard.groups(docs).collect()) == brute_groups(rows)
+    assert "text" in columns and "shingles" not in columns
+
+
+def test_texts_without_a_mark_are_not_shuffled(spark, monkeypatch):
+    asked, real = [], jaccard.may_hold
+    monkeypatch.setattr(jaccard, "may_hold", lambda tables, column, df: asked.append(column) or real(tables, column, df))
+    docs = spark.createDataFrame([(i, f"a text of its own {i}") for i in range(50)] + [(7, TEXTS[1])] * 3, "doc_id BIGINT, text STRING")
+    names = Counter(r["doc_id"] for r in jaccard.keep_one(docs).collect())
+    assert names == Counter([*range(50), 7])
+    assert asked == ["text_hash", "_text_hash"]
+
+
 def test_one_document_of_each_group_stays(spark):
     docs = documents(spark)
     kept = jaccard.keep_one(docs)
