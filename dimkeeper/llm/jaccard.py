@@ -319,7 +319,7 @@ def links(
 def _tile_links(tiles: DataFrame) -> DataFrame:
     """Links found in each tile: pairs of classes (u, v), and each class's number of links (u, n).
 
-    The texts are what is dealt out, since they compress to less than half of their shingles' hashes.
+    The texts are what is dealt out, since they compress to little more than half of their shingles' hashes.
     """
 
     def solve(rows: list[dict]) -> pa.RecordBatch:
