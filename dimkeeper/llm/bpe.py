@@ -20,6 +20,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -195,7 +196,7 @@ class Coder:
             texts = [raw[i : i + n].decode() for i, n in some]
             codes = [c.ids for c in self.library.encode_batch_fast(texts, add_special_tokens=False)]
             sizes.append(np.fromiter(map(len, codes), np.int64, len(codes)))
-            fresh.append(np.fromiter((i for c in codes for i in c), self.id_type, int(sizes[-1].sum())))
+            fresh.append(np.fromiter(chain.from_iterable(codes), self.id_type, int(sizes[-1].sum())))
         return np.concatenate(fresh), np.concatenate(sizes)
 
     @staticmethod

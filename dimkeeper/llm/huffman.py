@@ -134,8 +134,17 @@ def unpack(stream: bytes, checkpoints: bytes, n: int, table: np.ndarray) -> np.n
     return out.T.ravel()[:n]
 
 
+def _raw_type(n_ids: int) -> str:
+    """The bytes of an id that is not coded yet: two where they suffice."""
+    return "<u2" if n_ids <= 1 << 16 else "<u4"
+
+
 def _ordered_ids(docs: DataFrame, path: str, end: int) -> DataFrame:
-    """Segments of raw ids: documents in order, each with the end id."""
+    """Segments of raw ids: documents in order, each with the end id.
+
+    After the segments of a partition comes a row with nothing but the partition and ``totals``, the count of
+    every id in it, so that the ids need not be read again to be counted.
+    """
     # One shuffle of the texts, before anything is computed: range bounds come from a sample
     # of its input. The hash keeps repeated ids from making one large range.
     order = [F.col("doc_id"), F.xxhash64("text")]
@@ -145,29 +154,36 @@ def _ordered_ids(docs: DataFrame, path: str, end: int) -> DataFrame:
         .sortWithinPartitions(*order)
         .withColumn("part", F.spark_partition_id())
     )
-    schema = T.StructType([*SEGMENT, T.StructField("ids", T.BinaryType())])
+    schema = T.StructType([*SEGMENT, *tx.struct("ids binary, totals binary")])
+    raw_type = _raw_type(max(len(bpe.tokens(path).tokens), end + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = bpe.coder(path)
-        stop = np.array([end], "<u4").tobytes()
+        stop = np.array([end], raw_type).tobytes()
+        width = len(stop)
         names, nulls, counts, ids, size = [], [], [], [], 0
         segment = before = 0
         part = None
+        totals = np.zeros(0, np.int64)
+
+        def row(*values) -> pa.RecordBatch:
+            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 5]
+            arrays = [pa.array([v], k) for v, k in zip(values, kinds, strict=True)]
+            return pa.RecordBatch.from_arrays(arrays, schema.names)
 
         def flush() -> pa.RecordBatch:
+            nonlocal totals
             raw = b"".join(ids)
-            row = [part, segment, before, size, np.array(names, "<i8").tobytes(), bytes(nulls)]
-            row += [np.array(counts, "<i8").tobytes(), raw]
-            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 4]
-            arrays = [pa.array([v], k) for v, k in zip(row, kinds, strict=True)]
-            return pa.RecordBatch.from_arrays(arrays, schema.names)
+            totals = _added(totals, np.bincount(np.frombuffer(raw, raw_type)))
+            documents = np.array(names, "<i8").tobytes(), bytes(nulls), np.array(counts, "<i8").tobytes()
+            return row(part, segment, before, size, *documents, raw, None)
 
         for rows in tx.slices(batches):
             part = rows.column("part")[0].as_py()
             coded, n = code.encode(*tx.utf8(rows.column("text")))
-            coded, ends = coded.astype("<u4").tobytes(), np.cumsum(n).tolist()
+            coded, ends = coded.astype(raw_type).tobytes(), np.cumsum(n).tolist()
             for name, b, e in zip(rows.column("doc_id").to_pylist(), [0, *ends], ends):  # noqa: B905
-                ids += [coded[4 * b : 4 * e], stop]
+                ids += [coded[width * b : width * e], stop]
                 names.append(name or 0)
                 nulls.append(name is None)
                 counts.append(e - b + 1)
@@ -178,17 +194,25 @@ def _ordered_ids(docs: DataFrame, path: str, end: int) -> DataFrame:
                     names, nulls, counts, ids, size = [], [], [], [], 0
         if names:
             yield flush()
+        if part is not None:
+            yield row(part, *[None] * 7, totals.astype("<i8").tobytes())
 
     return placed.mapInArrow(run, schema)
 
 
+def _added(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """The sum of two arrays of counts; what a shorter one lacks is 0."""
+    out = np.zeros(max(len(one), len(two)), np.int64)
+    out[: len(one)] += one
+    out[: len(two)] += two
+    return out
+
+
 def _count_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(0, np.int64)
     for batch in batches:
-        for raw in batch.column("ids").to_pylist():
-            found = np.bincount(np.frombuffer(raw, "<u4"), minlength=len(total))
-            found[: len(total)] += total
-            total = found
+        for raw in batch.column("totals").to_pylist():
+            total = _added(total, np.frombuffer(raw, "<i8"))
     used = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used])], ["id", "n"])
 
@@ -206,8 +230,10 @@ def write(docs: DataFrame, tokenizer: str, path: str, end: int = 0) -> None:
     raw = spark.read.parquet(raw_path)
 
     # At most one row per id of the vocabulary reaches the driver.
-    counted = raw.select("ids").mapInArrow(_count_ids, "id BIGINT, n BIGINT").groupBy("id").agg(F.sum("n"))
-    counts = np.zeros(len(bpe.tokens(tokenizer).tokens), np.int64)
+    totals = raw.where("totals IS NOT NULL").select("totals")
+    counted = totals.mapInArrow(_count_ids, "id BIGINT, n BIGINT").groupBy("id").agg(F.sum("n"))
+    counts = np.zeros(max(len(bpe.tokens(tokenizer).tokens), end + 1), np.int64)
+    raw_type = _raw_type(len(counts))
     for number, n in counted.collect():
         counts[number] = n
     lengths = code_lengths(counts)
@@ -216,6 +242,7 @@ def write(docs: DataFrame, tokenizer: str, path: str, end: int = 0) -> None:
     )
 
     # One row per partition of the sorted documents.
+    raw = raw.where("totals IS NULL").drop("totals")
     sizes = raw.groupBy("part").agg(F.sum("n_ids").alias("n"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
@@ -230,7 +257,7 @@ def write(docs: DataFrame, tokenizer: str, path: str, end: int = 0) -> None:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1)
-                ids = np.frombuffer(row.column("ids")[0].as_py(), "<u4")
+                ids = np.frombuffer(row.column("ids")[0].as_py(), raw_type)
                 stream, checkpoints = pack(ids, codes, lengths)
                 start = pc.add(row.column("offset"), row.column("before"))
                 kept = [row.column(c) for c in ("n_ids", "doc_ids", "doc_nulls", "counts")]

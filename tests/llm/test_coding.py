@@ -156,6 +156,20 @@ def test_token_files(spark, library):
     assert huffman.digests(empty(spark), PATH).count() == 0
 
 
+def test_raw_ids_take_two_bytes_and_are_counted_where_they_are_made(spark):
+    rows = huffman._ordered_ids(documents(spark), PATH, 0).collect()
+    ids = np.concatenate([np.frombuffer(r["ids"], "<u2") for r in rows if r["ids"] is not None])
+    assert len(ids) == sum(r["n_ids"] or 0 for r in rows)
+    totals = [r for r in rows if r["totals"] is not None]
+    assert len(totals) == len({r["part"] for r in rows})
+    counts = np.bincount(ids)
+    for r in totals:
+        found = np.frombuffer(r["totals"], "<i8")
+        counts[: len(found)] -= found
+    assert not counts.any()
+    assert [huffman._raw_type(n) for n in (1 << 16, (1 << 16) + 1)] == ["<u2", "<u4"]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 1 << 40), min_size=1, max_size=300), st.integers(9, 16))
 def test_code_lengths_are_complete_and_limited(counts, limit):
