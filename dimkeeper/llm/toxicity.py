@@ -256,6 +256,59 @@ def calibrate(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return c
 
 
+def _slices(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Whole texts, about SLICE_BYTES at a time: the first one's place, their bytes in lower case, and their words.
+
+    The driver's memory then holds the arrays of one slice, not of all texts.
+    """
+    sizes = np.array([len(t) for t in texts], np.int64)
+    cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // tx.SLICE_BYTES)) + 1
+    for i, j in zip([0, *cuts.tolist()], [*cuts.tolist(), len(texts)], strict=True):
+        low = tx.LOWER[np.frombuffer(b"".join(texts[i:j]), np.uint8)]
+        yield i, low, *tx.words(low, np.concatenate([[0], np.cumsum(sizes[i:j])]), tx.SPACES)
+
+
+def _counted(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Each text's number of words, and the hashes of the words that KNOWN_IN texts have, ascending."""
+    counts = np.zeros(len(texts), np.int64)
+    hashes, shown = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    for begin, low, starts, ends, owner in _slices(texts):
+        found = np.bincount(owner)
+        counts[begin : begin + len(found)] = found
+        h = tx.span_hashes(low, starts, ends)
+        order = np.lexsort((owner, h))
+        h, owner = h[order], owner[order]
+        first = np.ones(len(h), bool)
+        first[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
+        new, times = np.unique(h[first], return_counts=True)
+        hashes, kind = np.unique(np.concatenate([hashes, new]), return_inverse=True)
+        shown = np.bincount(kind, np.concatenate([shown, times]), len(hashes)).astype(np.int64)
+    return counts, hashes[shown >= KNOWN_IN]
+
+
+def _words_at(texts: list[bytes], places: np.ndarray) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The kinds of the words at some places, counted over all texts, and ``word_inputs`` of each kind by hash."""
+    flat, begin = places.ravel(), 0
+    words, known = np.zeros(len(flat), np.uint64), np.zeros(0, np.uint64)
+    kept, sizes = [np.zeros(0, np.uint8)], [np.zeros(0, np.int64)]
+    for _, low, starts, ends, _ in _slices(texts):
+        here = np.flatnonzero((flat >= begin) & (flat < begin + len(starts)))
+        which = flat[here] - begin
+        begin += len(starts)
+        words[here] = tx.span_hashes(low, starts[which], ends[which])
+        new, first = np.unique(words[here], return_index=True)
+        fresh = ~np.isin(new, known)
+        known = np.concatenate([known, new[fresh]])
+        which = which[first[fresh]]
+        sizes.append(ends[which] - starts[which])
+        before = np.cumsum(sizes[-1]) - sizes[-1]
+        kept.append(low[np.repeat(starts[which] - before, sizes[-1]) + np.arange(int(sizes[-1].sum()))])
+    sizes = np.concatenate(sizes)
+    ends, order = np.cumsum(sizes), np.argsort(known)
+    inputs = word_inputs(np.concatenate(kept), (ends - sizes)[order], ends[order])
+    return np.searchsorted(inputs[0], words).reshape(places.shape), inputs
+
+
 def fit(texts: list[bytes], labels: np.ndarray) -> Network:
     """Train on windows of labelled texts.
 
@@ -265,16 +318,8 @@ def fit(texts: list[bytes], labels: np.ndarray) -> Network:
         net = Network.fresh(np.zeros(0, np.uint64))
         net.calibration = np.array([5.0 if labels.any() else -5.0, 0, 0, 0])
         return net
-    low = tx.LOWER[np.frombuffer(b"".join(texts), np.uint8)]
-    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-    starts, ends, owner = tx.words(low, offsets, tx.SPACES)
-    counts = np.bincount(owner, minlength=len(texts))
-    h = tx.span_hashes(low, starts, ends)
-    _, first, kind = np.unique(h, return_index=True, return_inverse=True)
-    hashes, triples, sizes = word_inputs(low, starts[first], ends[first])
-    shown = np.unique(kind * len(texts) + owner) // len(texts)
-    net = Network.fresh(np.sort(hashes[np.bincount(shown, minlength=len(first)) >= KNOWN_IN]))
-    kinds = net.numbers(hashes), triples, sizes
+    counts, known = _counted(texts)
+    net = Network.fresh(known)
     r = np.random.default_rng(11)
     row, place = window_places(counts)
     turn = r.permutation(len(row))
@@ -283,7 +328,9 @@ def fit(texts: list[bytes], labels: np.ndarray) -> Network:
     chosen = turn[within < SAMPLE_WINDOWS]
     at = (np.cumsum(counts) - counts)[row[chosen], None] + place[chosen, None] + np.arange(WINDOW)
     mask = place[chosen, None] + np.arange(WINDOW) < counts[row[chosen], None]
-    words, y = kind[np.minimum(at, len(kind) - 1)], labels[row[chosen]].astype(np.float32)
+    words, (hashes, triples, sizes) = _words_at(texts, np.minimum(at, int(counts.sum()) - 1))
+    kinds = net.numbers(hashes), triples, sizes
+    y = labels[row[chosen]].astype(np.float32)
     for _ in range(EPOCHS):
         order = r.permutation(len(y))
         for i in range(0, len(order), BATCH):
@@ -301,8 +348,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", modulus: int
     # The ids of the sample are broadcast, two numbers each, and as many texts collected.
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     found = rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.min("label").alias("label"))
-    found = found.toArrow().sort_by("doc_id")
-    return fit([t.encode() for t in found["text"].to_pylist()], found["label"].to_numpy().astype(float))
+    found = found.toArrow()
+    order = np.argsort(found["doc_id"].to_numpy())
+    texts, labels = found["text"].cast(pa.binary()).to_pylist(), found["label"].to_numpy()[order].astype(float)
+    del found  # the texts are there a second time in it
+    return fit([texts[i] for i in order], labels)
 
 
 def score(docs: DataFrame, network: Network, threshold: float = 0.5) -> DataFrame:

@@ -109,6 +109,31 @@ def test_every_window_is_scored():
     assert toxicity.STRIDE <= toxicity.WINDOW // 2
 
 
+def test_toxicity_holds_the_words_of_one_slice_at_a_time(monkeypatch):
+    import tracemalloc
+
+    r = np.random.default_rng(3)
+    names = [f"word{i}" for i in range(5000)]
+    texts = [" ".join(names[i] for i in r.integers(0, len(names), 3000)).encode() for _ in range(400)]
+    texts[5:7] = [b"", b" \n"]
+    labels = (np.arange(len(texts)) % 3 == 0).astype(float)
+    monkeypatch.setattr(toxicity, "EPOCHS", 0)
+    tracemalloc.start()
+    toxicity.fit(texts, labels)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 6 * sum(map(len, texts))
+    # However the texts are cut, the network is the same.
+    monkeypatch.setattr(toxicity, "EPOCHS", 1)
+    nets = []
+    for size in (1 << 12, 1 << 30):
+        monkeypatch.setattr(toxicity.tx, "SLICE_BYTES", size)
+        nets.append(toxicity.fit([t[:400] for t in texts[:60]], labels[:60]))
+    one, two = nets
+    assert (one.known == two.known).all() and len(one.known)
+    assert all((one.p[k] == two.p[k]).all() for k in one.p) and (one.calibration == two.calibration).all()
+
+
 def test_language(spark, tables):
     docs, _ = tables
     rows = language.report(docs, PIECES).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
