@@ -229,19 +229,20 @@ class Coder:
         self.known = new.stop
 
 
-_tokens: dict[str, Tokens] = {}
-_coders: dict[str, Coder] = {}
+#: Kept by the tasks that code, dropped by those of other operators.
+_tokens: dict[str, Tokens] = tx.kept.setdefault("tokens", {})
+_coders: dict[str, Coder] = tx.kept.setdefault("coders", {})
 
 
 def tokens(path: str) -> Tokens:
-    """The tokens of the vocabulary at this path, read once in each Python worker."""
+    """The tokens of the vocabulary at this path, read once in each Python worker that codes."""
     if path not in _tokens:
         _tokens[path] = Tokens(path)
     return _tokens[path]
 
 
 def coder(path: str) -> Coder:
-    """The vocabulary at this path, made once in each Python worker."""
+    """The vocabulary at this path, made once in each Python worker that codes."""
     if path not in _coders:
         _coders[path] = Coder(path)
     return _coders[path]
@@ -269,7 +270,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = coder(path)
-        for part in tx.slices(batches, text):
+        for part in tx.slices(batches, text, keep=True):
             out, counts = code.encode(*tx.utf8(part.column(text)))
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), parts(out, counts)], [*kept, ids])
 
@@ -284,7 +285,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", text: str = "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = tokens(path)
-        for part in tx.slices(batches, ids):
+        for part in tx.slices(batches, ids, keep=True):
             out = [
                 None if b is None else code.decode(np.frombuffer(b, "<u4")).decode("utf-8", "replace")
                 for b in part.column(ids).to_pylist()

@@ -178,7 +178,7 @@ def _ordered_ids(docs: DataFrame, path: str, end: int) -> DataFrame:
             documents = np.array(names, "<i8").tobytes(), bytes(nulls), np.array(counts, "<i8").tobytes()
             return row(part, segment, before, size, *documents, raw, None)
 
-        for rows in tx.slices(batches):
+        for rows in tx.slices(batches, keep=True):
             part = rows.column("part")[0].as_py()
             coded, n = code.encode(*tx.utf8(rows.column("text")))
             coded, ends = coded.astype(raw_type).tobytes(), np.cumsum(n).tolist()

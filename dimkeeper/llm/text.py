@@ -43,8 +43,18 @@ def struct(fields: str) -> T.StructType:
     return T.StructType([T.StructField(name, kinds[kind]()) for name, kind in pairs])
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The rows of all batches in order, in slices of about SLICE_BYTES of text."""
+#: What a Python worker keeps from task to task, by kind. Spark hands workers on from stage to stage.
+kept: dict[str, dict] = {}
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", keep: bool = False) -> Iterator[pa.RecordBatch]:
+    """The rows of all batches in order, in slices of about SLICE_BYTES of text.
+
+    Unless the task is to ``keep`` it, what tasks of other stages have left in this worker goes first.
+    """
+    if not keep:
+        for left in kept.values():
+            left.clear()
     for batch in batches:
         if not batch.num_rows:
             continue

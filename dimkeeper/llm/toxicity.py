@@ -33,6 +33,8 @@ WORD_DIM, CHAR_DIM, HIDDEN = 8, 8, 8
 SAMPLE, SAMPLE_WINDOWS = {0: 2400, 1: 1200}, 4
 EPOCHS, BATCH, RATE = 3, 128, 0.05
 SLOT_BITS = 17
+#: Words whose gates are copied at a time.
+COPIED = 1 << 15
 INPUT = WORD_DIM + CHAR_DIM
 
 
@@ -95,16 +97,20 @@ class Network:
         p = self.p
         return np.concatenate([x @ p["Wf"] + p["cf"], x @ p["Wb"] + p["cb"]], axis=1)
 
-    def run(self, gates: np.ndarray, mask: np.ndarray, keep: bool = False):
-        """Window logits from gates (windows, WINDOW, 6 * HIDDEN) and which places have words."""
-        n = len(gates)
+    def run(self, gates: np.ndarray, mask: np.ndarray, keep: bool = False, at: np.ndarray | None = None):
+        """Window logits from gates (windows, WINDOW, 6 * HIDDEN) and which places have words.
+
+        With ``at`` gates are those of words (words, 6 * HIDDEN), and ``at`` is the word at each place, so that
+        no copy for all places is made.
+        """
+        n = len(mask)
         states = np.zeros((n, WINDOW, 2 * HIDDEN), np.float32)
         trace = {"f": [None] * WINDOW, "b": [None] * WINDOW}
         for k, side in enumerate("fb"):
             h = np.zeros((n, HIDDEN), np.float32)
             u = self.p[f"U{side}"]
             for t in range(WINDOW) if side == "f" else reversed(range(WINDOW)):
-                x = gates[:, t, 3 * HIDDEN * k : 3 * HIDDEN * (k + 1)]
+                x = (gates[:, t] if at is None else gates[at[:, t]])[:, 3 * HIDDEN * k : 3 * HIDDEN * (k + 1)]
                 a = h @ u
                 zr = logistic(x[:, : 2 * HIDDEN] + a[:, : 2 * HIDDEN])
                 z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
@@ -209,7 +215,9 @@ class Scorer:
             found, triples, sizes = word_inputs(low, starts[at], ends[at])
             fresh = net.projections(net.inputs(net.numbers(found), triples, sizes))
             self.keys[slot[at]], self.values[slot[at]] = hashes, fresh
-            value[new] = fresh[np.searchsorted(hashes, h[new])]
+            for i in range(0, len(new), COPIED):
+                some = new[i : i + COPIED]
+                value[some] = fresh[np.searchsorted(hashes, h[some])]
         return value
 
     def summaries(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -228,7 +236,7 @@ class Scorer:
         for i in range(0, len(row), 4096):
             at = first[i : i + 4096, None] + np.arange(WINDOW)
             mask = place[i : i + 4096, None] + np.arange(WINDOW) < counts[row[i : i + 4096], None]
-            logits[i : i + 4096] = self.network.run(gates[np.minimum(at, len(gates) - 1)], mask)
+            logits[i : i + 4096] = self.network.run(gates, mask, at=np.minimum(at, len(gates) - 1))
         order = np.lexsort((-logits, row))
         begins = np.searchsorted(row, np.arange(n))
         some = np.flatnonzero(counts > 0)
@@ -386,5 +394,5 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 @any_names()
 def clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents predicted not to be toxic, with their own columns."""
-    scored = score(docs.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in docs.columns])), train(docs, labels))
-    return scored.where("predicted = 0").select("_row.*")
+    # No column is called score or predicted here, and every text goes to Python once.
+    return score(docs, train(docs, labels)).where("predicted = 0").select(*docs.columns)

@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -74,6 +75,16 @@ def test_decoding_makes_no_encoder(library, monkeypatch):
     assert bpe.tokens(PATH).decode(np.array(ids)) == b"some words"
 
 
+def test_tasks_of_other_operators_drop_the_encoder():
+    batch = pa.RecordBatch.from_arrays([pa.array(["some words"])], ["text"])
+    code = bpe.coder(PATH)
+    list(tx.slices(iter([batch]), keep=True))
+    assert bpe.coder(PATH) is code
+    list(tx.slices(iter([batch])))
+    assert not bpe._coders and not bpe._tokens
+    assert bpe.coder(PATH) is not code
+
+
 def alternating() -> tuple[str, str]:
     """Two texts that any running sum of powers modulo 2**64 takes for the same."""
     bits = [bin(i).count("1") & 1 for i in range(1024)]

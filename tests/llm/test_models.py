@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 from fractions import Fraction
 
@@ -134,6 +135,44 @@ def test_toxicity_holds_the_words_of_one_slice_at_a_time(monkeypatch):
     assert all((one.p[k] == two.p[k]).all() for k in one.p) and (one.calibration == two.calibration).all()
 
 
+def test_toxicity_copies_no_gates_for_all_places_of_windows():
+    net = toxicity.Network.fresh(np.zeros(0, np.uint64))
+    r = random.Random(3)
+    texts = [" ".join(f"w{r.randrange(900)}" for _ in range(n)) for n in (0, 7, 31, 33, 5000, 180_000)]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.cumsum([0, *map(len, texts)])
+    tracemalloc.start()
+    scorer = toxicity.Scorer(net)
+    tracemalloc.reset_peak()
+    base = tracemalloc.get_traced_memory()[0]
+    got = scorer.summaries(data, offsets)
+    most = tracemalloc.get_traced_memory()[1] - base
+    tracemalloc.stop()
+    low = tx.LOWER[data]
+    starts, ends, owner = tx.words(low, offsets, tx.SPACES)
+    gates = toxicity.Scorer(net).gates(low, starts, ends)
+    assert most < 2 * gates.nbytes
+    # The same bits as from gates copied for every place.
+    counts = np.bincount(owner, minlength=len(texts))
+    row, place = toxicity.window_places(counts)
+    at = ((np.cumsum(counts) - counts)[row] + place)[:, None] + np.arange(toxicity.WINDOW)
+    mask = place[:, None] + np.arange(toxicity.WINDOW) < counts[row, None]
+    at = np.minimum(at, len(gates) - 1)
+    want = np.concatenate([net.run(gates[at[i : i + 4096]], mask[i : i + 4096]) for i in range(0, len(row), 4096)])
+    best = np.array([want[row == k].max(initial=0) if counts[k] else 0 for k in range(len(texts))])
+    assert counts[0] == 0 and np.array_equal(got[:, 0], best)
+
+
+def test_toxicity_sends_texts_to_python_once(spark, tables, monkeypatch):
+    labels = tables[1]
+    seen, score = [], toxicity.score
+    monkeypatch.setattr(toxicity, "score", lambda docs, network: seen.append(docs.schema.json()) or score(docs, network))
+    docs = documents(spark)
+    kept = toxicity.clean(docs, labels)
+    assert kept.dtypes == docs.dtypes
+    assert [s.count('"text"') for s in seen] == [1]
+
+
 def test_language(spark, tables):
     docs, _ = tables
     rows = language.report(docs, PIECES).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
