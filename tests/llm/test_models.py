@@ -279,15 +279,15 @@ def test_top_k_matches_brute_force(spark):
     assert vafile.top_k(vectors.where("false"), vectors, 5).count() == 0
 
 
-def brute_scores(texts):
+def brute_scores(texts, order=3):
     """Scores of lists of words; every text is compared with the others' n-grams."""
-    grams = [Counter(tuple(w[k : k + n]) for n in (1, 2, 3) for k in range(len(w) - n + 1)) for w in texts]
+    grams = [Counter(tuple(w[k : k + n]) for n in range(1, order + 1) for k in range(len(w) - n + 1)) for w in texts]
     counts = sum(grams, Counter())
     total = sum(map(len, texts))
     for words, own in zip(texts, grams, strict=True):
         value = 0.0
         for k in range(len(words)):
-            size = min(k + 1, 3)
+            size = min(k + 1, order)
             for n in range(size, 0, -1):
                 gram = tuple(words[k - n + 1 : k + 1])
                 if n == 1:
@@ -317,6 +317,50 @@ def test_backoff_matches_brute_force(spark):
     assert round(alone.first()["log_score"], 6) == round(3 * math.log(1 / 3) + 3 * math.log(0.4), 6)
 
 
+def test_backoff_of_other_orders(spark):
+    # One word needs no second step, four words need a third.
+    r = random.Random(8)
+    texts = [[f"w{r.randrange(6)}" for _ in range(r.randint(0, 40))] for _ in range(30)]
+    docs = documents(spark, {i: " ".join(w) for i, w in enumerate(texts)}, extra=False).where("doc_id < 30 AND source = 's'")
+    docs = docs.where("NOT (doc_id = 1 AND n_chars = 78)")
+    for order in (1, 4):
+        got = {x["doc_id"]: round(x["log_score"], 5) for x in backoff.scores(docs, order).collect()}
+        assert got == {i: round(s, 5) for i, s in enumerate(brute_scores(texts, order))}
+
+
+def test_backoff_sends_packed_lists(spark):
+    # A row for each n-gram took 11 bytes of shuffle to be counted and 53 to be looked up.
+    r = random.Random(9)
+    texts = [[f"word{r.randrange(300)}" for _ in range(400)] for _ in range(80)]
+    docs = documents(spark, {i: " ".join(w) for i, w in enumerate(texts)}, extra=False).where("source = 's' AND n_chars > 500")
+    texts_of = docs.selectExpr("doc_id % 2 AS block", "doc_id", "text", "1L AS times")
+    sent = backoff._sent(texts_of, None, range(1, 3), 4)
+    more = backoff._sent(texts_of, backoff._counted(sent), range(3, 4), 4)
+    found = {n: [set(), set()] for n in (1, 2, 3)}
+    pairs = Counter(p for w in texts for p in set(zip(w, w[1:], strict=False)))
+    for i, w in enumerate(texts):
+        for n in (1, 2, 3):
+            some = {tuple(w[k : k + n]) for k in range(len(w) - n + 1)}
+            # Three words only where both parts of two occur in other documents.
+            found[n][i % 2] |= {g for g in some if n < 3 or min(pairs[g[:2]], pairs[g[1:]]) > 1}
+    for rows, orders in ((sent, (1, 2)), (more, (3,))):
+        rows = rows.collect()
+        assert len(rows) <= len(orders) * 2 * 16
+        for n in orders:
+            of_n = [x for x in rows if x["n"] == n]
+            assert sum(x["size"] for x in of_n) == sum(map(len, found[n]))
+            if n > 1:
+                assert sum(len(x["grams"]) + len(x["counts"]) for x in of_n) < 8 * sum(x["size"] for x in of_n)
+
+
+def test_packed_numbers():
+    r = np.random.default_rng(10)
+    for values in ([0], [1, 2**64 - 1, 0], r.integers(0, 2**45, 1000), np.ones(1000)):
+        values = np.array(values, np.uint64)
+        for plain in (0, 5):
+            assert (backoff.unpack(backoff.pack(values, plain), len(values), plain) == values).all()
+
+
 def test_backoff_with_hot_words(spark):
     r = random.Random(6)
     words = ["the"] * 60 + [f"w{i}" for i in range(80)]
