@@ -136,6 +136,82 @@ def test_texts_are_dealt_out_and_shared_bits_lose_no_link(spark, monkeypatch):
     assert "text" in columns and "shingles" not in columns
 
 
+def test_texts_that_only_share_a_passage_are_not_dealt_out(spark, monkeypatch):
+    """A block of sets that are not close moves as sketches; its texts would move once for every cell."""
+    moved, real = [], jaccard._tile_links
+
+    def counted(tiles):
+        moved.append(tiles.count())
+        return real(tiles)
+
+    monkeypatch.setattr(jaccard, "_tile_links", counted)
+    monkeypatch.setattr(jaccard, "CELL_SETS", 4)
+    monkeypatch.setattr(jaccard, "SIFT_SETS", 8)
+    r = random.Random(1)
+    texts = {i: " ".join([*PASSAGE.split(), *(f"w{r.randint(0, 10**6)}" for _ in range(15 + i // 4))]) for i in range(80)}
+    texts |= {100 + i: texts[i] + " and more" for i in (3, 50, 51)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id BIGINT, text STRING")
+    assert Counter(tuple(x) for x in jaccard.groups(docs).collect()) == brute_groups(list(texts.items()))
+    assert moved[0] < 30  # 6 texts in blocks of their own; 20 times all 83 as one block
+
+
+@pytest.mark.parametrize("few", [2, 5])
+def test_candidates_do_not_depend_on_batches(monkeypatch, few):
+    monkeypatch.setattr(jaccard, "FEW", few)
+    r = np.random.default_rng(few)
+    rows = np.array(sorted(zip(r.integers(0, 60, 400).tolist(), r.integers(5, 40, 400).tolist(), r.integers(0, 90, 400).tolist(), strict=True))).T
+
+    def found(step):
+        last, head, pairs = np.zeros((3, 0), np.int64), None, set()
+        for at in range(0, rows.shape[1], step):
+            out, last, head = jaccard._pairs(np.concatenate([last, rows[:, at : at + step]], axis=1), head, False)
+            pairs |= set(zip(*(x.tolist() for x in out), strict=True))
+        out, _, _ = jaccard._pairs(last, head, True)
+        return pairs | set(zip(*(x.tolist() for x in out), strict=True))
+
+    assert found(1) == found(7) == found(400)
+    want, pairs = defaultdict(set), defaultdict(set)
+    for h, n, own in rows.T.tolist():
+        want[h].add((n, own))
+    for u, v, crowd in found(400):
+        pairs[u].add(v), pairs[v].add(u)
+    for sets in want.values():
+        for n, own in sets:
+            reached, ahead = {own}, {own}
+            while ahead:
+                ahead = set().union(*(pairs[x] for x in ahead)) - reached
+                reached |= ahead
+            assert {y for m, y in sets if min(n, m) * 100 >= 75 * max(n, m)} <= reached
+
+
+def test_sketches_lose_no_link():
+    r = np.random.default_rng(6)
+    pool = r.integers(0, 2**63, 3000).astype(np.uint64)
+    sets = []
+    for size in r.choice([1, 2, 3, 5, 20, 60, 128, 220, 256, 257, 300, 400, 700], 90):
+        base = r.choice(pool, size, replace=False)
+        for _ in range(3):
+            keep = base[r.random(size) < r.choice([0.85, 0.95, 1])]
+            sets.append(np.unique(np.concatenate([keep if len(keep) else base, r.choice(pool, size // 12)])))
+    n = np.array([len(s) for s in sets])
+    begins = np.concatenate([[0], np.cumsum(n)])
+    made = jaccard.sketches(np.concatenate(sets), begins, np.arange(len(sets)))
+    for sides in (None, r.integers(0, 2, len(sets))):
+        pairs = jaccard.near_pairs(n, made, sides)
+        root = list(range(len(sets)))
+        for i, j in pairs:
+            a, b = root[i], root[j]
+            assert a != b
+            root = [a if x == b else x for x in root]
+        split = len({root[i] for i in range(len(sets))})
+        for i in range(len(sets)):
+            for j in range(i):
+                both = len(np.intersect1d(sets[i], sets[j]))
+                if 100 * both >= 75 * (n[i] + n[j] - both) and (sides is None or sides[i] != sides[j]):
+                    assert root[i] == root[j]
+        assert split > 60
+
+
 def test_texts_without_a_mark_are_not_shuffled(spark, monkeypatch):
     asked, real = [], jaccard.may_hold
     monkeypatch.setattr(jaccard, "may_hold", lambda tables, column, df: asked.append(column) or real(tables, column, df))
