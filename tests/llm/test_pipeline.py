@@ -9,7 +9,7 @@ import corpus_pipeline
 from dimkeeper.llm import jaccard, toxicity, wumanber
 from dimkeeper.llm.queries import ORACLES, QUERIES, read
 from tests.compare import spark_rows
-from tests.llm.fixtures import documents
+from tests.llm.fixtures import PASSAGE, documents
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -56,3 +56,20 @@ def test_stages_bear_every_row(spark):
         assert out.columns == docs.columns
         assert 0 < out.count() <= docs.count()
     assert corpus_pipeline.encoded(spark, docs, FOLDER).count() == docs.count()
+
+
+def test_the_shingle_join_deals_out_no_texts_that_only_share_a_passage(spark, monkeypatch):
+    moved, real = [], jaccard._tile_links
+
+    def counted(tiles):
+        moved.append(tiles.count())
+        return real(tiles)
+
+    monkeypatch.setattr(jaccard, "_tile_links", counted)
+    monkeypatch.setattr(jaccard, "CELL_SETS", 4)
+    own = lambda i: " ".join(f"w{i}x{k}" for k in range(40))
+    texts = {i: f"{PASSAGE} {own(i)}" for i in range(60)} | {100: f"{PASSAGE} {own(7)} again"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id BIGINT, text STRING")
+    kept = corpus_pipeline.near_copies(spark, docs, "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(60))
+    assert moved[0] < 10  # 7 and 100, not 61 texts once for each of 16 cells
