@@ -9,7 +9,7 @@ one. Four steps find all links between classes:
    since no other document has them. The most frequent ones come last. Classes that
    share a dealt shingle, and whose sizes allow a link, are candidates: pair by pair where few
    share it, else as a crowd, all of them connected.
-2. Sift. Every class has a sketch, the parities of its counts per group of hashes, some two bits a shingle.
+2. Sift. Every class has a sketch, the parities of its counts per group of hashes, up to two bits a shingle and 256 at least.
    Where the parities differ the sets do, so most pairs are told apart without their texts. What is left, and
    crowds, are joined to blocks by connected components, so a block holds all partners of its classes. Sets of
    large blocks are compared by their sketches, in cells of close sizes, and joined to blocks again.
@@ -560,7 +560,7 @@ def _split(blocks: DataFrame, known: DataFrame) -> DataFrame:
     """Blocks (node, root) of several cells split into those that sketches leave connected.
 
     A large block is mostly a crowd, few of whose sets are close to any other. Its texts would move once for
-    every cell, so their number would grow with the square of the block; sketches are some fiftieth of that.
+    every cell, so their number would grow with the square of the block; sketches are far shorter.
     """
     members = known.join(blocks.select(F.col("node").alias("class"), F.col("root").alias("block")), "class")
     # At most one row for every CELL_SETS classes or CELL_SHINGLES shingles.
